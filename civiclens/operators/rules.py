@@ -5,8 +5,10 @@ association rules with a fixed consequent attribute, and the protection
 Plan shape, for any scale:
 
 * ``F1`` is one aggregation with map-side partial counts.
-* Items are pruned to ``F1`` with a semi-join against a size-checked
-  broadcast of ``F1`` before any self-join (Apriori pruning).
+* Items are pruned to ``F1`` with a semi-join before any self-join
+  (Apriori pruning).  ``F1``/``F2`` are aggregation results; AQE broadcasts
+  them from their measured stage size and keeps the shuffle join beyond
+  the threshold, so no extra job is spent sizing them.
 * Pairs come from an equi self-join on ``uid`` with ``a.attr < b.attr``;
   both sides read the same exchange.  A uid holds one item per attribute,
   so it yields at most C(#attributes, 2) pairs.  Pair counts again combine
@@ -27,7 +29,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.operators._plan import sized_broadcast
 
 
 def long_items(wide: DataFrame, uid: str, attrs: Sequence[str],
@@ -45,8 +46,10 @@ def frequent_items(items: DataFrame, supp: int) -> DataFrame:
 
 
 def _pruned(items: DataFrame, f1: DataFrame) -> DataFrame:
-    keys = sized_broadcast(f1.select("attr", "val"))
-    return items.join(keys, ["attr", "val"], "left_semi")
+    # F1 is tiny after its aggregation; AQE sees the materialised size of
+    # that stage and switches the semi-join to a broadcast (beyond the
+    # threshold the shuffle join stays) without an extra sizing job.
+    return items.join(f1.select("attr", "val"), ["attr", "val"], "left_semi")
 
 
 def uid_pairs(items: DataFrame, f1: DataFrame) -> DataFrame:
@@ -70,7 +73,7 @@ def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame, supp: int,
     """F3(attr1, val1, attr2, val2, attr3, val3, supp) with ``attr3`` the
     consequent attribute — the reference's C3 candidates counted."""
     pairs = uid_pairs(items, f1)
-    f2_keys = sized_broadcast(f2.select("attr1", "val1", "attr2", "val2"))
+    f2_keys = f2.select("attr1", "val1", "attr2", "val2")  # broadcast by AQE when small
     pairs = pairs.join(f2_keys, ["attr1", "val1", "attr2", "val2"], "left_semi")
     left = pairs.filter(F.col("attr2") != consequent)
     right = (pairs.filter(F.col("attr2") == consequent)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from civiclens.operators import relational as rel
 from civiclens.operators import profile as prof
 from civiclens.operators import rules
+from civiclens.operators import semantic as sem
+from civiclens.functions.validators import semantic_label_sql
 from civiclens.functions import celltypes as ct
 from civiclens.operators._plan import global_ntile
 from civiclens.sources.tables import Tables
@@ -548,4 +550,168 @@ def q_profile_documents(spark, sf_dir):
     return prof.profile_documents(profile_cells(spark, sf_dir))
 
 
+
+
+# --------------------------------------------------------------------------
+# T family: semantic typing and scoring
+# --------------------------------------------------------------------------
+
+# (dataset, table, [(source column, kind, name given to the column)]).
+# Column names are chosen so that every rule family of the rule table is
+# exercised; 'flag' has no rule and is labelled with its own name.
+SEMANTIC_COLUMNS = [
+    ("pages", "pages", [("url", "s", "website"), ("page_id", "s", "house_number"),
+                        ("html", "s", "prem_typ_desc")]),
+    ("region", "region", [("r_name", "s", "city"), ("r_regionkey", "s", "borough")]),
+    ("nation", "nation", [("n_name", "s", "neighborhood"), ("n_nationkey", "s", "zip")]),
+    ("customer", "customer", [("c_name", "s", "business_name"), ("c_acctbal", "dec", "latitude"),
+                              ("c_mktsegment", "s", "vehicle_type"), ("c_custkey", "s", "agency_id"),
+                              ("c_nationkey", "s", "color")]),
+    ("events", "events", [("props", "s", "location"), ("value", "dec", "longitude"),
+                          ("event_type", "s", "school_level"), ("user_id", "s", "phone"),
+                          ("ts", "ts", "address")]),
+    ("conversations", "conversations", [("role", "s", "last_name"), ("text", "s", "street_name"),
+                                        ("turn", "s", "subject")]),
+    ("part", "part", [("p_name", "s", "park_name"), ("p_type", "s", "vehicle_make"),
+                      ("p_brand", "s", "building_classification"), ("p_size", "s", "interest")]),
+    ("supplier", "supplier", [("s_name", "s", "school_name")]),
+    ("documents", "documents", [("text", "s", "address"), ("lang", "s", "city")]),
+    ("lineitem", "lineitem", [("l_partkey", "s", "zip_code"), ("l_returnflag", "s", "flag")]),
+]
+
+
+def _spark_text(col: str, kind: str):
+    if kind == "dec":
+        return _dec_text(col)
+    if kind == "ts":
+        return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    return F.col(col).cast("string")
+
+
+def _sql_text(col: str, kind: str) -> str:
+    if kind == "dec":
+        return f"CAST(CAST({col} AS DECIMAL(12,2)) AS VARCHAR)"
+    if kind == "ts":
+        return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+    return f"CAST({col} AS VARCHAR)"
+
+
+def semantic_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the SEMANTIC_COLUMNS with its label, one job."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for ds, table, cols in SEMANTIC_COLUMNS:
+        wide = getattr(t, table).select(*[_spark_text(c, k).alias(n) for c, k, n in cols])
+        m = sem.label_wide(wide, ds)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def _semantic_cells_sql() -> str:
+    parts = []
+    for ds, table, cols in SEMANTIC_COLUMNS:
+        sel = ", ".join(f"{_sql_text(c, k)} AS {n}" for c, k, n in cols)
+        names = ", ".join(n for _, _, n in cols)
+        parts.append(f"SELECT '{ds}' AS dataset_name, column_name, value FROM (SELECT {sel} FROM {table}) "
+                     f"UNPIVOT INCLUDE NULLS (value FOR column_name IN ({names}))")
+    return "cells AS (\n  " + "\n  UNION ALL ".join(parts) + "\n)"
+
+
+_SEMANTIC_SQL = f"""
+WITH {_semantic_cells_sql()},
+labelled AS (
+  SELECT dataset_name, column_name,
+  {semantic_label_sql('column_name', 'value')} AS semantic_type
+  FROM cells)
+"""
+
+
+@register("semantic_labels", _SEMANTIC_SQL + """
+SELECT dataset_name, column_name, semantic_type, semantic_type AS label, count(*) AS count
+FROM labelled GROUP BY ALL
+""")
+def q_semantic_labels(spark, sf_dir):
+    return sem.count_labels(semantic_labelled(spark, sf_dir))
+
+
+@register("semantic_documents")
+def q_semantic_documents(spark, sf_dir):
+    """Nested per-dataset documents (rows-only; values checked above)."""
+    return sem.semantic_documents(sem.count_labels(semantic_labelled(spark, sf_dir)))
+
+
+# Document rules used as a stand-in classifier for scoring: a document is
+# predicted 'quality' when it has at least this many characters.
+QUALITY_MIN_CHARS = 1000
+
+
+def _doc_predictions(t: Tables) -> DataFrame:
+    return t.documents.select(
+        "doc_id",
+        F.when(F.col("n_chars") >= QUALITY_MIN_CHARS, F.lit("quality"))
+         .otherwise(F.lit("low_quality")).alias("label"))
+
+
+def _doc_truth(t: Tables) -> DataFrame:
+    q = t.labels.select("doc_id", F.when(F.col("quality") == 1, F.lit("quality"))
+                        .otherwise(F.lit("low_quality")).alias("label"))
+    tox = t.labels.filter(F.col("toxic") == 1).select("doc_id", F.lit("toxic").alias("label"))
+    return q.unionByName(tox)
+
+
+@register("label_scores", f"""
+WITH p AS (
+  SELECT DISTINCT CASE WHEN n_chars >= {QUALITY_MIN_CHARS} THEN 'quality' ELSE 'low_quality' END AS label,
+         doc_id FROM documents),
+t AS (
+  SELECT DISTINCT label, doc_id FROM (
+    SELECT CASE WHEN quality = 1 THEN 'quality' ELSE 'low_quality' END AS label, doc_id FROM labels
+    UNION ALL SELECT 'toxic' AS label, doc_id FROM labels WHERE toxic = 1)),
+nt AS (SELECT label, count(*) AS n_true FROM t GROUP BY label),
+np AS (SELECT label, count(*) AS n_pred FROM p GROUP BY label),
+hit AS (SELECT label, count(*) AS n_correct FROM p JOIN t USING (label, doc_id) GROUP BY label)
+SELECT nt.label, coalesce(n_correct, 0) AS n_correct, n_pred, n_true,
+       CASE WHEN n_pred IS NULL OR n_pred = 0 THEN NULL ELSE coalesce(n_correct, 0) / n_pred END AS precision,
+       coalesce(n_correct, 0) / n_true AS recall
+FROM nt LEFT JOIN np USING (label) LEFT JOIN hit USING (label)
+""")
+def q_label_scores(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sem.score_labels(_doc_predictions(t), _doc_truth(t), ["doc_id"])
+
+
+@register("clf_metrics", f"""
+WITH d AS (
+  SELECT CAST(quality AS DOUBLE) AS y,
+         CASE WHEN n_chars >= {QUALITY_MIN_CHARS} THEN 1.0 ELSE 0.0 END AS p
+  FROM labels JOIN documents USING (doc_id)),
+conf AS (SELECT y, p, count(*) AS n FROM d GROUP BY y, p),
+classes AS (SELECT y AS cls FROM conf UNION SELECT p FROM conf),
+per AS (
+  SELECT cls,
+         coalesce((SELECT sum(n) FROM conf WHERE y = cls AND p = cls), 0) AS tp,
+         coalesce((SELECT sum(n) FROM conf WHERE p = cls), 0) AS n_pred,
+         coalesce((SELECT sum(n) FROM conf WHERE y = cls), 0) AS support
+  FROM classes),
+m AS (
+  SELECT *, CASE WHEN n_pred = 0 THEN NULL ELSE tp / n_pred END AS precision,
+            CASE WHEN support = 0 THEN NULL ELSE tp / support END AS recall
+  FROM per),
+f AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN NULL ELSE 2 * precision * recall / (precision + recall) END AS f1
+  FROM m)
+SELECT cls AS label, CAST(tp AS BIGINT) AS tp, CAST(n_pred AS BIGINT) AS n_pred,
+       CAST(support AS BIGINT) AS support, precision, recall, f1,
+       sum(tp) OVER () / sum(support) OVER () AS accuracy,
+       sum(coalesce(f1, 0) * support) OVER () / sum(support) OVER () AS weighted_f1
+FROM f
+""")
+def q_clf_metrics(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    d = (t.labels.join(t.documents, "doc_id")
+         .select(F.col("quality").cast("double").alias("label"),
+                 F.when(F.col("n_chars") >= QUALITY_MIN_CHARS, 1.0).otherwise(0.0).alias("prediction")))
+    return sem.classification_metrics(d)
+
+
 FLAGSHIP = "profile_documents"

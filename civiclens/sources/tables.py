@@ -11,12 +11,22 @@ TABLES = (
 )
 
 
+_CACHE: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table lazily; Catalyst prunes columns and pushes filters
-    into the parquet scan."""
+    into the parquet scan.  The DataFrame (file listing and footer schema,
+    no data) is kept per session and folder, since many queries read the
+    same tables."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _CACHE.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _CACHE[key] = df
+    return df
 
 
 class Tables:
