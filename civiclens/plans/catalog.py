@@ -16,6 +16,8 @@ from civiclens.operators import relational as rel
 from civiclens.operators import profile as prof
 from civiclens.operators import rules
 from civiclens.operators import semantic as sem
+from civiclens.operators import textml
+from civiclens.functions.text import remove_substrings
 from civiclens.functions.validators import semantic_label_sql
 from civiclens.functions import celltypes as ct
 from civiclens.operators._plan import global_ntile
@@ -714,4 +716,96 @@ def q_clf_metrics(spark, sf_dir):
     return sem.classification_metrics(d)
 
 
+
+
+# --------------------------------------------------------------------------
+# M family: text classification, explanations, feature clean-up
+# (model fitting is iterative: rows-only checks, brute-force tests in tests/)
+# --------------------------------------------------------------------------
+
+EXPLAIN_FEATURES = 6
+EXPLAIN_SAMPLES = 128
+CORRECTED_MIN_CONF = 0.1
+CLEANUP_WORDS = 8
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return (t.documents.join(t.labels, "doc_id")
+            .select(F.when(F.col("quality") == 1, F.lit("quality"))
+                     .otherwise(F.lit("low_quality")).alias("category"),
+                    "text", F.col("doc_id").alias("id")))
+
+
+def _fit_predict(spark, sf_dir):
+    train, test = textml.split_train_test(labelled_documents(spark, sf_dir))
+    model = textml.fit(train)
+    return train, test, model, textml.predict(model, test)
+
+
+@register("text_classifier")
+def q_text_classifier(spark, sf_dir):
+    _, _, _, pred = _fit_predict(spark, sf_dir)
+    return pred.select("id", "category", "label", "prediction", "conf")
+
+
+def _explanations(spark, sf_dir):
+    train, test, model, pred = _fit_predict(spark, sf_dir)
+    wrong = textml.misclassified(pred).select("id", "text", "conf")
+    exp = textml.explain(model, wrong.select("id", "text"), EXPLAIN_FEATURES, EXPLAIN_SAMPLES)
+    return train, test, model, pred, exp.join(wrong.select("id", "conf"), "id")
+
+
+@register("explain_words")
+def q_explain_words(spark, sf_dir):
+    return _explanations(spark, sf_dir)[4].select("id", "conf", "rank", "word", "weight")
+
+
+@register("word_weights")
+def q_word_weights(spark, sf_dir):
+    return textml.word_weights(_explanations(spark, sf_dir)[4])
+
+
+@register("clean_and_refit")
+def q_clean_and_refit(spark, sf_dir):
+    """Remove the words that explanations name most often from the training
+    texts, refit, and compare.  The word list is a top-k report (k words),
+    the only thing brought to the driver."""
+    train, test, _, pred, exp = _explanations(spark, sf_dir)
+    top = (textml.word_weights(exp)
+           .orderBy(F.col("frequency").desc(), F.col("weight").desc(), F.col("word"))
+           .limit(CLEANUP_WORDS).collect())
+    words = [r.word for r in top]
+    new_model = textml.fit(textml.remove_words(train, words))
+    new_pred = textml.predict(new_model, test)
+    def metrics(p: DataFrame, name: str) -> DataFrame:
+        right = (F.col("label") == F.col("prediction")).cast("double")
+        m = p.agg(F.avg(right).alias("accuracy"),
+                  F.sum(1.0 - right).alias("n_errors"))
+        return m.unpivot([], ["accuracy", "n_errors"], "metric", "value").withColumn(
+            "model", F.lit(name))
+    fixed = (textml.corrected(pred, new_pred, CORRECTED_MIN_CONF)
+             .agg(F.count(F.lit(1)).cast("double").alias("value"))
+             .select(F.lit("n_corrected").alias("metric"), "value", F.lit("after").alias("model")))
+    return (metrics(pred, "before").unionByName(metrics(new_pred, "after")).unionByName(fixed)
+            .withColumn("removed_words", F.lit(",".join(words))))
+
+
+# The names the reference removed from its training texts.
+REFERENCE_REMOVED_NAMES = ("Alan", "Asimov", "Carl", "Julian", "Olsen", "Todd", "Stanley", "Peter")
+# Words removed by the registered query (common in the driver's prose).
+QUERY_REMOVED_WORDS = ("the", "and", "des", "und", "que")
+
+
+@register("remove_words", "SELECT doc_id, " + "".join("replace(" for _ in QUERY_REMOVED_WORDS)
+          + "text" + "".join(f", '{w}', '')" for w in QUERY_REMOVED_WORDS)
+          + " AS text, length(" + "".join("replace(" for _ in QUERY_REMOVED_WORDS)
+          + "text" + "".join(f", '{w}', '')" for w in QUERY_REMOVED_WORDS)
+          + ") AS n_chars_clean FROM documents")
+def q_remove_words(spark, sf_dir):
+    clean = remove_substrings(F.col("text"), QUERY_REMOVED_WORDS)
+    return Tables(spark, sf_dir).documents.select(
+        "doc_id", clean.alias("text"), F.length(clean).alias("n_chars_clean"))
+
+
 FLAGSHIP = "profile_documents"
