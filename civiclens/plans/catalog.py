@@ -17,6 +17,7 @@ from civiclens.operators import profile as prof
 from civiclens.operators import rules
 from civiclens.operators import semantic as sem
 from civiclens.operators import textml
+from civiclens.operators import resolve
 from civiclens.functions.text import remove_substrings
 from civiclens.functions.validators import semantic_label_sql
 from civiclens.functions import celltypes as ct
@@ -808,4 +809,49 @@ def q_remove_words(spark, sf_dir):
         "doc_id", clean.alias("text"), F.length(clean).alias("n_chars_clean"))
 
 
+
+
+# --------------------------------------------------------------------------
+# Fuzzy name resolution.  Stand-in on the driver tables: within each
+# conversation (the "dataset"), the first word of every turn (the "given
+# name") is resolved to the closest role of that conversation (its
+# "headers", ordered by first appearance).
+# --------------------------------------------------------------------------
+
+def _conversation_targets(t: Tables) -> DataFrame:
+    first_word = F.element_at(F.split(F.trim("text"), r"\s+"), 1)
+    return t.conversations.select("conv_id", first_word.alias("given_name"))
+
+
+def _conversation_roles(t: Tables) -> DataFrame:
+    return (t.conversations.groupBy("conv_id", F.col("role").alias("column_name"))
+            .agg(F.min("turn").alias("position")))
+
+
+_LCS_SQL = """CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0 ELSE
+ list_reduce(range(1, length(a) + 1), lambda prev, i:
+   list_reduce(range(1, length(b) + 1), lambda cur, j:
+     list_concat(cur, [CASE WHEN substr(a, i, 1) = substr(b, j, 1) THEN prev[j] + 1
+                            ELSE greatest(prev[j + 1], cur[j]) END]), [0]),
+   list_transform(range(0, length(b) + 1), lambda x: 0))[length(b) + 1] END"""
+
+
+@register("fuzzy_column", f"""
+WITH t AS (
+  SELECT DISTINCT conv_id, string_split_regex(trim(text), '\\s+')[1] AS given_name FROM conversations),
+c AS (SELECT conv_id, role AS column_name, min(turn) AS position FROM conversations GROUP BY 1, 2),
+p AS (
+  SELECT t.conv_id, t.given_name, c.column_name, c.position,
+         length(t.given_name) + length(c.column_name) - 2 * (
+           SELECT {_LCS_SQL} FROM (SELECT t.given_name AS a, c.column_name AS b)) AS distance
+  FROM t JOIN c USING (conv_id))
+SELECT conv_id, given_name, column_name AS resolved_name, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, given_name ORDER BY distance, position) AS rn
+  FROM p) WHERE rn = 1
+""")
+def q_fuzzy_column(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return resolve.resolve_names(_conversation_targets(t), _conversation_roles(t), ["conv_id"])
+
+
 FLAGSHIP = "profile_documents"
