@@ -16,11 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.functions import celltypes as ct
-from civiclens.operators._plan import sized_broadcast
 
 KEY = ["dataset_name", "column_name"]
 
@@ -47,13 +46,23 @@ def value_frequencies(cells: DataFrame) -> DataFrame:
 def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
     """Adds the cell type and the parsed forms of every distinct value."""
     v = F.col("value")
-    return freq.select(
+    flags = freq.select(
         "*",
-        ct.cell_type(v, formats).alias("cell_type"),
+        ct.is_empty(v).alias("_empty"),
+        v.rlike(ct.INT_PATTERN).alias("_int"),
+        v.rlike(ct.REAL_PATTERN).alias("_real"))
+    # each value is parsed as a date at most once, and only when it is not
+    # empty, int or real
+    parsed = flags.withColumn(
+        "ts", F.when(~(F.col("_empty") | F.col("_int") | F.col("_real")), ct.date_value(v, formats)))
+    kind = (F.when(F.col("_empty"), F.lit(ct.EMPTY)).when(F.col("_int"), F.lit(ct.INT))
+             .when(F.col("_real"), F.lit(ct.REAL)).when(F.col("ts").isNotNull(), F.lit(ct.DATE))
+             .otherwise(F.lit(ct.TEXT)))
+    return parsed.select(
+        *freq.columns, kind.alias("cell_type"),
         ct.int_value(v).alias("int_value"),
         ct.real_value(v).alias("real_value"),
-        ct.date_value(v, formats).alias("ts"),
-        F.length(v).alias("len"))
+        "ts", F.length(v).alias("len"))
 
 
 def cell_table(cells: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
@@ -79,114 +88,159 @@ def frequent_values(freq: DataFrame, k: int = 5) -> DataFrame:
                 .filter(F.col("rank") <= k))
 
 
+def column_stats(typed: DataFrame) -> DataFrame:
+    """Every per-column statistic in ONE aggregation over the typed
+    frequency table (conditional aggregates per type).  Only the deviation
+    needs a second pass (:func:`_deviations`)."""
+    f, v, t = F.col("freq"), F.col("value"), F.col("cell_type")
+    empty = ct.is_empty(v)
+
+    def on(type_name, e):
+        return F.when(t == type_name, e)
+
+    aggs = [
+        F.sum(F.when(~empty, f).otherwise(0)).cast("long").alias("number_non_empty_cells"),
+        F.sum(F.when(empty, f).otherwise(0)).cast("long").alias("number_empty_cells"),
+        F.sum(f).cast("long").alias("number_cells"),
+        F.count(F.lit(1)).alias("number_distinct_values"),
+    ]
+    for name, val in ((ct.INT, F.col("int_value")), (ct.REAL, F.col("real_value"))):
+        aggs += [
+            F.sum(on(name, f)).cast("long").alias(f"{name}_count"),
+            F.max(on(name, val)).alias(f"{name}_max"),
+            F.min(on(name, val)).alias(f"{name}_min"),
+            F.sum(on(name, val.cast("double") * f)).alias(f"{name}_sum"),
+        ]
+    aggs += [
+        F.sum(on(ct.TEXT, f)).cast("long").alias("text_count"),
+        F.min_by(on(ct.TEXT, v), on(ct.TEXT, F.struct("len", "value"))).alias("shortest_value"),
+        F.min_by(on(ct.TEXT, v), on(ct.TEXT, F.struct((-F.col("len")).alias("nlen"), "value")))
+         .alias("longest_value"),
+        F.sum(on(ct.TEXT, F.col("len") * f)).alias("text_len_sum"),
+        F.sum(on(ct.DATE, f)).cast("long").alias("date_count"),
+        F.max_by(on(ct.DATE, v), on(ct.DATE, F.struct("ts", "value"))).alias("date_max"),
+        F.min_by(on(ct.DATE, v), on(ct.DATE, F.struct("ts", "value"))).alias("date_min"),
+    ]
+    stats = typed.groupBy(*KEY).agg(*aggs)
+    return (stats
+            .withColumn("int_mean", F.col("int_sum") / F.col("int_count"))
+            .withColumn("real_mean", F.col("real_sum") / F.col("real_count")))
+
+
+def _deviations(typed: DataFrame, stats: DataFrame) -> DataFrame:
+    """Second pass: ``sum(freq * (x - mean)^2)`` per (column, int|real).
+
+    The means table has one row per profiled column (bounded by the
+    catalogue's width, not by the data), so it is broadcast.
+    """
+    means = F.broadcast(stats.select(*KEY, "int_mean", "real_mean"))
+    num = typed.filter(F.col("cell_type").isin(ct.INT, ct.REAL))
+    x = F.coalesce(F.col("int_value").cast("double"), F.col("real_value"))
+    mean = F.when(F.col("cell_type") == ct.INT, F.col("int_mean")).otherwise(F.col("real_mean"))
+    return (num.join(means, KEY)
+               .groupBy(*KEY, "cell_type")
+               .agg(F.sum(F.col("freq") * F.pow(x - mean, 2)).alias("_ss")))
+
+
+def _numeric_rows(stats: DataFrame, dev: DataFrame) -> DataFrame:
+    """One row per (column, int|real) present."""
+    def block(name):
+        return F.struct(
+            F.lit(name).alias("cell_type"), F.col(f"{name}_count").alias("count"),
+            F.col(f"{name}_max").cast("double").alias("max_value"),
+            F.col(f"{name}_min").cast("double").alias("min_value"),
+            (F.col(f"{name}_max") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("max_int"),
+            (F.col(f"{name}_min") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("min_int"),
+            F.col(f"{name}_mean").alias("mean"))
+    rows = (stats.select(*KEY, F.explode(F.array(block(ct.INT), block(ct.REAL))).alias("b"))
+                 .filter(F.col("b.count") > 0)
+                 .select(*KEY, "b.*"))
+    keys = [*KEY, "cell_type"]
+    return (rows.join(dev, keys, "left")
+                .withColumn("stddev", F.sqrt(F.col("_ss") / F.col("count")))
+                .withColumn("root_sum_sq_dev", F.sqrt("_ss"))
+                .drop("_ss"))
+
+
 def numeric_stats(typed: DataFrame) -> DataFrame:
     """Per (column, int|real): count, max, min, mean, population standard
     deviation and the reference's undivided ``sqrt(sum((x - mean)^2))``.
-
-    The deviation is a second pass against the per-column means (one row
-    per numeric column, size-checked broadcast) instead of
-    ``sum(x^2) - n*mean^2``, which cancels badly.
-    """
-    num = typed.filter(F.col("cell_type").isin(ct.INT, ct.REAL)).withColumn(
-        "num", F.coalesce(F.col("int_value").cast("double"), F.col("real_value")))
-    keys = [*KEY, "cell_type"]
-    first = num.groupBy(*keys).agg(
-        F.sum("freq").cast("long").alias("count"),
-        F.max("int_value").alias("max_int"), F.min("int_value").alias("min_int"),
-        F.max("real_value").alias("max_real"), F.min("real_value").alias("min_real"),
-        (F.sum(F.col("num") * F.col("freq")) / F.sum("freq")).alias("mean"))
-    means = sized_broadcast(first.select(*keys, F.col("mean").alias("_mean")))
-    dev = (num.join(means, keys)
-              .groupBy(*keys)
-              .agg(F.sum(F.col("freq") * F.pow(F.col("num") - F.col("_mean"), 2)).alias("_ss")))
-    return (first.join(dev, keys, "left")
-                 .select(*keys, "count",
-                         F.coalesce(F.col("max_int").cast("double"), F.col("max_real")).alias("max_value"),
-                         F.coalesce(F.col("min_int").cast("double"), F.col("min_real")).alias("min_value"),
-                         "max_int", "min_int", "mean",
-                         F.sqrt(F.col("_ss") / F.col("count")).alias("stddev"),
-                         F.sqrt("_ss").alias("root_sum_sq_dev")))
+    The deviation is a second pass against the means, not
+    ``sum(x^2) - n*mean^2``, which cancels badly."""
+    stats = column_stats(typed)
+    return _numeric_rows(stats, _deviations(typed, stats))
 
 
 def text_stats(typed: DataFrame) -> DataFrame:
     """Per text column: count, shortest and longest value (ties: smallest
     value), average length."""
-    t = typed.filter(F.col("cell_type") == ct.TEXT)
-    return t.groupBy(*KEY).agg(
-        F.sum("freq").cast("long").alias("count"),
-        F.min_by("value", F.struct("len", "value")).alias("shortest_value"),
-        F.min_by("value", F.struct((-F.col("len")).alias("nlen"), "value")).alias("longest_value"),
-        (F.sum(F.col("len") * F.col("freq")) / F.sum("freq")).alias("average_length"))
+    return (column_stats(typed).filter(F.col("text_count") > 0)
+            .select(*KEY, F.col("text_count").alias("count"), "shortest_value", "longest_value",
+                    (F.col("text_len_sum") / F.col("text_count")).alias("average_length")))
 
 
 def date_stats(typed: DataFrame) -> DataFrame:
     """Per date column: count, latest and earliest cell by parsed instant;
     the original text is returned (ties: by text)."""
-    d = typed.filter(F.col("cell_type") == ct.DATE)
-    return d.groupBy(*KEY).agg(
-        F.sum("freq").cast("long").alias("count"),
-        F.max_by("value", F.struct("ts", "value")).alias("max_value"),
-        F.min_by("value", F.struct("ts", "value")).alias("min_value"))
+    return (column_stats(typed).filter(F.col("date_count") > 0)
+            .select(*KEY, F.col("date_count").alias("count"),
+                    F.col("date_max").alias("max_value"), F.col("date_min").alias("min_value")))
 
 
-def _type_blocks(typed: DataFrame) -> DataFrame:
-    """One struct per (column, type) in the document layout."""
-    n = numeric_stats(typed).select(
-        *KEY,
-        F.struct(
-            F.when(F.col("cell_type") == ct.INT, F.lit(ct.TYPE_LABELS[ct.INT]))
-             .otherwise(F.lit(ct.TYPE_LABELS[ct.REAL])).alias("type"),
-            F.col("count"),
-            F.coalesce(F.col("max_int").cast("string"), F.col("max_value").cast("string")).alias("max_value"),
-            F.coalesce(F.col("min_int").cast("string"), F.col("min_value").cast("string")).alias("min_value"),
-            F.col("mean"), F.col("stddev"), F.col("root_sum_sq_dev"),
-            F.lit(None).cast("string").alias("shortest_values"),
-            F.lit(None).cast("string").alias("longest_values"),
-            F.lit(None).cast("double").alias("average_length")).alias("block"))
-    t = text_stats(typed).select(
-        *KEY,
-        F.struct(
-            F.lit(ct.TYPE_LABELS[ct.TEXT]).alias("type"), F.col("count"),
-            F.lit(None).cast("string").alias("max_value"),
-            F.lit(None).cast("string").alias("min_value"),
-            F.lit(None).cast("double").alias("mean"),
-            F.lit(None).cast("double").alias("stddev"),
-            F.lit(None).cast("double").alias("root_sum_sq_dev"),
-            F.col("shortest_value").alias("shortest_values"),
-            F.col("longest_value").alias("longest_values"),
-            F.col("average_length")).alias("block"))
-    d = date_stats(typed).select(
-        *KEY,
-        F.struct(
-            F.lit(ct.TYPE_LABELS[ct.DATE]).alias("type"), F.col("count"),
-            F.col("max_value"), F.col("min_value"),
-            F.lit(None).cast("double").alias("mean"),
-            F.lit(None).cast("double").alias("stddev"),
-            F.lit(None).cast("double").alias("root_sum_sq_dev"),
-            F.lit(None).cast("string").alias("shortest_values"),
-            F.lit(None).cast("string").alias("longest_values"),
-            F.lit(None).cast("double").alias("average_length")).alias("block"))
-    return n.unionByName(t).unionByName(d)
+_BLOCK_FIELDS = ("type", "count", "max_value", "min_value", "mean", "stddev", "root_sum_sq_dev",
+                 "shortest_values", "longest_values", "average_length")
+
+
+def _block(**given) -> Column:
+    types = {"type": "string", "count": "long", "max_value": "string", "min_value": "string",
+             "mean": "double", "stddev": "double", "root_sum_sq_dev": "double",
+             "shortest_values": "string", "longest_values": "string", "average_length": "double"}
+    return F.struct(*[(given[k] if k in given else F.lit(None)).cast(types[k]).alias(k)
+                      for k in _BLOCK_FIELDS])
 
 
 def column_profiles(cells: DataFrame, k: int = 5,
                     formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
     """One row per (dataset, column) with counts, top-k values and type
     blocks.  Columns that are entirely empty are kept with no type block
-    (the reference dropped them through an inner join)."""
+    (the reference dropped them through an inner join).
+
+    The typed frequency table is read by two aggregations only; type blocks
+    are assembled from the one row of statistics per column.
+    """
     freq = value_frequencies(cells)
     typed = typed_frequencies(freq, formats)
-    counts = column_counts(freq)
+    stats = column_stats(typed)
+    dev = (_deviations(typed, stats)
+           .groupBy(*KEY)
+           .agg(F.max(F.when(F.col("cell_type") == ct.INT, F.col("_ss"))).alias("int_ss"),
+                F.max(F.when(F.col("cell_type") == ct.REAL, F.col("_ss"))).alias("real_ss")))
     top = (frequent_values(freq, k)
            .groupBy(*KEY)
            .agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))),
-                            lambda s: s["value"]).alias("frequent_values")))
-    blocks = (_type_blocks(typed).groupBy(*KEY)
-              .agg(F.array_sort(F.collect_list("block")).alias("data_types")))
-    return (counts.join(top, KEY, "left").join(blocks, KEY, "left")
-                  .withColumn("data_types",
-                              F.coalesce(F.col("data_types"),
-                                         F.array().cast(blocks.schema["data_types"].dataType))))
+                            lambda x: x["value"]).alias("frequent_values")))
+
+    def num_block(name, label):
+        n, ss = F.col(f"{name}_count"), F.col(f"{name}_ss")
+        return F.when(n > 0, _block(
+            type=F.lit(label), count=n,
+            max_value=F.col(f"{name}_max").cast("string"), min_value=F.col(f"{name}_min").cast("string"),
+            mean=F.col(f"{name}_mean"), stddev=F.sqrt(ss / n), root_sum_sq_dev=F.sqrt(ss)))
+
+    blocks = F.array(
+        num_block(ct.INT, ct.TYPE_LABELS[ct.INT]),
+        num_block(ct.REAL, ct.TYPE_LABELS[ct.REAL]),
+        F.when(F.col("text_count") > 0, _block(
+            type=F.lit(ct.TYPE_LABELS[ct.TEXT]), count=F.col("text_count"),
+            shortest_values=F.col("shortest_value"), longest_values=F.col("longest_value"),
+            average_length=F.col("text_len_sum") / F.col("text_count"))),
+        F.when(F.col("date_count") > 0, _block(
+            type=F.lit(ct.TYPE_LABELS[ct.DATE]), count=F.col("date_count"),
+            max_value=F.col("date_max"), min_value=F.col("date_min"))))
+    return (stats.join(dev, KEY, "left").join(top, KEY, "left")
+                 .select(*KEY, "number_non_empty_cells", "number_empty_cells", "number_cells",
+                         "number_distinct_values", "frequent_values",
+                         F.array_sort(F.filter(blocks, lambda b: b.isNotNull())).alias("data_types")))
 
 
 def profile_documents(cells: DataFrame, k: int = 5,

@@ -13,10 +13,9 @@ Plan shape, for any scale:
   both sides read the same exchange.  A uid holds one item per attribute,
   so it yields at most C(#attributes, 2) pairs.  Pair counts again combine
   map-side, so a hot pair does not load one task.
-* Triples reuse the per-uid pairs: a pair ``(i, j)`` joined with the uid's
-  consequent pair ``(i, v)`` on ``(uid, i)``.  Infrequent pairs are pruned
-  first with semi-joins on ``F2`` (Apriori); by anti-monotonicity the
-  surviving counts equal those of the reference's candidate table ``C3``.
+* Triples: per uid, pairs of non-consequent items joined with the uid's
+  consequent item.  By anti-monotonicity the frequent ones equal those of
+  the reference's candidate table ``C3``; pruning by ``F2`` is optional.
 * Rules are equi-joins between these small frequent tables.
 """
 
@@ -68,21 +67,38 @@ def frequent_pairs(items: DataFrame, f1: DataFrame, supp: int) -> DataFrame:
             .filter(F.col("supp") >= supp))
 
 
-def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame, supp: int,
+def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp: int,
                      consequent: str = "vdecile") -> DataFrame:
     """F3(attr1, val1, attr2, val2, attr3, val3, supp) with ``attr3`` the
-    consequent attribute — the reference's C3 candidates counted."""
-    pairs = uid_pairs(items, f1)
-    f2_keys = f2.select("attr1", "val1", "attr2", "val2")  # broadcast by AQE when small
-    pairs = pairs.join(f2_keys, ["attr1", "val1", "attr2", "val2"], "left_semi")
-    left = pairs.filter(F.col("attr2") != consequent)
-    right = (pairs.filter(F.col("attr2") == consequent)
-                  .select("uid", "attr1", "val1",
-                          F.col("attr2").alias("attr3"), F.col("val2").alias("val3")))
-    return (left.join(right, ["uid", "attr1", "val1"])
-                .groupBy("attr1", "val1", "attr2", "val2", "attr3", "val3")
-                .agg(F.count(F.lit(1)).alias("supp"))
-                .filter(F.col("supp") >= supp))
+    consequent attribute — the reference's C3 candidates, counted.
+
+    Per uid: pairs of non-consequent items (``attr1 < attr2``,
+    ``attr1 < consequent``) joined on ``uid`` with the uid's consequent
+    item.  C3 also asks that (item1, item2) and (item1, consequent) be in
+    F2; a triple with support >= ``supp`` has both pairs frequent
+    (anti-monotonicity), so the counts kept are the same with or without
+    that test.  Passing ``f2`` applies it as an early (broadcast-sized)
+    semi-join, which pays off when many pairs are infrequent.
+    """
+    t = _pruned(items, f1)
+    body = t.filter(F.col("attr") != consequent)
+    a = body.select("uid", F.col("attr").alias("attr1"), F.col("val").alias("val1"))
+    b = body.select("uid", F.col("attr").alias("attr2"), F.col("val").alias("val2"))
+    pairs = (a.join(b, "uid")
+              .filter((F.col("attr1") < F.col("attr2")) & (F.col("attr1") < F.lit(consequent))))
+    cons = t.filter(F.col("attr") == consequent).select(
+        "uid", F.col("attr").alias("attr3"), F.col("val").alias("val3"))
+    if f2 is not None:
+        keys = f2.select("attr1", "val1", "attr2", "val2")
+        pairs = pairs.join(keys, ["attr1", "val1", "attr2", "val2"], "left_semi")
+    triples = pairs.join(cons, "uid")
+    if f2 is not None:
+        cons_keys = f2.filter(F.col("attr2") == consequent).select(
+            "attr1", "val1", F.col("attr2").alias("attr3"), F.col("val2").alias("val3"))
+        triples = triples.join(cons_keys, ["attr1", "val1", "attr3", "val3"], "left_semi")
+    return (triples.groupBy("attr1", "val1", "attr2", "val2", "attr3", "val3")
+                   .agg(F.count(F.lit(1)).alias("supp"))
+                   .filter(F.col("supp") >= supp))
 
 
 def rules2(f1: DataFrame, f2: DataFrame, conf: float,
@@ -159,7 +175,7 @@ def mine_rules(items: DataFrame, supp: int, conf: float, prot: float,
     keep = (lambda d: d.persist(StorageLevel.MEMORY_AND_DISK)) if persist else (lambda d: d)
     f1 = keep(frequent_items(items, supp))
     f2 = keep(frequent_pairs(items, f1, supp))
-    f3 = keep(frequent_triples(items, f1, f2, supp, consequent))
+    f3 = keep(frequent_triples(items, f1, None, supp, consequent))
     r2 = rules2(f1, f2, conf, consequent)
     r3 = rules3(f2, f3, conf, consequent)
     return RuleSet(f1, f2, f3, r2, r3, protected_rules(r2, r3, prot, protected))

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StringIndexer
@@ -58,8 +59,17 @@ def classifier_pipeline(max_iter: int = 20, reg_param: float = 0.001,
     ])
 
 
-def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001) -> PipelineModel:
-    return classifier_pipeline(max_iter, reg_param).fit(train)
+def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001,
+        partitions: int | None = None) -> PipelineModel:
+    """Fit the pipeline.  The training rows are spread over ``partitions``
+    (default: the shuffle partitions) and kept for the fit only — the
+    indexer, IDF and every optimiser iteration read them again."""
+    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = train.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return classifier_pipeline(max_iter, reg_param).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: PipelineModel, docs: DataFrame) -> DataFrame:
@@ -80,7 +90,7 @@ def remove_words(docs: DataFrame, words: Sequence[str], text: str = "text") -> D
 
 
 def perturbations(docs: DataFrame, num_samples: int = 256, kernel_width: float = 25.0,
-                  key: str = "id", text: str = "text") -> DataFrame:
+                  key: str = "id", text: str = "text", partitions: int | None = None) -> DataFrame:
     """Perturbed copies: ``(id, s, text, kept ARRAY<BOOLEAN>, vocab, weight)``.
 
     ``kept[j]`` tells whether distinct word j (first-appearance order) is
@@ -89,6 +99,10 @@ def perturbations(docs: DataFrame, num_samples: int = 256, kernel_width: float =
     toks = docs.select(F.col(key).alias("id"), word_tokens(F.col(text)).alias("tokens"))
     toks = toks.withColumn("vocab", F.array_distinct("tokens"))
     copies = toks.select("*", F.explode(F.sequence(F.lit(0), F.lit(num_samples - 1))).alias("s"))
+    # The fan-out is the heavy part: spread the copies of every document
+    # over all tasks, so one long document does not load a single task.
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies.repartition(n, "id", "s")
     rate = F.when(F.col("s") == 0, F.lit(0.0)).otherwise(_uniform(F.col("id"), F.col("s")))
     copies = copies.withColumn("rate", rate)
     keep = lambda w: _uniform(F.col("id"), F.col("s"), w) >= F.col("rate")

@@ -318,9 +318,7 @@ def _f2(items):
 
 
 def _f3(items):
-    f1 = _f1(items)
-    return rules.frequent_triples(items, f1, rules.frequent_pairs(items, f1, RULE_SUPP),
-                                  RULE_SUPP, RULE_CONSEQUENT)
+    return rules.frequent_triples(items, _f1(items), None, RULE_SUPP, RULE_CONSEQUENT)
 
 
 def _r2(items):
