@@ -30,7 +30,10 @@ def unresolved(df: DataFrame, closed: DataFrame, key: str,
     would carry the whole right side through the join.
     """
     ck = closed_key or key
-    right = closed.select(F.col(ck).alias("_ck"))
+    # Only the distinct keys of the right side matter; deduplicating them
+    # map-side before the shuffle shrinks it when keys repeat (several
+    # line items per order, clustered in the files).
+    right = closed.select(F.col(ck).alias("_ck")).distinct()
     return df.join(right, df[key] == right["_ck"], "left_anti")
 
 

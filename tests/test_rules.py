@@ -55,6 +55,9 @@ def test_all_levels_match_brute_force(spark):
     assert got_r2.keys() == r2.keys()
     assert all(abs(got_r2[k][1] - r2[k][1]) < 1e-12 for k in r2)
     assert {((r.attr1, r.val1), (r.attr2, r.val2), (r.attr3, r.val3)) for r in got.r3.collect()} == set(r3)
+    pruned = rules.frequent_triples(items, got.f1, got.f2, 20, "vdecile")
+    assert {((r.attr1, r.val1), (r.attr2, r.val2), (r.attr3, r.val3)): r.supp
+            for r in pruned.collect()} == f3
     got_pd = {((r.attr1, r.val1), (r.attr2, r.val2), (r.attr3, r.val3)): r.prot for r in got.pd_r3.collect()}
     assert got_pd.keys() == pd.keys() and all(abs(got_pd[k] - pd[k]) < 1e-12 for k in pd)
 
