@@ -216,6 +216,21 @@ def rule_table(strict_reference: bool = False) -> list[Rule]:
     ]
 
 
+def draft_rule_table() -> list[Rule]:
+    """The reduced rule table of the reference's drafts: name rules first,
+    a stricter person-name pattern, New York zip codes (5 digits starting
+    with 1), and business/school names accepted when non-empty."""
+    return [
+        Rule("person_name", (("name", "first"), ("name", "last"), ("name", "family"),
+                             ("name", "middle")),
+             _re(r"(?dU)^[a-zA-Z]+,? ?[a-zA-Z]*$", r"^[a-zA-Z]+,? ?[a-zA-Z]*$")),
+        Rule("business_name", (("business",),), Validator("len", (1,))),
+        Rule("school_name", (("school",),), Validator("len", (1,))),
+        Rule("ny_zipcode", (("zip",),), _re(r"^1\d{4}$", r"^1\d{4}$")),
+    ] + [r for r in rule_table() if r.label not in
+         ("person_name", "business_name", "school_name", "zip_code")]
+
+
 NULL_LABEL, OTHER_LABEL = "NULL", "Other"
 
 

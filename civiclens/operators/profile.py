@@ -43,8 +43,11 @@ def value_frequencies(cells: DataFrame) -> DataFrame:
                  .groupBy(*KEY, "value").agg(F.count(F.lit(1)).alias("freq")))
 
 
-def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
-    """Adds the cell type and the parsed forms of every distinct value."""
+def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
+                      date_by_name: bool = False) -> DataFrame:
+    """Adds the cell type and the parsed forms of every distinct value.
+    ``date_by_name=True`` applies a draft rule of the reference: non-numeric
+    cells of columns named like dates (date, year, time, ...) are dates."""
     v = F.col("value")
     flags = freq.select(
         "*",
@@ -56,7 +59,10 @@ def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS)
     parsed = flags.withColumn(
         "ts", F.when(~(F.col("_empty") | F.col("_int") | F.col("_real")), ct.date_value(v, formats)))
     kind = (F.when(F.col("_empty"), F.lit(ct.EMPTY)).when(F.col("_int"), F.lit(ct.INT))
-             .when(F.col("_real"), F.lit(ct.REAL)).when(F.col("ts").isNotNull(), F.lit(ct.DATE))
+             .when(F.col("_real"), F.lit(ct.REAL))
+             .when(ct.name_like_date(F.col("column_name")) if date_by_name else F.lit(False),
+                   F.lit(ct.DATE))
+             .when(F.col("ts").isNotNull(), F.lit(ct.DATE))
              .otherwise(F.lit(ct.TEXT)))
     return parsed.select(
         *freq.columns, kind.alias("cell_type"),
@@ -200,7 +206,7 @@ def _block(**given) -> Column:
 
 
 def column_profiles(cells: DataFrame, k: int = 5,
-                    formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
+                    formats: Sequence[str] = ct.DATE_FORMATS, date_by_name: bool = False) -> DataFrame:
     """One row per (dataset, column) with counts, top-k values and type
     blocks.  Columns that are entirely empty are kept with no type block
     (the reference dropped them through an inner join).
@@ -209,7 +215,7 @@ def column_profiles(cells: DataFrame, k: int = 5,
     are assembled from the one row of statistics per column.
     """
     freq = value_frequencies(cells)
-    typed = typed_frequencies(freq, formats)
+    typed = typed_frequencies(freq, formats, date_by_name)
     stats = column_stats(typed)
     dev = (_deviations(typed, stats)
            .groupBy(*KEY)

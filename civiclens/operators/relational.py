@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.functions.text import strip_edge_punct, whitespace_tokens
-from civiclens.operators._plan import sized_broadcast
+from civiclens.operators._plan import global_rank, sized_broadcast
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -48,8 +48,12 @@ def count_by(df: DataFrame, keys: str | Sequence[str], out: str = "num",
 
 def sum_avg_by(df: DataFrame, key: str | Sequence[str], value: str,
                total: str = "total", average: str = "average",
-               decimals: int | None = 2) -> DataFrame:
-    """Sum and mean of ``value`` per key, rounded like the ``%.2f`` output."""
+               decimals: int | None = 2, key_length: int | None = None) -> DataFrame:
+    """Sum and mean of ``value`` per key, rounded like the ``%.2f`` output.
+    ``key_length`` keeps only keys of that length (the MapReduce variant
+    accepted licence types of exactly 3 characters)."""
+    if key_length is not None:
+        df = df.filter(F.length(F.col(_cols(key)[0])) == key_length)
     s, a = F.sum(value), F.avg(value)
     if decimals is not None:
         s, a = F.round(s, decimals), F.round(a, decimals)
@@ -152,3 +156,15 @@ def word_count(df: DataFrame, text_col: str, word: str = "word", out: str = "num
                .select(F.lower(strip_edge_punct(F.col("_w"))).alias(word))
                .filter(F.col(word) != ""))
     return words.groupBy(word).agg(F.count(F.lit(1)).alias(out))
+
+
+def row_index(df: DataFrame, order: Sequence[str | Column], out: str = "id") -> DataFrame:
+    """0-based row index following a declared total order (the reference
+    used ``zipWithIndex``, whose numbering depends on partitioning)."""
+    return global_rank(df, list(order), out).drop("_total")
+
+
+def sample_one(df: DataFrame, fraction: float = 0.1, seed: int = 10) -> DataFrame:
+    """A random sample, then one row of it (a sampling operator: the limit
+    is the feature)."""
+    return df.sample(False, fraction, seed).limit(1)

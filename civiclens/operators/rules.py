@@ -101,53 +101,76 @@ def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp
                    .filter(F.col("supp") >= supp))
 
 
+def _passes(value, threshold: float, strict: bool, decimals: int | None):
+    v = F.round(value, decimals) if decimals is not None else value
+    return v > threshold if strict else v >= threshold
+
+
 def rules2(f1: DataFrame, f2: DataFrame, conf: float,
-           consequent: str = "vdecile") -> DataFrame:
-    """R2: item → consequent item, conf = supp(pair) / supp(item)."""
+           consequent: str = "vdecile", strict: bool = False,
+           conf_decimals: int | None = None) -> DataFrame:
+    """R2: item → consequent item, conf = supp(pair) / supp(item).
+
+    Variants of the reference's other drafts: ``strict=True`` uses ``>``;
+    ``conf_decimals=2`` rounds the confidence before the threshold test.
+    """
     lhs = f1.select(F.col("attr").alias("attr1"), F.col("val").alias("val1"),
                     F.col("supp").alias("_s1"))
     c = F.col("supp") / F.col("_s1")
     return (f2.filter(F.col("attr2") == consequent)
               .join(lhs, ["attr1", "val1"])
               .withColumn("conf", c)
-              .filter(F.col("conf") >= conf)
+              .filter(_passes(F.col("conf"), conf, strict, conf_decimals))
               .select("attr1", "val1", "attr2", "val2", "supp", "conf"))
 
 
 def rules3(f2: DataFrame, f3: DataFrame, conf: float,
-           consequent: str = "vdecile") -> DataFrame:
+           consequent: str = "vdecile", strict: bool = False,
+           conf_decimals: int | None = None) -> DataFrame:
     """Two items → consequent item, conf = supp(triple) / supp(pair)."""
     lhs = f2.withColumnRenamed("supp", "_s2")
     return (f3.filter(F.col("attr3") == consequent)
               .join(lhs, ["attr1", "val1", "attr2", "val2"])
               .withColumn("conf", F.col("supp") / F.col("_s2"))
-              .filter(F.col("conf") >= conf)
+              .filter(_passes(F.col("conf"), conf, strict, conf_decimals))
               .select("attr1", "val1", "attr2", "val2", "attr3", "val3", "supp", "conf"))
 
 
 def protected_rules(r2: DataFrame, r3: DataFrame, prot: float,
-                    protected: str = "race", any_position: bool = False) -> DataFrame:
+                    protected: str = "race", any_position: bool = False,
+                    match_consequent_value: bool = True, match_left_value: bool = True,
+                    strict: bool = False, prot_decimals: int | None = None) -> DataFrame:
     """PD_R3: rules of R3 whose second item is the protected attribute,
     with prot = conf(R3) / conf(R2 of the same first item and consequent).
 
     ``any_position=True`` also accepts the protected attribute as the first
-    item (then the other item is the base rule's left side).
+    item (then the other item is the base rule's left side).  The other
+    drafts of the reference are parameters: ``match_consequent_value=False``
+    joins the base rule on the consequent attribute only,
+    ``match_left_value=False`` on the left attribute only, ``strict`` uses
+    ``>`` and ``prot_decimals`` rounds before the test.
     """
     base = r2.select(F.col("attr1").alias("_ba"), F.col("val1").alias("_bv"),
                      F.col("attr2").alias("_ca"), F.col("val2").alias("_cv"),
                      F.col("conf").alias("_bconf"))
-    cond_second = ((F.col("attr2") == protected) & (F.col("attr1") == F.col("_ba"))
-                   & (F.col("val1") == F.col("_bv")))
-    on = [r3["attr3"] == base["_ca"], r3["val3"] == base["_cv"]]
+    on = [r3["attr3"] == base["_ca"]]
+    if match_consequent_value:
+        on.append(r3["val3"] == base["_cv"])
+    second = (F.col("attr2") == protected) & (F.col("attr1") == F.col("_ba"))
+    if match_left_value:
+        second = second & (F.col("val1") == F.col("_bv"))
     if any_position:
-        cond_first = ((F.col("attr1") == protected) & (F.col("attr2") == F.col("_ba"))
-                      & (F.col("val2") == F.col("_bv")))
-        joined = r3.join(base, on).filter(cond_second | cond_first)
+        first = (F.col("attr1") == protected) & (F.col("attr2") == F.col("_ba"))
+        if match_left_value:
+            first = first & (F.col("val2") == F.col("_bv"))
+        joined = r3.join(base, on).filter(second | first)
     else:
-        joined = (r3.filter(F.col("attr2") == protected)
-                    .join(base, on + [r3["attr1"] == base["_ba"], r3["val1"] == base["_bv"]]))
+        cond = on + [r3["attr1"] == base["_ba"]]
+        if match_left_value:
+            cond.append(r3["val1"] == base["_bv"])
+        joined = r3.filter(F.col("attr2") == protected).join(base, cond)
     return (joined.withColumn("prot", F.col("conf") / F.col("_bconf"))
-                  .filter(F.col("prot") >= prot)
+                  .filter(_passes(F.col("prot"), prot, strict, prot_decimals))
                   .select("attr1", "val1", "attr2", "val2", "attr3", "val3",
                           "supp", "conf", "prot"))
 
