@@ -36,6 +36,15 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
+def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) when the input has fewer partitions — e.g. a
+    gzip file or a single row group — before CPU-heavy per-row work.  On a
+    cluster scan with thousands of splits this returns ``df`` unchanged."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.functions.text import strip_edge_punct, whitespace_tokens
-from civiclens.operators._plan import global_rank, sized_broadcast
+from civiclens.operators._plan import global_rank, sized_broadcast, spread_input
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -152,7 +152,8 @@ def fill_from_lookup(df: DataFrame, key: str, value: str, lookup: DataFrame,
 def word_count(df: DataFrame, text_col: str, word: str = "word", out: str = "num") -> DataFrame:
     """Words split on whitespace, edge punctuation stripped, lower-cased,
     empty words dropped, counted."""
-    words = (df.select(F.explode(whitespace_tokens(F.col(text_col))).alias("_w"))
+    text = spread_input(df.select(text_col))
+    words = (text.select(F.explode(whitespace_tokens(F.col(text_col))).alias("_w"))
                .select(F.lower(strip_edge_punct(F.col("_w"))).alias(word))
                .filter(F.col(word) != ""))
     return words.groupBy(word).agg(F.count(F.lit(1)).alias(out))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.functions.validators import Rule, column_label, semantic_label
+from civiclens.operators._plan import spread_input
 from civiclens.operators.profile import melt_cells
 
 KEY = ["dataset_name", "column_name"]
@@ -37,7 +38,7 @@ def label_wide(df: DataFrame, dataset_name: str, columns: Sequence[str] | None =
     the rule choice and each column keeps only its own validator — the
     rule is chosen once per column, at plan time."""
     cols = list(columns or df.columns)
-    labels = df.select(*[column_label(c, F.col(f"`{c}`").cast("string"), rules).alias(c)
+    labels = spread_input(df).select(*[column_label(c, F.col(f"`{c}`").cast("string"), rules).alias(c)
                          for c in cols])
     return melt_cells(labels, dataset_name, cols).withColumnRenamed("value", "semantic_type")
 

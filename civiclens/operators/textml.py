@@ -47,7 +47,7 @@ def split_train_test(df: DataFrame, train_fraction: float = 0.6, key: str = "id"
     return df.filter(u < train_fraction), df.filter(u >= train_fraction)
 
 
-def classifier_pipeline(max_iter: int = 20, reg_param: float = 0.001,
+def classifier_stages(max_iter: int = 20, reg_param: float = 0.001,
                         num_features: int = 1 << 18) -> Pipeline:
     return Pipeline(stages=[
         StringIndexer(inputCol="category", outputCol="label", stringOrderType="alphabetAsc",
@@ -67,7 +67,7 @@ def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001,
     n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     data = train.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return classifier_pipeline(max_iter, reg_param).fit(data)
+        return classifier_stages(max_iter, reg_param).fit(data)
     finally:
         data.unpersist()
 
