@@ -61,10 +61,10 @@ def classifier_stages(max_iter: int = 20, reg_param: float = 0.001,
 
 def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001,
         partitions: int | None = None) -> PipelineModel:
-    """Fit the pipeline.  The training rows are spread over ``partitions``
-    (default: the shuffle partitions) and kept for the fit only — the
+    """Fit the stages.  The training rows are spread over ``partitions``
+    (default: one per core of the cluster) and kept for the fit only — the
     indexer, IDF and every optimiser iteration read them again."""
-    n = partitions or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or train.sparkSession.sparkContext.defaultParallelism
     data = train.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return classifier_stages(max_iter, reg_param).fit(data)

@@ -134,8 +134,8 @@ def _orders_by_region_nation(t: Tables) -> DataFrame:
 @register("topk_per_group", """
 SELECT year, r_name, n_name, num, rank FROM (
   SELECT year, r_name, n_name, num,
-         row_number() OVER (PARTITION BY year, r_name ORDER BY num DESC, n_name) AS rank
-  FROM (SELECT year(o_orderdate) AS year, r_name, n_name, count(*) AS num
+         CAST(row_number() OVER (PARTITION BY year, r_name ORDER BY num DESC, n_name) AS INTEGER) AS rank
+  FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, r_name, n_name, count(*) AS num
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey
@@ -456,7 +456,7 @@ def q_profile_counts(spark, sf_dir):
 @register("profile_top5", _CELLS_SQL + """
 SELECT dataset_name, column_name, value, freq, rank FROM (
   SELECT dataset_name, column_name, value, freq,
-         row_number() OVER (PARTITION BY dataset_name, column_name ORDER BY freq DESC, value) AS rank
+         CAST(row_number() OVER (PARTITION BY dataset_name, column_name ORDER BY freq DESC, value) AS INTEGER) AS rank
   FROM (SELECT dataset_name, column_name, value, count(*) AS freq FROM typed GROUP BY ALL)
 ) WHERE rank <= 5
 """)
@@ -798,9 +798,9 @@ QUERY_REMOVED_WORDS = ("the", "and", "des", "und", "que")
 
 @register("remove_words", "SELECT doc_id, " + "".join("replace(" for _ in QUERY_REMOVED_WORDS)
           + "text" + "".join(f", '{w}', '')" for w in QUERY_REMOVED_WORDS)
-          + " AS text, length(" + "".join("replace(" for _ in QUERY_REMOVED_WORDS)
+          + " AS text, CAST(length(" + "".join("replace(" for _ in QUERY_REMOVED_WORDS)
           + "text" + "".join(f", '{w}', '')" for w in QUERY_REMOVED_WORDS)
-          + ") AS n_chars_clean FROM documents")
+          + ") AS INTEGER) AS n_chars_clean FROM documents")
 def q_remove_words(spark, sf_dir):
     clean = remove_substrings(F.col("text"), QUERY_REMOVED_WORDS)
     return Tables(spark, sf_dir).documents.select(
@@ -843,7 +843,7 @@ p AS (
          length(t.given_name) + length(c.column_name) - 2 * (
            SELECT {_LCS_SQL} FROM (SELECT t.given_name AS a, c.column_name AS b)) AS distance
   FROM t JOIN c USING (conv_id))
-SELECT conv_id, given_name, column_name AS resolved_name, distance FROM (
+SELECT conv_id, given_name, column_name AS resolved_name, CAST(distance AS INTEGER) AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id, given_name ORDER BY distance, position) AS rn
   FROM p) WHERE rn = 1
 """)
