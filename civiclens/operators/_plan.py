@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +46,21 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
+def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
+    """Compute ``df`` once for several consumers.
+
+    ``"checkpoint"`` writes it to the cluster's checkpoint folder (survives
+    executor loss, cuts the lineage); ``"persist"`` caches it (recomputed
+    from lineage if an executor is lost); ``None`` leaves it lazy.
+    """
+    if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row
 
 

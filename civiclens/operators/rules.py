@@ -24,10 +24,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclens.operators._plan import materialize
+
 
 
 def long_items(wide: DataFrame, uid: str, attrs: Sequence[str],
@@ -191,11 +192,13 @@ class RuleSet:
 
 def mine_rules(items: DataFrame, supp: int, conf: float, prot: float,
                consequent: str = "vdecile", protected: str = "race",
-               persist: bool = True) -> RuleSet:
-    """All levels at once.  The small frequent tables are persisted so that
-    writing R2, R3 and PD_R3 does not recompute them (the reference's views
-    were re-planned for every write)."""
-    keep = (lambda d: d.persist(StorageLevel.MEMORY_AND_DISK)) if persist else (lambda d: d)
+               materialize_as: str | None = "checkpoint") -> RuleSet:
+    """All levels at once.  The long item table and the small frequent
+    tables are computed once each (``materialize_as``: "checkpoint",
+    "persist" or None) so that R2, R3 and PD_R3 do not recompute them — the
+    reference's views were re-planned for every write."""
+    keep = lambda d: materialize(d, materialize_as)
+    items = keep(items)
     f1 = keep(frequent_items(items, supp))
     f2 = keep(frequent_pairs(items, f1, supp))
     f3 = keep(frequent_triples(items, f1, None, supp, consequent))

@@ -21,7 +21,7 @@ from civiclens.operators import resolve
 from civiclens.functions.text import remove_substrings
 from civiclens.functions.validators import semantic_label_sql
 from civiclens.functions import celltypes as ct
-from civiclens.operators._plan import global_ntile
+from civiclens.operators._plan import global_ntile, materialize
 from civiclens.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -304,33 +304,67 @@ PD_R3 AS (
 def _rules_query(name: str, select_sql: str, build):
     @register(name, _ITEMS_SQL + select_sql)
     def q(spark, sf_dir):
-        return build(order_items(spark, sf_dir))
+        return build(_Levels(order_items(spark, sf_dir)))
     q.__name__ = f"q_{name}"
     return q
 
 
-def _f1(items):
-    return rules.frequent_items(items, RULE_SUPP)
+class _Levels:
+    """The levels a query needs, each computed once: the long item table
+    and the small frequent tables are checkpointed when a later level reads
+    them again; the query's own result stays lazy."""
 
+    def __init__(self, items: DataFrame):
+        self.items = materialize(items)
+        self._f1 = self._f2 = self._f3 = None
 
-def _f2(items):
-    return rules.frequent_pairs(items, _f1(items), RULE_SUPP)
+    def f1(self, keep: bool = True):
+        if self._f1 is None:
+            f1 = rules.frequent_items(self.items, RULE_SUPP)
+            if not keep:
+                return f1
+            self._f1 = materialize(f1)
+        return self._f1
 
+    def f2(self, keep: bool = True):
+        if self._f2 is None:
+            f2 = rules.frequent_pairs(self.items, self.f1(), RULE_SUPP)
+            if not keep:
+                return f2
+            self._f2 = materialize(f2)
+        return self._f2
 
-def _f3(items):
-    return rules.frequent_triples(items, _f1(items), None, RULE_SUPP, RULE_CONSEQUENT)
+    def f3(self, keep: bool = True):
+        if self._f3 is None:
+            f3 = rules.frequent_triples(self.items, self.f1(), None, RULE_SUPP, RULE_CONSEQUENT)
+            if not keep:
+                return f3
+            self._f3 = materialize(f3)
+        return self._f3
 
 
-def _r2(items):
-    return rules.rules2(_f1(items), _f2(items), RULE_CONF, RULE_CONSEQUENT)
+def _f1(lv):
+    return lv.f1(keep=False)
 
 
-def _r3(items):
-    return rules.rules3(_f2(items), _f3(items), RULE_CONF, RULE_CONSEQUENT)
+def _f2(lv):
+    return lv.f2(keep=False)
 
 
-def _pd(items):
-    return rules.protected_rules(_r2(items), _r3(items), RULE_PROT, RULE_PROTECTED)
+def _f3(lv):
+    return lv.f3(keep=False)
+
+
+def _r2(lv):
+    return rules.rules2(lv.f1(), lv.f2(), RULE_CONF, RULE_CONSEQUENT)
+
+
+def _r3(lv):
+    return rules.rules3(lv.f2(), lv.f3(), RULE_CONF, RULE_CONSEQUENT)
+
+
+def _pd(lv):
+    return rules.protected_rules(_r2(lv), _r3(lv), RULE_PROT, RULE_PROTECTED)
 
 
 _rules_query("freq_items", "SELECT attr, val, supp FROM F1", _f1)

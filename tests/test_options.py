@@ -31,7 +31,7 @@ def test_threshold_variants(spark):
 
 def test_protection_variants(spark):
     items = _items(spark)
-    rs = rules.mine_rules(items, 1, 0.0, 0.0, protected="race", persist=False)
+    rs = rules.mine_rules(items, 1, 0.0, 0.0, protected="race", materialize_as=None)
     exact = rs.pd_r3.count()
     loose = rules.protected_rules(rs.r2, rs.r3, 0.0, "race", match_consequent_value=False).count()
     assert loose >= exact > 0

@@ -45,7 +45,7 @@ def _brute(rows, supp, conf, prot, cons="vdecile", protected="race"):
 def test_all_levels_match_brute_force(spark):
     rows = _long_table()
     items = spark.createDataFrame(rows, "uid int, attr string, val int").repartition(5)
-    got = rules.mine_rules(items, supp=20, conf=0.2, prot=1.0, protected="race", persist=False)
+    got = rules.mine_rules(items, supp=20, conf=0.2, prot=1.0, protected="race")
     f1, f2, f3, r2, r3, pd = _brute(rows, 20, 0.2, 1.0)
     assert {(r.attr, r.val): r.supp for r in got.f1.collect()} == f1
     assert {((r.attr1, r.val1), (r.attr2, r.val2)): r.supp for r in got.f2.collect()} == f2
