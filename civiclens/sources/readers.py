@@ -109,18 +109,29 @@ def melt_datasets(spark: SparkSession, paths: Mapping[str, str], partitions: int
     a dataset whose header cannot be read goes to the quarantine frame
     ``(dataset_name, reason)`` instead of failing the run.
     """
-    cells, bad = None, []
+    parts, bad = [], []
     for name, path in paths.items():
         try:
             df = read_tsv_strings(spark, path, partitions)
             cols = [c for c in df.columns if c != "_corrupt_record"]
-            m = melt_cells(df, name, cols)
+            parts.append(melt_cells(df, name, cols))
         except Exception as e:  # noqa: BLE001 - per-dataset isolation
             bad.append((name, f"{type(e).__name__}: {str(e)[:200]}"))
-            continue
-        cells = m if cells is None else cells.unionByName(m)
     quarantine = spark.createDataFrame(bad, "dataset_name string, reason string")
-    return cells, quarantine
+    return union_all(parts), quarantine
+
+
+def union_all(frames: Sequence[DataFrame]) -> DataFrame | None:
+    """Union many frames as a balanced tree: analysis stays O(n log n) for
+    thousands of datasets (a left-deep chain re-analyses the growing plan
+    at every step); Catalyst flattens the unions afterwards."""
+    frames = list(frames)
+    if not frames:
+        return None
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i]
+                  for i in range(0, len(frames), 2)]
+    return frames[0]
 
 
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
