@@ -125,3 +125,24 @@ def classification_metrics(df: DataFrame, label: str = "label",
         (F.sum("tp").over(everything) / total).alias("accuracy"),
         (F.sum(F.coalesce(F.col("f1"), F.lit(0.0)) * F.col("support")).over(everything) / total)
         .alias("weighted_f1"))
+
+
+def header_table(spark, datasets) -> DataFrame:
+    """``(dataset_name, column_name, position)`` from the schemas of
+    ``{dataset_name: DataFrame}`` — schema metadata, one row per header."""
+    rows = [(name, c, i) for name, df in datasets.items() for i, c in enumerate(df.columns)]
+    return spark.createDataFrame(rows, "dataset_name string, column_name string, position int")
+
+
+def label_targets(cells: DataFrame, headers: DataFrame, targets: DataFrame,
+                  rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The reference's per-target flow as one job: every target
+    ``(dataset_name, given_name)`` is resolved to the closest header of its
+    dataset (insert/delete distance, first header wins ties), only that
+    column's cells are kept (semi-join) and labelled by its rule.
+    Returns label counts per (dataset, resolved column)."""
+    from civiclens.operators.resolve import resolve_names
+    resolved = resolve_names(targets, headers, ["dataset_name"])
+    chosen = resolved.select("dataset_name", F.col("resolved_name").alias("column_name")).distinct()
+    wanted = cells.join(chosen, KEY, "left_semi")
+    return count_labels(label_cells(wanted, rules))

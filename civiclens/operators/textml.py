@@ -140,8 +140,11 @@ def _explain_group(num_features: int):
         X = np.stack([np.asarray(k, dtype=float) for k in pdf["kept"]])
         y = pdf["target"].to_numpy(dtype=float)
         w = pdf["weight"].to_numpy(dtype=float)
-        if X.shape[1] == 0:
-            return pd.DataFrame({"id": [], "word": [], "weight": [], "rank": []})
+        if X.shape[1] == 0:  # a document without words has no explanation
+            return pd.DataFrame({"id": pd.Series([], dtype="int64"),
+                                 "word": pd.Series([], dtype="object"),
+                                 "weight": pd.Series([], dtype="float64"),
+                                 "rank": pd.Series([], dtype="int32")})
         # Feature choice as LIME's "highest weights": a lightly regularised
         # fit on all words, then the final ridge on the chosen ones.
         coef = _ridge(X, y, w, 0.01)

@@ -86,3 +86,26 @@ def test_classification_metrics(spark):
     got = {r.label: r for r in sem.classification_metrics(df).collect()}
     assert got[1.0].precision == 1.0 and abs(got[1.0].recall - 5 / 7) < 1e-12
     assert abs(got[0.0].accuracy - 0.8) < 1e-12
+
+
+def test_label_targets_resolves_then_labels(spark):
+    from civiclens.operators.profile import melt_cells
+    df = spark.createDataFrame([("BROOKLYN", "12 Main St 10001"), ("Mars", "x")],
+                               "`Borough Name` string, `Street Address` string")
+    cells = melt_cells(df, "ds")
+    headers = sem.header_table(spark, {"ds": df})
+    targets = spark.createDataFrame([("ds", "Borough_Name"), ("ds", "Street_Address")],
+                                    "dataset_name string, given_name string")
+    got = {(r.column_name, r.semantic_type): r["count"]
+           for r in sem.label_targets(cells, headers, targets).collect()}
+    assert got == {("Borough Name", "borough"): 1, ("Borough Name", "Other"): 1,
+                   ("Street Address", "address"): 1, ("Street Address", "Other"): 1}
+
+
+def test_explain_document_without_words(spark):
+    from civiclens.operators import textml
+    df = spark.createDataFrame([("a", "good words here", 1), ("b", "bad words there", 2)] * 5,
+                               "category string, text string, id long")
+    model = textml.fit(df)
+    out = textml.explain(model, spark.createDataFrame([(7, "!!! ...")], "id long, text string"), 3, 16)
+    assert out.count() == 0
