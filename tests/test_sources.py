@@ -66,3 +66,20 @@ def test_writers(spark, tmp_path):
     assert len(parts) == 1
     merged = writers.merge_documents(df.select("k", "n"), "datasets").first().json
     assert merged.startswith('{"datasets":[')
+
+
+def test_manifest_and_target_drivers(spark, tmp_path):
+    from civiclens.plans import drivers
+    (tmp_path / "d1.tsv").write_text("Borough\tCount\nBROOKLYN\t3\nMars\t\n")
+    (tmp_path / "d2.tsv").write_text("Street Name\nMain Street\n")
+    man = tmp_path / "files.csv"
+    man.write_text(f"{tmp_path}/d1.tsv 10\n{tmp_path}/d2.tsv 5\nbroken/d3.tsv 1\n{tmp_path}/nope.tsv 3\n")
+    docs, bad = drivers.profile_manifest(spark, str(man))
+    assert sorted(r.dataset_name for r in docs.collect()) == ["d1.tsv", "d2.tsv"]
+    assert sorted(r.dataset_name for r in bad.collect()) == ["d3.tsv", "nope.tsv"]
+    tg = tmp_path / "targets.txt"
+    tg.write_text("['d1.Borough.txt.gz', 'd2.Street_Name.txt.gz']")
+    got = {(r.dataset_name, r.column_name, r.semantic_type): r["count"]
+           for r in drivers.label_target_columns(spark, str(tg), str(tmp_path), suffix=".tsv").collect()}
+    assert got == {("d1", "Borough", "borough"): 1, ("d1", "Borough", "Other"): 1,
+                   ("d2", "Street Name", "street_name"): 1}
