@@ -19,7 +19,7 @@ from civiclens.operators import semantic as sem
 from civiclens.operators import textml
 from civiclens.operators import resolve
 from civiclens.functions.text import remove_substrings
-from civiclens.functions.validators import semantic_label_sql
+from civiclens.functions.validators import draft_rule_table, semantic_label_sql
 from civiclens.functions import celltypes as ct
 from civiclens.operators._plan import global_ntile, materialize
 from civiclens.sources.tables import Tables
@@ -199,6 +199,7 @@ RULE_CONF = 0.1
 RULE_PROT = 1.0
 RULE_PROTECTED = "status"
 RULE_CONSEQUENT = "vdecile"
+RULE_CONF_ROUNDED = 0.11
 
 # Integer codes of the categorical attributes.
 SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
@@ -886,4 +887,67 @@ def q_fuzzy_column(spark, sf_dir):
     return resolve.resolve_names(_conversation_targets(t), _conversation_roles(t), ["conv_id"])
 
 
+
+
+# --------------------------------------------------------------------------
+# Variants checked against SQL as well
+# --------------------------------------------------------------------------
+
+@register("row_index", """
+SELECT o_orderkey, o_totalprice,
+       row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS id
+FROM orders
+""")
+def q_row_index(spark, sf_dir):
+    """Reproducible 0-based row index over a declared total order."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
+    return rel.row_index(orders, ["o_totalprice", "o_orderkey"])
+
+
+@register("rules2_rounded", _ITEMS_SQL.replace(
+    f"AND F2.supp / F1.supp >= {RULE_CONF}),",
+    f"AND round(F2.supp / F1.supp, 2) >= {RULE_CONF_ROUNDED}),") + """
+SELECT attr1, val1, attr2, val2, supp, conf FROM R2
+""")
+def q_rules2_rounded(spark, sf_dir):
+    """Rule variant: confidence rounded to 2 decimals before the test."""
+    lv = _Levels(order_items(spark, sf_dir))
+    return rules.rules2(lv.f1(), lv.f2(), RULE_CONF_ROUNDED, RULE_CONSEQUENT, conf_decimals=2)
+
+
+_DRAFT_COLUMNS = [("customer", "customer", [("c_name", "s", "business"), ("c_custkey", "s", "zip")]),
+                  ("conversations", "conversations", [("role", "s", "first_name")]),
+                  ("lineitem", "lineitem", [("l_partkey", "s", "zipcode")])]
+
+
+def _draft_cells_sql() -> str:
+    parts = []
+    for ds, table, cols in _DRAFT_COLUMNS:
+        sel = ", ".join(f"{_sql_text(c, k)} AS {n}" for c, k, n in cols)
+        names = ", ".join(n for _, _, n in cols)
+        parts.append(f"SELECT '{ds}' AS dataset_name, column_name, value FROM (SELECT {sel} FROM {table}) "
+                     f"UNPIVOT INCLUDE NULLS (value FOR column_name IN ({names}))")
+    return "cells AS (\n  " + "\n  UNION ALL ".join(parts) + "\n)"
+
+
+@register("semantic_draft_labels", f"""
+WITH {_draft_cells_sql()},
+labelled AS (
+  SELECT dataset_name, column_name,
+  {semantic_label_sql('column_name', 'value', draft_rule_table())} AS semantic_type
+  FROM cells)
+SELECT dataset_name, column_name, semantic_type, semantic_type AS label, count(*) AS count
+FROM labelled GROUP BY ALL
+""")
+def q_semantic_draft_labels(spark, sf_dir):
+    """T5: the drafts' reduced rule table (name rules first, NY zip codes)."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for ds, table, cols in _DRAFT_COLUMNS:
+        wide = getattr(t, table).select(*[_spark_text(c, k).alias(n) for c, k, n in cols])
+        m = sem.label_wide(wide, ds, rules=draft_rule_table())
+        out = m if out is None else out.unionByName(m)
+    return sem.count_labels(out)
+
+
 FLAGSHIP = "profile_documents"
