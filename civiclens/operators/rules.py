@@ -6,9 +6,8 @@ Plan shape, for any scale:
 
 * ``F1`` is one aggregation with map-side partial counts.
 * Items are pruned to ``F1`` with a semi-join before any self-join
-  (Apriori pruning).  ``F1``/``F2`` are aggregation results; AQE broadcasts
-  them from their measured stage size and keeps the shuffle join beyond
-  the threshold, so no extra job is spent sizing them.
+  (Apriori pruning), against a size-checked broadcast of ``F1`` — never a
+  shuffle of the item table by its skewed (attr, val) key.
 * Pairs come from an equi self-join on ``uid`` with ``a.attr < b.attr``;
   both sides read the same exchange.  A uid holds one item per attribute,
   so it yields at most C(#attributes, 2) pairs.  Pair counts again combine
@@ -27,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.operators._plan import materialize
+from civiclens.operators._plan import materialize, sized_broadcast
 
 
 
@@ -46,10 +45,11 @@ def frequent_items(items: DataFrame, supp: int) -> DataFrame:
 
 
 def _pruned(items: DataFrame, f1: DataFrame) -> DataFrame:
-    # F1 is tiny after its aggregation; AQE sees the materialised size of
-    # that stage and switches the semi-join to a broadcast (beyond the
-    # threshold the shuffle join stays) without an extra sizing job.
-    return items.join(f1.select("attr", "val"), ["attr", "val"], "left_semi")
+    # Broadcast F1 behind a size check (cheap when F1 is materialised, one
+    # aggregation otherwise).  A shuffle semi-join would move the whole item
+    # table by (attr, val) — a skewed key: one status value can hold a third
+    # of the rows — only to drop infrequent items.
+    return items.join(sized_broadcast(f1.select("attr", "val")), ["attr", "val"], "left_semi")
 
 
 def uid_pairs(items: DataFrame, f1: DataFrame) -> DataFrame:
