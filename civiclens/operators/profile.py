@@ -134,38 +134,43 @@ def column_stats(typed: DataFrame) -> DataFrame:
 
 
 def _deviations(typed: DataFrame, stats: DataFrame) -> DataFrame:
-    """Second pass: ``sum(freq * (x - mean)^2)`` per (column, int|real).
+    """Second pass: ``sum(freq * (x - mean)^2)`` per column for int and real
+    cells (``int_ss``, ``real_ss``).
 
     The means table has one row per profiled column (bounded by the
-    catalogue's width, not by the data), so it is broadcast.
+    catalogue's width, not by the data), so it is broadcast.  There is no
+    filter and the join keeps every typed row (left join): a filter on the
+    type or the not-null filters of an inner join would be pushed below the
+    value-frequency aggregation, which then could not share its shuffle
+    with the first pass.
     """
     means = F.broadcast(stats.select(*KEY, "int_mean", "real_mean"))
-    num = typed.filter(F.col("cell_type").isin(ct.INT, ct.REAL))
-    x = F.coalesce(F.col("int_value").cast("double"), F.col("real_value"))
-    mean = F.when(F.col("cell_type") == ct.INT, F.col("int_mean")).otherwise(F.col("real_mean"))
-    return (num.join(means, KEY)
-               .groupBy(*KEY, "cell_type")
-               .agg(F.sum(F.col("freq") * F.pow(x - mean, 2)).alias("_ss")))
+    t, f = F.col("cell_type"), F.col("freq")
+    dx_int = F.col("int_value").cast("double") - F.col("int_mean")
+    dx_real = F.col("real_value") - F.col("real_mean")
+    return (typed.join(means, KEY, "left")
+                 .groupBy(*KEY)
+                 .agg(F.sum(F.when(t == ct.INT, f * dx_int * dx_int)).alias("int_ss"),
+                      F.sum(F.when(t == ct.REAL, f * dx_real * dx_real)).alias("real_ss")))
 
 
 def _numeric_rows(stats: DataFrame, dev: DataFrame) -> DataFrame:
     """One row per (column, int|real) present."""
     def block(name):
+        n, ss = F.col(f"{name}_count"), F.col(f"{name}_ss")
         return F.struct(
-            F.lit(name).alias("cell_type"), F.col(f"{name}_count").alias("count"),
+            F.lit(name).alias("cell_type"), n.alias("count"),
             F.col(f"{name}_max").cast("double").alias("max_value"),
             F.col(f"{name}_min").cast("double").alias("min_value"),
             (F.col(f"{name}_max") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("max_int"),
             (F.col(f"{name}_min") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("min_int"),
-            F.col(f"{name}_mean").alias("mean"))
-    rows = (stats.select(*KEY, F.explode(F.array(block(ct.INT), block(ct.REAL))).alias("b"))
-                 .filter(F.col("b.count") > 0)
-                 .select(*KEY, "b.*"))
-    keys = [*KEY, "cell_type"]
-    return (rows.join(dev, keys, "left")
-                .withColumn("stddev", F.sqrt(F.col("_ss") / F.col("count")))
-                .withColumn("root_sum_sq_dev", F.sqrt("_ss"))
-                .drop("_ss"))
+            F.col(f"{name}_mean").alias("mean"),
+            F.sqrt(ss / n).alias("stddev"),
+            F.sqrt(ss).alias("root_sum_sq_dev"))
+    both = stats.join(dev, KEY, "left")
+    return (both.select(*KEY, F.explode(F.array(block(ct.INT), block(ct.REAL))).alias("b"))
+                .filter(F.col("b.count") > 0)
+                .select(*KEY, "b.*"))
 
 
 def numeric_stats(typed: DataFrame) -> DataFrame:
@@ -217,10 +222,7 @@ def column_profiles(cells: DataFrame, k: int = 5,
     freq = value_frequencies(cells)
     typed = typed_frequencies(freq, formats, date_by_name)
     stats = column_stats(typed)
-    dev = (_deviations(typed, stats)
-           .groupBy(*KEY)
-           .agg(F.max(F.when(F.col("cell_type") == ct.INT, F.col("_ss"))).alias("int_ss"),
-                F.max(F.when(F.col("cell_type") == ct.REAL, F.col("_ss"))).alias("real_ss")))
+    dev = _deviations(typed, stats)
     top = (frequent_values(freq, k)
            .groupBy(*KEY)
            .agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))),
