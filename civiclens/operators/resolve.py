@@ -53,10 +53,11 @@ def resolve_names(targets: DataFrame, candidates: DataFrame, group: Sequence[str
     keys = [*group, given]
     t = targets.select(*keys).distinct()
     cand = candidates.select(*group, F.col(name).alias("_name"), F.col(position).alias("_pos"))
-    pairs = t.join(cand, list(group)).withColumn(
+    # left join: a target without candidates keeps one row with NULLs,
+    # which min_by ignores, so it comes out unresolved (NULL)
+    pairs = t.join(cand, list(group), "left").withColumn(
         "_dist", edit_distance(F.col(given), F.col("_name")))
     best = pairs.groupBy(*keys).agg(
         F.min_by(F.struct("_name", "_dist"), F.struct("_dist", "_pos")).alias("_best"))
-    return (t.join(best, keys, "left")
-             .select(*keys, F.col("_best._name").alias(out),
-                     F.col("_best._dist").alias("distance")))
+    return best.select(*keys, F.col("_best._name").alias(out),
+                       F.col("_best._dist").alias("distance"))
