@@ -54,3 +54,42 @@ def test_remove_words_and_corrected(spark):
     new = spark.createDataFrame([(1, 1.0, 1.0, 0.5), (2, 1.0, 1.0, 0.5), (3, 0.0, 0.0, 0.9)],
                                 "id long, label double, prediction double, conf double")
     assert [r.id for r in textml.corrected(old, new, 0.1).collect()] == [1]
+
+
+def test_forward_selection_matches_brute_force():
+    import itertools
+
+    import numpy as np
+
+    from civiclens.operators.textml import _forward_selection
+
+    rng = np.random.default_rng(0)
+    X = (rng.random((60, 7)) > 0.5).astype(float)
+    y = X @ np.array([0.5, -1.0, 0.0, 2.0, 0.1, 0.0, -0.3]) + rng.normal(0, 0.1, 60)
+    w = rng.random(60) + 0.1
+
+    def wr2(cols):
+        A = np.column_stack([np.ones(60), X[:, cols]]) * np.sqrt(w)[:, None]
+        b = y * np.sqrt(w)
+        beta, *_ = np.linalg.lstsq(A, b, rcond=None)
+        return -np.sum((b - A @ beta) ** 2)
+
+    chosen = []
+    for _ in range(3):
+        best = max((j for j in range(7) if j not in chosen), key=lambda j: (wr2(chosen + [j]), -j))
+        chosen.append(best)
+    assert list(_forward_selection(X, y, w, 3)) == chosen
+
+
+def test_perturbation_removes_exactly_k_words(spark):
+    from civiclens.operators.textml import perturbations
+    df = spark.createDataFrame([(1, "a b c d e f g h a b")], "id long, text string")
+    rows = perturbations(df, num_samples=40).collect()
+    assert len(rows) == 40
+    orig = [r for r in rows if r.s == 0][0]
+    assert all(orig.kept) and orig.text == "a b c d e f g h a b"
+    for r in rows:
+        if r.s:
+            removed = {w for w, k in zip("abcdefgh", r.kept) if not k}
+            assert 1 <= len(removed) <= 8
+            assert set(r.text.split()) == set("abcdefgh") - removed
