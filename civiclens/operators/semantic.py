@@ -55,9 +55,14 @@ def semantic_labels(df: DataFrame, dataset_name: str, columns: Sequence[str] | N
     return count_labels(label_wide(df, dataset_name, columns, rules))
 
 
-def semantic_documents(counts: DataFrame) -> DataFrame:
+def semantic_documents(counts: DataFrame, qualify_columns: bool = False) -> DataFrame:
     """One nested document per dataset:
-    ``dataset_name, columns[{column_name, semantic_types[{semantic_type, label, count}]}]``."""
+    ``dataset_name, columns[{column_name, semantic_types[{semantic_type, label, count}]}]``.
+    ``qualify_columns=True`` names columns ``<dataset>_<column>``, as the
+    merged result documents did."""
+    if qualify_columns:
+        counts = counts.withColumn("column_name",
+                                   F.concat_ws("_", F.col("dataset_name"), F.col("column_name")))
     per_col = (counts.groupBy(*KEY)
                .agg(F.array_sort(F.collect_list(
                    F.struct("semantic_type", "label", "count"))).alias("semantic_types")))

@@ -69,6 +69,8 @@ def test_label_counts_and_documents(spark):
                       ("misc", "misc"): 3, ("misc", "NULL"): 1}
     doc = sem.semantic_documents(sem.semantic_labels(df, "d")).first()
     assert doc.dataset_name == "d" and [c.column_name for c in doc.columns] == ["borough", "misc"]
+    doc = sem.semantic_documents(sem.semantic_labels(df, "d"), qualify_columns=True).first()
+    assert [c.column_name for c in doc.columns] == ["d_borough", "d_misc"]
 
 
 def test_scores_never_predicted_label(spark):
