@@ -45,13 +45,8 @@ def label_target_columns(spark: SparkSession, targets_path: str, data_root: str,
     """
     targets = readers.read_targets(spark, targets_path).withColumnRenamed("column_name", "given_name")
     names = [r.dataset_name for r in targets.select("dataset_name").distinct().collect()]
-    frames, bad = {}, []
-    for name in names:
-        try:
-            frames[name] = readers.read_tsv_strings(spark, f"{data_root.rstrip('/')}/{name}{suffix}",
-                                                    partitions)
-        except Exception as e:  # noqa: BLE001 - per-dataset isolation
-            bad.append(name)
+    frames, _unreadable = readers.read_many(
+        spark, {n: f"{data_root.rstrip('/')}/{n}{suffix}" for n in names}, partitions)
     cells = readers.union_all([prof.melt_cells(df, n) for n, df in frames.items()])
     if cells is None:
         return spark.createDataFrame([], "dataset_name string, column_name string, "
