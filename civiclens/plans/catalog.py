@@ -20,7 +20,6 @@ from civiclens.operators import textml
 from civiclens.operators import resolve
 from civiclens.functions.text import remove_substrings
 from civiclens.functions.validators import draft_rule_table, semantic_label_sql
-from civiclens.functions import celltypes as ct
 from civiclens.operators._plan import global_ntile, materialize
 from civiclens.sources.tables import Tables
 
