@@ -315,11 +315,22 @@ class _Levels:
     them again; the query's own result stays lazy."""
 
     def __init__(self, items: DataFrame):
-        self.items = materialize(items)
+        self._raw = items
+        self._items = None
         self._f1 = self._f2 = self._f3 = None
 
+    @property
+    def items(self) -> DataFrame:
+        """The long table, materialised on first use by a level that is
+        read again (a query that only counts items scans it once)."""
+        if self._items is None:
+            self._items = materialize(self._raw)
+        return self._items
+
     def f1(self, keep: bool = True):
         if self._f1 is None:
+            if not keep:
+                return rules.frequent_items(self._raw, RULE_SUPP)
             f1 = rules.frequent_items(self.items, RULE_SUPP)
             if not keep:
                 return f1
