@@ -960,4 +960,42 @@ def q_semantic_draft_labels(spark, sf_dir):
     return sem.count_labels(out)
 
 
+
+
+_NAME_DATE_SQL = " OR ".join(f"contains(lower(column_name), '{w}')"
+                             for w in ("date", "year", "time", "month", "day", "period"))
+
+
+@register("cell_types_by_name", f"""
+WITH cells AS (
+  SELECT 'orders' AS dataset_name, column_name, value FROM (
+    SELECT strftime(o_orderdate, '%Y-%m-%d') AS order_date, o_orderpriority AS order_period,
+           o_orderstatus AS status, CAST(o_custkey AS VARCHAR) AS customer_day
+    FROM orders)
+  UNPIVOT INCLUDE NULLS (value FOR column_name IN (order_date, order_period, status, customer_day))),
+typed AS (
+  SELECT dataset_name, column_name,
+         CASE WHEN value IS NULL OR value = '' THEN 'empty'
+              WHEN regexp_full_match(value, '{_DUCK_INT}') THEN 'int'
+              WHEN regexp_full_match(value, '{_DUCK_REAL}') THEN 'real'
+              WHEN {_NAME_DATE_SQL} THEN 'date'
+              WHEN try_strptime(trim(value), {_DUCK_FMT_LIST}) IS NOT NULL THEN 'date'
+              ELSE 'text' END AS cell_type
+  FROM cells)
+SELECT dataset_name, column_name, cell_type, count(*) AS num FROM typed GROUP BY ALL
+""")
+def q_cell_types_by_name(spark, sf_dir):
+    """The draft rule that types non-numeric cells of date-named
+    columns as dates."""
+    o = Tables(spark, sf_dir).orders.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+        F.col("o_orderpriority").alias("order_period"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_custkey").cast("string").alias("customer_day"))
+    typed = prof.typed_frequencies(prof.value_frequencies(prof.melt_cells(o, "orders")),
+                                   date_by_name=True)
+    return (typed.groupBy("dataset_name", "column_name", "cell_type")
+                 .agg(F.sum("freq").cast("long").alias("num")))
+
+
 FLAGSHIP = "profile_documents"
