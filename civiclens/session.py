@@ -21,6 +21,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once the checkpointed frames are released
+    # (the exact decile and the rule levels are checkpointed per query).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Local runs: do not let AQE coalesce CPU-bound post-shuffle stages
     # (typing, regexes) into a handful of tasks on small data.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
