@@ -293,3 +293,6 @@ def type_totals(profiles: DataFrame) -> DataFrame:
     blocks = profiles.select(F.explode("data_types").alias("b"))
     return (blocks.groupBy(F.col("b.type").alias("data_type"))
                   .agg(F.sum("b.count").cast("long").alias("num")))
+
+
+profile = profile_documents

@@ -225,3 +225,23 @@ def corrected(old_pred: DataFrame, new_pred: DataFrame, min_conf: float = 0.1) -
     targets = misclassified(old_pred).filter(F.col("conf") >= min_conf).select("id")
     return (new_pred.filter(F.col("label") == F.col("prediction"))
                     .join(targets, "id", "left_semi"))
+
+
+def evaluate(pred: DataFrame) -> DataFrame:
+    """Accuracy (the reference's "F1"), per-class precision/recall/F1 and
+    weighted F1 of a prediction frame (``label``, ``prediction``)."""
+    from civiclens.operators.semantic import classification_metrics
+    return classification_metrics(pred)
+
+
+def clean_and_refit(train: DataFrame, test: DataFrame, words: Sequence[str],
+                    max_iter: int = 20, reg_param: float = 0.001) -> tuple[PipelineModel, DataFrame]:
+    """Feature clean-up: remove ``words`` from the training texts, refit,
+    and predict the unchanged test set.  Returns the new model and its
+    predictions (compare with :func:`evaluate`, find fixed documents with
+    :func:`corrected`)."""
+    model = fit(remove_words(train, words), max_iter, reg_param)
+    return model, predict(model, test)
+
+
+text_classifier = fit

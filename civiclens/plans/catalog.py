@@ -820,8 +820,7 @@ def q_clean_and_refit(spark, sf_dir):
            .orderBy(F.col("frequency").desc(), F.col("weight").desc(), F.col("word"))
            .limit(CLEANUP_WORDS).collect())
     words = [r.word for r in top]
-    new_model = textml.fit(textml.remove_words(train, words))
-    new_pred = textml.predict(new_model, test)
+    _, new_pred = textml.clean_and_refit(train, test, words)
     def metrics(p: DataFrame, name: str) -> DataFrame:
         right = (F.col("label") == F.col("prediction")).cast("double")
         m = p.agg(F.avg(right).alias("accuracy"),

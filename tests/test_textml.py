@@ -93,3 +93,11 @@ def test_perturbation_removes_exactly_k_words(spark):
             removed = {w for w, k in zip("abcdefgh", r.kept) if not k}
             assert 1 <= len(removed) <= 8
             assert set(r.text.split()) == set("abcdefgh") - removed
+
+
+def test_clean_and_refit_and_evaluate(spark):
+    df = _corpus(spark)
+    model, pred = textml.clean_and_refit(df, df, ["church", "logic"])
+    m = {r.label: r for r in textml.evaluate(pred).collect()}
+    assert set(m) == {0.0, 1.0} and 0.0 <= m[0.0].accuracy <= 1.0
+    assert "church" not in " ".join(r.text for r in textml.remove_words(df, ["church"]).collect())
