@@ -266,6 +266,29 @@ def column_label(name: str, value: Column, rules: Sequence[Rule] | None = None)
     return expr.when(rule.validator.spark(value), F.lit(rule.label)).otherwise(F.lit(OTHER_LABEL))
 
 
+def rule_index(name: Column, rules: Sequence[Rule] | None = None) -> Column:
+    """Index of the first rule whose name predicate holds (NULL: none)."""
+    rules = rule_table() if rules is None else rules
+    lname = F.lower(name)
+    expr = None
+    for i, r in enumerate(rules):
+        cond = r.name_spark(lname)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr
+
+
+def label_by_rule(name: Column, value: Column, rule: Column,
+                  rules: Sequence[Rule] | None = None) -> Column:
+    """:func:`semantic_label` when the rule index of the column is already
+    known (see :func:`rule_index`): per cell only the chosen validator runs."""
+    rules = rule_table() if rules is None else rules
+    expr = F.when(value.isNull() | (value == ""), F.lit(NULL_LABEL)).when(rule.isNull(), name)
+    for i, r in enumerate(rules):
+        expr = expr.when(rule == i, F.when(r.validator.spark(value), F.lit(r.label))
+                         .otherwise(F.lit(OTHER_LABEL)))
+    return expr
+
+
 def semantic_label_sql(name: str, value: str, rules: Sequence[Rule] | None = None) -> str:
     """DuckDB spelling of :func:`semantic_label` (for the SQL oracle)."""
     rules = rule_table() if rules is None else rules

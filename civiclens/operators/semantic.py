@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclens.functions.validators import Rule, column_label, semantic_label
+from civiclens.functions.validators import (Rule, column_label, label_by_rule, rule_index,
+                                            semantic_label)
 from civiclens.operators.profile import melt_cells
 from civiclens.operators.resolve import resolve_names
 
@@ -148,6 +149,13 @@ def label_targets(cells: DataFrame, headers: DataFrame, targets: DataFrame,
     column's cells are kept (semi-join) and labelled by its rule.
     Returns label counts per (dataset, resolved column)."""
     resolved = resolve_names(targets, headers, ["dataset_name"])
-    chosen = resolved.select("dataset_name", F.col("resolved_name").alias("column_name")).distinct()
-    wanted = cells.join(chosen, KEY, "left_semi")
-    return count_labels(label_cells(wanted, rules))
+    # One row per resolved column (bounded by the target list): the rule is
+    # chosen here, once per column, and joined to the cells in place of a
+    # semi-join, so per cell only that column's validator runs.
+    chosen = (resolved.select("dataset_name", F.col("resolved_name").alias("column_name"))
+              .distinct()
+              .withColumn("_rule", rule_index(F.col("column_name"), rules)))
+    wanted = cells.join(F.broadcast(chosen), KEY)
+    labelled = wanted.withColumn(
+        "semantic_type", label_by_rule(F.col("column_name"), F.col("value"), F.col("_rule"), rules))
+    return count_labels(labelled)

@@ -997,4 +997,50 @@ def q_cell_types_by_name(spark, sf_dir):
                  .agg(F.sum("freq").cast("long").alias("num")))
 
 
+
+
+def _semantic_wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    t = Tables(spark, sf_dir)
+    return {ds: getattr(t, table).select(*[_spark_text(c, k).alias(n) for c, k, n in cols])
+            for ds, table, cols in SEMANTIC_COLUMNS}
+
+
+_HEADER_ROWS = ", ".join(f"('{ds}', '{n}', {i})" for ds, _, cols in SEMANTIC_COLUMNS
+                         for i, (_, _, n) in enumerate(cols))
+
+
+@register("semantic_targets", f"""
+WITH {_semantic_cells_sql()},
+headers AS (SELECT * FROM (VALUES {_HEADER_ROWS}) AS h(dataset_name, column_name, position)),
+targets AS (SELECT DISTINCT dataset_name, replace(column_name, '_', ' ') AS given_name FROM headers),
+pairs AS (
+  SELECT t.dataset_name, t.given_name, h.column_name, h.position,
+         length(t.given_name) + length(h.column_name) - 2 * (
+           SELECT {_LCS_SQL} FROM (SELECT t.given_name AS a, h.column_name AS b)) AS distance
+  FROM targets t JOIN headers h USING (dataset_name)),
+chosen AS (
+  SELECT DISTINCT dataset_name, column_name FROM (
+    SELECT *, row_number() OVER (PARTITION BY dataset_name, given_name ORDER BY distance, position) AS rn
+    FROM pairs) WHERE rn = 1),
+labelled AS (
+  SELECT dataset_name, column_name,
+  {semantic_label_sql('column_name', 'value')} AS semantic_type
+  FROM cells WHERE (dataset_name, column_name) IN (SELECT dataset_name, column_name FROM chosen))
+SELECT dataset_name, column_name, semantic_type, semantic_type AS label, count(*) AS count
+FROM labelled GROUP BY ALL
+""")
+def q_semantic_targets(spark, sf_dir):
+    """Given names (headers with spaces for underscores) resolved to
+    the closest header of their dataset, then only those columns labelled."""
+    frames = _semantic_wide(spark, sf_dir)
+    cells = None
+    for ds, df in frames.items():
+        m = prof.melt_cells(df, ds)
+        cells = m if cells is None else cells.unionByName(m)
+    headers = sem.header_table(spark, frames)
+    targets = headers.select("dataset_name",
+                             F.regexp_replace("column_name", "_", " ").alias("given_name"))
+    return sem.label_targets(cells, headers, targets)
+
+
 FLAGSHIP = "profile_documents"
