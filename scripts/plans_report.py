@@ -16,7 +16,7 @@ from civiclens.session import local_session  # noqa: E402
 
 QUERIES = ["anti_join", "top20", "topk_per_group", "lookup_fill", "word_count",
            "freq_pairs", "freq_triples", "profile_counts", "profile_numeric",
-           "semantic_labels", "fuzzy_column", "row_index"]
+           "semantic_labels", "semantic_targets", "fuzzy_column", "row_index"]
 
 
 def formatted(df) -> str:
