@@ -35,3 +35,12 @@ def test_sized_broadcast(spark):
     assert has_at_most(small, 10) and not has_at_most(small, 9)
     plan = spark.range(1000).join(sized_broadcast(small, 100), "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_global_ntile_with_a_hot_value(spark):
+    """One price holds a third of all rows; the total order (price, key)
+    still gives the exact SQL tiles."""
+    rows = [(i, 5.0 if i % 3 == 0 else float(i % 97)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(6)
+    got = global_ntile(df, 7, ["v", "k"], "tile").orderBy("v", "k").collect()
+    assert [r.tile for r in got] == _py_ntile(3000, 7)
