@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm import bpe, decontaminate, langid, sharding
+from civiclens.llm import bpe, decontaminate, langid, minhash, sharding, warc
+from civiclens.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -16,6 +17,27 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _read(spark, sf_dir, "pages"), shared_path(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+best AS (SELECT body, max(page_id) AS best FROM p GROUP BY body),
+bits AS (
+  SELECT page_id, body, best,
+         list_transform(range(0, 8), lambda k: CAST('0x' || substr(hex, 5 * k + 1, 5) AS INTEGER)) AS d
+  FROM p JOIN best USING (body))
+SELECT page_id, strlen(body) AS payload_bytes,
+       array_to_string(list_transform(d, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((x >> s) & 31) + 1]), '')), '') AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM bits
+"""
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, PATTERN)
     both = bpe.decode(ids, RANKS)
@@ -66,6 +88,38 @@ FROM w LEFT JOIN hit ON hit.doc_id = w.doc_id LEFT JOIN its ON its.doc_id = w.do
 """
 
 
+def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=2, percent=80)
+    return out.drop("_h")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x{20}\x{09}-\x{0D}]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws
+           ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g
+  FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  WHERE 100 * least(na.n, nb.n) >= 80 * greatest(na.n, nb.n)
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.doc_id, coalesce(n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -78,6 +132,8 @@ def op10_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_byte_bpe, op5_benchmark_decontamination, op9_language_id, op10_consistent_hash_sharding)}
+    op3_warc_chunks, op4_byte_bpe, op5_benchmark_decontamination, op8_minmax_near_dedup,
+    op9_language_id, op10_consistent_hash_sharding)}
 
-ORACLES = {"op5_benchmark_decontamination": OP5_SQL}
+ORACLES = {"op3_warc_chunks": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL,
+           "op8_minmax_near_dedup": OP8_SQL}
