@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG = 256
-CACHE_BYTES = 96 << 20  # of known pieces, per Python worker
+CACHE_BYTES = 160 << 20  # of known pieces, per Python worker
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,14 +108,15 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.known_bytes = 0
 
-    def _merge_matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Merge pieces of one length bucket; returns the ids of each."""
+    def _merge_matrix(self, pieces: list[bytes]) -> list[bytes]:
+        """Merge pieces of one length bucket; returns the ids of each, as the
+        bytes of an int32 array."""
         width = max(map(len, pieces))
         flat = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
         size = np.array([len(p) for p in pieces])
         m = np.full((len(pieces), width), -1, np.int32)
         m[np.arange(width) < size[:, None]] = flat
-        out: list[np.ndarray] = [None] * len(pieces)
+        out = [b""] * len(pieces)
         row = np.arange(len(pieces))
         rank = np.full((len(pieces), max(1, width - 1)), NONE, np.int32)
         live = np.arange(width - 1) < size[:, None] - 1
@@ -126,8 +127,11 @@ class Encoder:
             best = rank[k, at]
             done = best == NONE
             if done.any():
-                for i in np.flatnonzero(done):
-                    out[row[i]] = m[i, :size[i]].copy()
+                n = size[done]
+                flat = m[done][np.arange(m.shape[1]) < n[:, None]].tobytes()
+                end = 4 * np.cumsum(n)
+                for r, a, b in zip(row[done].tolist(), (end - 4 * n).tolist(), end.tolist()):
+                    out[r] = flat[a:b]
                 go = ~done
                 row, m, rank, size, at, best = row[go], m[go], rank[go], size[go], at[go], best[go]
                 if not len(row):
@@ -191,9 +195,9 @@ class Encoder:
             b = p.encode()
             whole = self.ids.get(b)
             if whole is not None:
-                self._know(p, np.array([whole], np.int32))
+                self._know(p, whole.to_bytes(4, "little"))
             elif len(b) > LONG:
-                self._know(p, self._merge_long(b))
+                self._know(p, self._merge_long(b).tobytes())
             else:
                 buckets.setdefault((len(b) - 1) // 4, []).append((p, b))
         for k, members in buckets.items():
@@ -204,8 +208,8 @@ class Encoder:
                     self._know(p, ids)
 
     def _know(self, piece, ids):
-        self.known[piece] = ids.tobytes()
-        self.known_bytes += 150 + 5 * len(piece) + 4 * len(ids)
+        self.known[piece] = ids
+        self.known_bytes += 190 + len(piece) + len(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of an int32 array."""
@@ -260,17 +264,24 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
 
     def run(batches):
         if not store:
-            store["t"] = read_ranks(ranks_path)
-        token = store["t"].__getitem__
+            tokens = read_ranks(ranks_path)
+            store["bytes"] = np.frombuffer(b"".join(tokens), np.uint8)
+            store["size"] = np.array([len(t) for t in tokens], np.int64)
+            store["start"] = np.cumsum(store["size"]) - store["size"]
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
                 ids = part.column(at)
-                flat, ends = ids.flatten().to_pylist(), np.cumsum(
-                    [0] + [x or 0 for x in ids.value_lengths().to_pylist()])
-                text = [b"".join(map(token, flat[s:e])) for s, e in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(text, pa.binary())], names=[*keep, out_col])
+                flat = ids.flatten().to_numpy()
+                rows = np.cumsum([0] + [x or 0 for x in ids.value_lengths().to_pylist()])
+                size = store["size"][flat]
+                end = np.cumsum(size)
+                place = np.arange(int(end[-1]) if len(end) else 0)
+                text = store["bytes"][place + np.repeat(store["start"][flat] - end + size, size)]
+                cuts = np.r_[0, end][rows].astype(np.int32)
+                decoded = pa.Array.from_buffers(
+                    pa.binary(), part.num_rows, [None, pa.py_buffer(cuts), pa.py_buffer(text)])
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*keep, out_col])
 
     schema = df.select(*keep, F.lit(None).cast("binary").alias(out_col)).schema
     return df.select(*keep).mapInArrow(run, schema)
