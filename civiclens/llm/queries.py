@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm import bpe, decontaminate, langid, minhash, sharding, warc
+from civiclens.llm import (
+    bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, warc)
 from civiclens.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -17,6 +18,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _read(spark, sf_dir, "pages"), shared_path(spark, "warc")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -88,6 +99,37 @@ FROM w LEFT JOIN hit ON hit.doc_id = w.doc_id LEFT JOIN its ON its.doc_id = w.do
 """
 
 
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(_read(spark, sf_dir, "conversations"))
+    loss = F.transform("loss", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return out.withColumn("loss", F.array_join(loss, ","))
+
+
+OP6_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM t),
+who AS (SELECT DISTINCT conv_id, pos // 64 AS segment, role AS speaker FROM r WHERE role <> 'system'),
+p AS (
+  SELECT r.conv_id, segment, speaker, pos, role = speaker AS own,
+         CASE WHEN role = speaker THEN '<|assistant|>' || chr(10)
+              WHEN role = 'system' THEN '<|system|>' || chr(10)
+              ELSE '<|user ' || replace(role, '<|', '< |') || '|>' || chr(10) END AS head,
+         replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+  FROM r JOIN who ON who.conv_id = r.conv_id AND who.segment = r.pos // 64),
+o AS (
+  SELECT *, sum(length(head) + length(body)) OVER (
+              PARTITION BY conv_id, segment, speaker ORDER BY pos) AS fin FROM p)
+SELECT conv_id, segment, speaker, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY pos) AS text,
+       string_agg(CASE WHEN own THEN CAST(fin - length(body) AS BIGINT) || '-' || CAST(fin - 1 AS BIGINT) END,
+                  ',' ORDER BY pos) AS loss
+FROM o GROUP BY conv_id, segment, speaker
+"""
+
+
 def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=2, percent=80)
     return out.drop("_h")
@@ -132,8 +174,9 @@ def op10_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_warc_chunks, op4_byte_bpe, op5_benchmark_decontamination, op8_minmax_near_dedup,
+    op1_inverted_multi_index, op2_line_dedup, op3_warc_chunks, op4_byte_bpe,
+    op5_benchmark_decontamination, op6_perspective_rotation, op8_minmax_near_dedup,
     op9_language_id, op10_consistent_hash_sharding)}
 
 ORACLES = {"op3_warc_chunks": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL,
-           "op8_minmax_near_dedup": OP8_SQL}
+           "op6_perspective_rotation": OP6_SQL, "op8_minmax_near_dedup": OP8_SQL}
