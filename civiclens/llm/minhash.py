@@ -11,11 +11,12 @@ bands a pair at J = 0.8 is missed with a probability of about 5e-6.
 2. In every bucket the members are paired with the bucket's smallest: as many
    pairs as members.  The pairs are confirmed on the full sets.
 3. Components are formed.  Only buckets that hold more than one component are
-   taken up again: members outside the smallest one's component are paired with
-   all others outside their own, unless their sizes or their confirmed distances
-   to the bucket's smallest (Jaccard distance is a metric) rule a link out.
-   These pairs are confirmed as well, so no pair of a bucket is left open, and a
-   large group costs no pairs within it.
+   taken up again, with another member as partner of all outside its component,
+   drawn by hash: again as many pairs as members, and a large group of variants
+   soon is one component.  When such a round finds no more links (or after
+   ``PIVOTS`` rounds), members of different components are paired unless their
+   sizes or their parity sketches prove that they cannot be linked.  So no pair of a bucket that could join two components
+   is left open, and a large group costs no pairs within it.
 
 Defined results: a document without words has n_shingles 0, is linked with
 nothing and kept; so is one with a null doc_id (its component is null);
@@ -38,6 +39,8 @@ from civiclens.llm.shingles import linked, mix, shingles
 
 BANDS = 40
 PER_BAND = 3
+PIVOTS = 4
+SKETCH = 1024  # bits of the parity sketch
 
 
 def _functions(n: int):
@@ -66,11 +69,18 @@ def band_keys(x: np.ndarray, a, b, bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity(x: np.ndarray) -> np.ndarray:
+    """Per cell, whether an odd number of elements falls into it.  Two such
+    sketches differ in at most as many cells as the sets differ in elements."""
+    cell = (mix(x ^ np.uint64(_SALT)) % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(cell, minlength=SKETCH).astype(np.uint8) & 1).view(np.int64)
+
+
 def _sketch(words: int, bands: int):
     def run(batches):
         a, b = _functions(bands * PER_BAND)
         for batch in batches:
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, keys, odd = [], [], [], [], []
             for text in batch.column("text"):
                 x = shingles(text.as_py(), words)
                 n.append(len(x))
@@ -78,13 +88,15 @@ def _sketch(words: int, bands: int):
                 s1.append(int(mix(x + np.uint64(1)).sum().view(np.int64)) if len(x) else 0)
                 s2.append(int(mix(x ^ np.uint64(_SALT)).sum().view(np.int64)) if len(x) else 0)
                 keys.append(band_keys(x, a, b, bands) if len(x) else np.zeros(0, np.int64))
+                odd.append(parity(x))
             ends = np.cumsum([0] + [len(k) for k in keys])
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_h"), pa.array(n, pa.int64()),
                  pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
-                names=["doc_id", "_h", "n", "s1", "s2", "keys"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
+                 pa.array(odd, pa.list_(pa.int64()))],
+                names=["doc_id", "_h", "n", "s1", "s2", "keys", "odd"])
     return run
 
 
@@ -92,27 +104,74 @@ _SALT = 0x5851F42D4C957F2D
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``a, b, jaccard, link`` of the pairs (a, b), from their full sets."""
+    """``a, b, link`` of the pairs (a, b), from their full sets."""
     def run(batches):
         last = (None, None)
         for batch in batches:
             ids, ta, tb = batch.column("a"), batch.column("_ta"), batch.column("_tb")
-            link, sim = [], []
+            link = []
             for x, p, q in zip(ids.to_pylist(), ta, tb):
                 p = p.as_py()
                 if last[0] != p:
                     last = (p, shingles(p, words))
-                ok, j = linked(last[1], shingles(q.as_py(), words), percent)
-                link.append(ok)
-                sim.append(j)
+                link.append(linked(last[1], shingles(q.as_py(), words), percent))
             yield pa.RecordBatch.from_arrays(
-                [ids, batch.column("b"), pa.array(sim, pa.float64()), pa.array(link, pa.bool_())],
-                names=["a", "b", "jaccard", "link"])
+                [ids, batch.column("b"), pa.array(link, pa.bool_())], names=["a", "b", "link"])
 
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_ta")), "a")
                  .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_tb")), "b"))
     return both.select("a", "b", "_ta", "_tb").mapInArrow(
-        run, "a long, b long, jaccard double, link boolean")
+        run, "a long, b long, link boolean")
+
+
+def _possible(x: str, y: str, percent: int):
+    """False only where sizes and parity sketches rule a link out: sets whose
+    similarity is at least percent / 100 differ in so many elements at most."""
+    apart = sum((F.bit_count(F.get(f"{x}odd", i).bitwiseXOR(F.get(f"{y}odd", i)))
+                 for i in range(SKETCH // 64)), F.lit(0))
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+            & (apart * (100 + percent) <= (n + m) * (100 - percent)))
+
+
+def _label(df: DataFrame, label: DataFrame, node: str, out: str) -> DataFrame:
+    own = label.select(F.col("node").alias(node), F.col("component").alias("_c"))
+    return df.join(own, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
+
+
+def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """``key, m, l`` (component) in buckets with more than one component."""
+    members = written(_label(members.select("key", "m"), label, "m", "l"), "open")
+    keys = members.groupBy("key").agg(F.min("l").alias("_a"), F.max("l").alias("_b"))
+    keys = keys.where(F.col("_a") != F.col("_b")).select("key")
+    return members.join(keys, "key", "left_semi")
+
+
+def _new(pairs: DataFrame, done: DataFrame | None, sizes: DataFrame, texts: DataFrame,
+         words: int, percent: int):
+    """(links among the pairs that are not done yet, all pairs done)."""
+    pairs = pairs.distinct()
+    if done is not None:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    pairs = written(pairs, "pairs")
+    may = pairs
+    for k in ("a", "b"):
+        may = may.join(sizes.select(F.col("doc_id").alias(k), F.col("n").alias(f"{k}_n"),
+                                    F.col("odd").alias(f"{k}_odd")), k)
+    may = may.where(_possible("a_", "b_", percent)).select("a", "b")
+    found = written(_confirm(may, texts, words, percent).where("link").select("a", "b"), "links")
+    return found, pairs if done is None else done.unionByName(pairs)
+
+
+def _merge(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after these further links: components of components."""
+    both = _label(_label(links, label, "a", "a_l"), label, "b", "b_l")
+    up = components(both.select("a_l", "b_l"), "a_l", "b_l")
+    top = up.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    old = (label.join(top, "component", "left")
+                .select("node", F.coalesce("_to", "component").alias("component")))
+    return written(old.unionByName(up.join(label, "node", "left_anti").select("node", "component"))
+                   .distinct(), "labels")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
@@ -122,53 +181,52 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
     rows = written(docs.mapInArrow(
-        _sketch(words, bands), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>"),
+        _sketch(words, bands), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>, "
+                           "odd array<long>"),
         "minmax")
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")
-    members = (real.join(classes.select("s1", "s2", "n", F.col("rep").alias("doc_id")),
-                         ["s1", "s2", "n", "doc_id"])
-                   .select(F.col("doc_id").alias("m"), "n", F.explode("keys").alias("key")))
+    reps = (real.join(classes.select("s1", "s2", "n", F.col("rep").alias("doc_id")),
+                      ["s1", "s2", "n", "doc_id"]))
+    members = reps.select(F.col("doc_id").alias("m"), F.explode("keys").alias("key"))
     smallest = members.groupBy("key").agg(F.min("m").alias("c"), F.max("m").alias("_top"))
     smallest = smallest.where(F.col("c") != F.col("_top")).select("key", "c")
     members = written(members.join(smallest, "key").distinct(), "buckets")
 
+    near = members.select("m").distinct()
+    sizes = written(reps.join(near, reps["doc_id"] == near["m"], "left_semi")
+                    .select("doc_id", "n", "odd").distinct(), "sizes")
+    texts = docs.join(near, docs["doc_id"] == near["m"], "left_semi").select("doc_id", "text")
+    texts = written(texts.distinct(), "texts")
+
     # first pairs: every member with the smallest of its bucket
-    pairs = written(members.where("m != c").select(F.col("c").alias("a"), F.col("m").alias("b"))
-                    .distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = written(docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
-                    .select("doc_id", "text").distinct(), "texts")
-    first = written(_confirm(pairs, texts, words, percent), "confirmed")
-    links = first.where("link").select("a", "b")
-    label = components(links)
-
-    # second pairs: across the components that share a bucket
-    lab = label.select(F.col("node").alias("m"), F.col("component").alias("_lm"))
-    labc = label.select(F.col("node").alias("c"), F.col("component").alias("_lc"))
-    known = members.join(lab, "m", "left").join(labc, "c", "left").select(
-        "key", "c", "m", "n", F.coalesce("_lm", "m").alias("lm"), F.coalesce("_lc", "c").alias("lc"))
-    apart = known.where("lm != lc")
-    open_keys = apart.select("key").distinct()
-    dist = first.groupBy(F.col("a").alias("c"), F.col("b").alias("m")).agg(
-        (1 - F.max("jaccard")).alias("d"))
-    known = (known.where("m != c").join(open_keys, "key", "left_semi").join(dist, ["c", "m"])
-                  .select("key", "m", "n", "lm", "d", (F.col("lm") != F.col("lc")).alias("out")))
-    known = written(known, "open")
-    x = known.where("out").select("key", *[F.col(k).alias(f"x_{k}") for k in ("m", "n", "lm", "d")])
-    least = percent / 100
-    may = ((F.col("x_lm") != F.col("lm")) & (~F.col("out") | (F.col("x_m") < F.col("m")))
-           & (F.least("x_n", "n") * 100 >= F.greatest("x_n", "n") * percent)
-           & (F.abs(F.col("x_d") - F.col("d")) <= 1 - least + 1e-9))
-    more = (x.join(known.withColumnRenamed("key", "_k"), (F.col("key") == F.col("_k")) & may)
-             .select(F.least("x_m", "m").alias("a"), F.greatest("x_m", "m").alias("b")).distinct()
-             .join(pairs, ["a", "b"], "left_anti"))
-    second = written(_confirm(written(more, "pairs"), texts, words, percent), "confirmed")
-    extra = second.where("link").select("a", "b")
-    if not extra.isEmpty():
-        label = components(links.unionByName(extra))
+    pairs = members.where("m != c").select(F.col("c").alias("a"), F.col("m").alias("b"))
+    found, done = _new(pairs, None, sizes, texts, words, percent)
+    label = components(found)
+    # Then with a member drawn anew in every round, and in the end across
+    # the components that still share a bucket.
+    members = members.select("key", "m")
+    for turn in range(PIVOTS):
+        members = _open_buckets(members, label)
+        pivot = members.groupBy("key").agg(
+            F.min_by(F.struct(F.col("m").alias("p"), F.col("l").alias("pl")),
+                     F.xxhash64("m", F.lit(turn))).alias("_p")).select("key", "_p.*")
+        more = (members.join(pivot, "key").where(F.col("l") != F.col("pl"))
+                       .select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")))
+        found, done = _new(more, done, sizes, texts, words, percent)
+        if found.isEmpty():
+            break
+        label = _merge(label, found)
+    members = _open_buckets(members, label).join(
+        sizes.select(F.col("doc_id").alias("m"), "n", "odd"), "m")
+    x = members.select("key", *[F.col(k).alias(f"x_{k}") for k in ("m", "n", "l", "odd")])
+    across = (x.join(members, (x["key"] == members["key"]) & (F.col("x_l") != F.col("l"))
+                     & (F.col("x_m") < F.col("m")) & _possible("x_", "", percent))
+               .select(F.col("x_m").alias("a"), F.col("m").alias("b")))
+    found, _ = _new(across, done, sizes, texts, words, percent)
+    if not found.isEmpty():
+        label = _merge(label, found)
 
     found = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))

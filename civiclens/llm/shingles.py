@@ -80,10 +80,9 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(h)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[bool, float]:
-    """(100 * intersection >= percent * union, Jaccard similarity)."""
-    if not len(a) or not len(b):
-        return False, 0.0
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union; empty sets are never linked."""
+    if not len(a) or not len(b) or min(len(a), len(b)) * 100 < max(len(a), len(b)) * percent:
+        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    union = len(a) + len(b) - both
-    return 100 * both >= percent * union, both / union
+    return 100 * both >= percent * (len(a) + len(b) - both)
