@@ -142,10 +142,10 @@ def common_blocks(docs: DataFrame, rare: int = 4, line_words: int = 4,
         F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
 
 
-def dedup_lines(docs: DataFrame, rare: int = 4, line_words: int = 4,
-                block_words: int = 8) -> DataFrame:
+def dedup_lines(docs: DataFrame, rare: int = 4, line_words: int = 4, block_words: int = 8,
+                counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with the common blocks cut from ``text``, and with two more
-    columns: ``n_lines`` and ``n_removed`` (both long)."""
+    columns (both long, named by ``counts``): lines there were, lines cut."""
     found = common_blocks(docs, rare, line_words, block_words).select(
         F.col("doc_id").alias("_bid"), F.col("_h").alias("_bh"), F.col("spans").alias("_spans"))
     both = docs.join(found, (docs["doc_id"].cast("long") == F.col("_bid"))
@@ -158,7 +158,7 @@ def dedup_lines(docs: DataFrame, rare: int = 4, line_words: int = 4,
     text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
     kept = [text.alias(c) if c == "text" else docs[c] for c in docs.columns
-            if c not in ("n_lines", "n_removed")]
+            if c not in counts]
     return both.select(*kept, F.when(docs["text"].isNull(), 0).otherwise(F.size("_lines"))
-                       .cast("long").alias("n_lines"),
-                       F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
+                       .cast("long").alias(counts[0]),
+                       F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias(counts[1]))

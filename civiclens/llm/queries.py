@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm import (
-    bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, warc)
+    bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, suffixes, warc)
 from civiclens.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -130,6 +130,14 @@ FROM o GROUP BY conv_id, segment, speaker
 """
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(_read(spark, sf_dir, "documents"))
+    gone = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"),
+                      F.size("runs").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_read(spark, sf_dir, "documents"), words=2, percent=80)
     return out.drop("_h")
@@ -175,8 +183,8 @@ def op10_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {f.__name__: f for f in (
     op1_inverted_multi_index, op2_line_dedup, op3_warc_chunks, op4_byte_bpe,
-    op5_benchmark_decontamination, op6_perspective_rotation, op8_minmax_near_dedup,
-    op9_language_id, op10_consistent_hash_sharding)}
+    op5_benchmark_decontamination, op6_perspective_rotation, op7_repeated_strings,
+    op8_minmax_near_dedup, op9_language_id, op10_consistent_hash_sharding)}
 
 ORACLES = {"op3_warc_chunks": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL,
            "op6_perspective_rotation": OP6_SQL, "op8_minmax_near_dedup": OP8_SQL}
