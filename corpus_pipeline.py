@@ -54,7 +54,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, PATTERN)
     both = bpe.decode(ids, RANKS)
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"),
-                       "ids", F.decode("decoded", F.lit("UTF-8")).alias("text"))
+                       "ids", F.decode("decoded", "UTF-8").alias("text"))
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
