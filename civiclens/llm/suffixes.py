@@ -10,7 +10,7 @@ together what can be equal:
 2. Anchors that occur once are dropped.  Equal segments of an anchor are
    counted before anything is shuffled whole: all their windows are repeated.
 3. Where an anchor has different segments, one of each kind is fetched, and
-   the segments of whole buckets are joined into texts of some megabytes.  On
+   the segments of whole buckets are joined into texts of some 100 kB.  On
    the text's Burrows-Wheeler transform, intervals of equal prefixes are
    extended backwards breadth-first.  That sets the common prefixes of
    neighbouring suffixes by increasing value; it stops at ``width``, and
@@ -42,7 +42,7 @@ from civiclens.llm.shingles import mix
 WIDTH = 200
 ANCHOR = 40
 CROWD = 2000
-TEXT_BYTES = 1 << 20  # of a text that is transformed as one
+TEXT_BYTES = 1 << 17  # of a text that is transformed as one: its arrays fit the cache
 PART = (1 << 20) - 1024  # bytes whose windows are dealt with at a time
 _LOW = np.uint64((1 << 20) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -193,21 +193,20 @@ def transform(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, Burrows-Wheeler transform) of the rotations of a text,
     sorted by ``depth`` symbols at least."""
     n = len(text)
-    rank = text.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    done = 1
+    key = np.zeros(n, np.int64)
+    for j in range(7):  # seven symbols of nine bits make the first key
+        key = key << 9 | np.roll(text, -j)
+    done = 7
     while True:
-        key = rank * np.int64(n + 257) + np.roll(rank, -done) if done < depth else None
-        if key is None:
-            break
         order = np.argsort(key)
         k = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.r_[0, k[1:] != k[:-1]])
-        rank = new
-        done *= 2
-        if rank.max() == n - 1:
+        new = np.cumsum(np.r_[0, k[1:] != k[:-1]])
+        if done >= depth or new[-1] == n - 1:
             break
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        key = rank * np.int64(n) + np.roll(rank, -done)
+        done *= 2
     return order, text[order - 1]
 
 
