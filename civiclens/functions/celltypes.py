@@ -84,14 +84,13 @@ def date_value(v: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column
 def cell_type(v: Column | str, formats: Sequence[str] = DATE_FORMATS,
               date_by_name: Column | None = None) -> Column:
     """The type tag of a cell.  ``date_by_name`` (a boolean column, e.g. from
-    :func:`name_like_date`) marks non-empty, non-numeric cells of date-like
-    columns as dates, as a draft of the reference did."""
+    :func:`name_like_date`) marks all non-empty cells of date-like columns as
+    dates, numbers too, as the drafts of the reference did."""
     v = _c(v)
-    expr = (F.when(is_empty(v), F.lit(EMPTY))
-             .when(v.rlike(INT_PATTERN), F.lit(INT))
-             .when(v.rlike(REAL_PATTERN), F.lit(REAL)))
+    expr = F.when(is_empty(v), F.lit(EMPTY))
     if date_by_name is not None:
         expr = expr.when(date_by_name, F.lit(DATE))
+    expr = expr.when(v.rlike(INT_PATTERN), F.lit(INT)).when(v.rlike(REAL_PATTERN), F.lit(REAL))
     return (expr.when(date_value(v, formats).isNotNull(), F.lit(DATE))
                 .otherwise(F.lit(TEXT)))
 

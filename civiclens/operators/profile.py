@@ -46,8 +46,8 @@ def value_frequencies(cells: DataFrame) -> DataFrame:
 def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
                       date_by_name: bool = False) -> DataFrame:
     """Adds the cell type and the parsed forms of every distinct value.
-    ``date_by_name=True`` applies a draft rule of the reference: non-numeric
-    cells of columns named like dates (date, year, time, ...) are dates."""
+    ``date_by_name=True`` applies a draft rule of the reference: all
+    non-empty cells of columns named like dates (date, year, ...) are dates."""
     v = F.col("value")
     flags = freq.select(
         "*",
@@ -58,10 +58,10 @@ def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
     # empty, int or real
     parsed = flags.withColumn(
         "ts", F.when(~(F.col("_empty") | F.col("_int") | F.col("_real")), ct.date_value(v, formats)))
-    kind = (F.when(F.col("_empty"), F.lit(ct.EMPTY)).when(F.col("_int"), F.lit(ct.INT))
-             .when(F.col("_real"), F.lit(ct.REAL))
+    kind = (F.when(F.col("_empty"), F.lit(ct.EMPTY))
              .when(ct.name_like_date(F.col("column_name")) if date_by_name else F.lit(False),
                    F.lit(ct.DATE))
+             .when(F.col("_int"), F.lit(ct.INT)).when(F.col("_real"), F.lit(ct.REAL))
              .when(F.col("ts").isNotNull(), F.lit(ct.DATE))
              .otherwise(F.lit(ct.TEXT)))
     return parsed.select(

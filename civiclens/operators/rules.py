@@ -173,7 +173,7 @@ def protected_rules(r2: DataFrame, r3: DataFrame, prot: float,
     return (joined.withColumn("prot", F.col("conf") / F.col("_bconf"))
                   .filter(_passes(F.col("prot"), prot, strict, prot_decimals))
                   .select("attr1", "val1", "attr2", "val2", "attr3", "val3",
-                          "supp", "conf", "prot"))
+                          "supp", "conf", "prot").distinct())
 
 
 @dataclass

@@ -56,8 +56,8 @@ def split_train_test(df: DataFrame, train_fraction: float = 0.6, key: str = "id"
 def classifier_stages(max_iter: int = 20, reg_param: float = 0.001,
                         num_features: int = 1 << 18) -> Pipeline:
     return Pipeline(stages=[
-        StringIndexer(inputCol="category", outputCol="label", stringOrderType="alphabetAsc",
-                      handleInvalid="keep"),
+        # No extra class for unknown labels: two categories give a binary fit.
+        StringIndexer(inputCol="category", outputCol="label", stringOrderType="alphabetAsc"),
         RegexTokenizer(pattern="\\W+", inputCol="text", outputCol="words", toLowercase=False),
         HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features),
         IDF(inputCol="rawFeatures", outputCol="features"),
@@ -204,7 +204,8 @@ def explain(model: PipelineModel, docs: DataFrame, num_features: int = 6,
     """Word-level explanations ``(id, word, weight, rank)`` of the model's
     probability for ``target_class``, ``num_features`` words per document."""
     copies = perturbations(docs, num_samples, key=key, text=text)
-    scored = model.transform(copies.withColumn("category", F.lit(None).cast("string")))
+    # the copies have no category: every stage but the label index
+    scored = PipelineModel(stages=model.stages[1:]).transform(copies)
     scored = scored.select(
         "id", "s", "kept", "weight", "vocab",
         F.element_at(vector_to_array(F.col("probability")), target_class + 1).alias("target"))

@@ -12,6 +12,8 @@ one read per dataset) and each dataset's header row.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,27 +31,33 @@ def profile_manifest(spark: SparkSession, manifest_path: str, partitions: int |
     bad_lines = (manifest.filter(~F.col("valid"))
                  .select(F.coalesce("dataset_name", "path").alias("dataset_name"),
                          F.lit("malformed manifest line").alias("reason")))
-    paths = {r.dataset_name: r.path for r in
-             manifest.filter(F.col("valid")).select("dataset_name", "path").collect()}
+    # Datasets of one base name are told apart by their whole path.
+    rows = manifest.filter(F.col("valid")).select("dataset_name", "path").distinct().collect()
+    seen = Counter(r.dataset_name for r in rows)
+    paths = {r.dataset_name if seen[r.dataset_name] == 1 else r.path: r.path for r in rows}
     cells, unreadable = readers.melt_datasets(spark, paths, partitions)
     docs = prof.profile_documents(cells, k) if cells is not None else None
     return docs, bad_lines.unionByName(unreadable)
 
 
 def label_target_columns(spark: SparkSession, targets_path: str, data_root: str,
-                         suffix: str = ".tsv.gz", partitions: int | None = None) -> DataFrame:
-    """Label counts for the target list (duplicates removed), one job.
+                         suffix: str = ".tsv.gz", partitions: int | None = None,
+                         ) -> tuple[DataFrame, DataFrame]:
+    """``(labels, quarantine)``: label counts for the target list (duplicates
+    removed), one job, and the targets' datasets that cannot be read
+    ``(dataset_name, reason)``.
 
     Each dataset ``<data_root>/<dataset><suffix>`` is read once; the given
     column name is resolved to the closest header (insert/delete distance).
     """
     targets = readers.read_targets(spark, targets_path).withColumnRenamed("column_name", "given_name")
     names = [r.dataset_name for r in targets.select("dataset_name").distinct().collect()]
-    frames, _unreadable = readers.read_many(
+    frames, unreadable = readers.read_many(
         spark, {n: f"{data_root.rstrip('/')}/{n}{suffix}" for n in names}, partitions)
+    quarantine = spark.createDataFrame(unreadable, "dataset_name string, reason string")
     cells = readers.union_all([prof.melt_cells(df, n) for n, df in frames.items()])
     if cells is None:
         return spark.createDataFrame([], "dataset_name string, column_name string, "
-                                         "semantic_type string, count long, label string")
+                                         "semantic_type string, count long, label string"), quarantine
     headers = sem.header_table(spark, frames)
-    return sem.label_targets(cells, headers, targets)
+    return sem.label_targets(cells, headers, targets), quarantine

@@ -49,8 +49,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session; a private folder is created only
-    when it is unset, which happens in local tests.
+    The setting is read from the session.  Where it is unset, a ``local``
+    master gets a private folder; on a cluster that would be the folder of
+    one machine, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="civiclens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     os.makedirs(conf_dir, exist_ok=True) if conf_dir.startswith("/") else None

@@ -1,8 +1,8 @@
 """Readers for the reference's inputs (all lazy DataFrames).
 
 Every reader declares its schema when it is known; inference stays an
-option.  Malformed rows are kept in a ``_corrupt_record`` column
-(PERMISSIVE mode) rather than failing a whole dataset.
+option.  Malformed rows do not fail a dataset (PERMISSIVE mode); cells beyond
+a row's columns are not kept.
 """
 
 from __future__ import annotations
@@ -18,9 +18,12 @@ from civiclens.operators.profile import melt_cells
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], header: bool = True,
              schema: T.StructType | str | None = None, infer: bool = False,
-             sep: str = ",") -> DataFrame:
-    """CSV with header; explicit schema, inference, or all strings."""
-    r = spark.read.option("header", header).option("sep", sep).option("quote", '"')
+             sep: str = ",", escape: str = '"') -> DataFrame:
+    """CSV with header; explicit schema, inference, or all strings.  A quote
+    within quotes is written twice, as in Python's ``csv``; pass Spark's own
+    default, ``escape="\\\\"``, for files with backslash escapes."""
+    r = (spark.read.option("header", header).option("sep", sep).option("quote", '"')
+         .option("escape", escape))
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -37,7 +40,8 @@ def read_positional_csv(spark: SparkSession, path: str | Sequence[str],
     """
     n = width or (max(columns) + 1)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
-    raw = spark.read.option("header", False).option("quote", '"').schema(schema).csv(path)
+    raw = (spark.read.option("header", False).option("quote", '"').option("escape", '"')
+           .schema(schema).csv(path))
     return raw.select(*[F.col(f"_c{i}").try_cast(t).alias(name)
                         for i, (name, t) in sorted(columns.items())])
 
@@ -49,8 +53,8 @@ def read_tsv_strings(spark: SparkSession, path: str | Sequence[str],
     A gzip file is not splittable and arrives as one partition; pass
     ``partitions`` to spread the rows right after the read.
     """
-    df = (spark.read.option("sep", "\t").option("header", True)
-          .option("mode", "PERMISSIVE").csv(path))
+    df = (spark.read.option("sep", "\t").option("header", True).option("quote", '"')
+          .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
     return df.repartition(partitions) if partitions else df
 
 

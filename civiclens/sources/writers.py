@@ -22,21 +22,25 @@ def format_rows(df: DataFrame, fmt: str, cols: Sequence[str | Column],
     specs = _split_specs(fmt)
     if len(specs) - 1 != len(exprs):
         raise ValueError("number of format specifiers and columns differ")
-    pieces = [F.lit(specs[0])]
+    pieces = [F.lit(specs[0].replace("%%", "%"))]
     for spec_text, e in zip(specs[1:], exprs):
         spec, rest = spec_text
         one = F.format_string(spec, e)
         pieces.append(F.when(e.isNull(), F.lit("null")).otherwise(one) if spec.endswith("f") else one)
-        pieces.append(F.lit(rest))
+        pieces.append(F.lit(rest.replace("%%", "%")))
     return df.select(F.concat(*pieces).alias(out))
 
 
 def _split_specs(fmt: str) -> list:
     """``'%d\\t%s'`` → ``['', ('%d', '\\t'), ('%s', '')]``."""
-    parts = re.split(r"(%[-+ 0#]*\d*(?:\.\d+)?[sdf])", fmt)
-    out = [parts[0]]
-    for i in range(1, len(parts), 2):
-        out.append((parts[i], parts[i + 1]))
+    parts = re.split(r"(?<!%)((?:%%)*)(%[-+ 0#]*\d*(?:\.\d+)?[sdf])", fmt)
+    # groups of three: signs written twice before a specifier, the specifier,
+    # and the text after it
+    text, out = parts[0] + (parts[1] if len(parts) > 1 else ""), []
+    out.append(text)
+    for i in range(2, len(parts), 3):
+        after = parts[i + 1] + (parts[i + 2] if i + 2 < len(parts) else "")
+        out.append((parts[i], after))
     return out
 
 

@@ -80,6 +80,39 @@ def test_manifest_and_target_drivers(spark, tmp_path):
     tg = tmp_path / "targets.txt"
     tg.write_text("['d1.Borough.txt.gz', 'd2.Street_Name.txt.gz']")
     got = {(r.dataset_name, r.column_name, r.semantic_type): r["count"]
-           for r in drivers.label_target_columns(spark, str(tg), str(tmp_path), suffix=".tsv").collect()}
+           for r in drivers.label_target_columns(spark, str(tg), str(tmp_path), suffix=".tsv")[0].collect()}
     assert got == {("d1", "Borough", "borough"): 1, ("d1", "Borough", "Other"): 1,
                    ("d2", "Street Name", "street_name"): 1}
+
+
+def test_quotes_as_in_pythons_csv(spark, tmp_path):
+    import csv
+    from civiclens.sources import readers
+    rows = [["a", "b"], ['say "hi" now', "x,y"], ["tab\there", ""]]
+    with open(tmp_path / "q.csv", "w", newline="") as f:
+        csv.writer(f).writerows(rows)
+    with open(tmp_path / "q.tsv", "w", newline="") as f:
+        csv.writer(f, delimiter="\t").writerows(rows)
+    for df in (readers.read_csv(spark, str(tmp_path / "q.csv")),
+               readers.read_tsv_strings(spark, str(tmp_path / "q.tsv"))):
+        assert [[x or "" for x in r] for r in df.collect()] == rows[1:]
+
+
+def test_percent_sign_and_equal_base_names(spark, tmp_path):
+    from civiclens.plans import drivers
+    from civiclens.sources import writers
+    df = spark.createDataFrame([(5, "x")], "n int, s string")
+    assert writers.format_rows(df, "100%% %d%%%s", ["n", "s"]).first()[0] == "100% 5%x"
+    for d in ("a", "b"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "x.tsv").write_text("h\n1\n")
+    (tmp_path / "m.txt").write_text(f"{tmp_path}/a/x.tsv 1\n{tmp_path}/b/x.tsv 1\n")
+    docs, _ = drivers.profile_manifest(spark, str(tmp_path / "m.txt"))
+    assert docs.count() == 2
+
+
+def test_unreadable_target_is_quarantined(spark, tmp_path):
+    from civiclens.plans import drivers
+    (tmp_path / "t.txt").write_text("['gone.col.txt.gz']")
+    _, bad = drivers.label_target_columns(spark, str(tmp_path / "t.txt"), str(tmp_path), suffix=".tsv")
+    assert [r.dataset_name for r in bad.collect()] == ["gone"]

@@ -101,3 +101,10 @@ def test_clean_and_refit_and_evaluate(spark):
     m = {r.label: r for r in textml.evaluate(pred).collect()}
     assert set(m) == {0.0, 1.0} and 0.0 <= m[0.0].accuracy <= 1.0
     assert "church" not in " ".join(r.text for r in textml.remove_words(df, ["church"]).collect())
+
+
+def test_two_labels_give_a_binary_model(spark):
+    from civiclens.operators import textml
+    rows = [(i, "a" if i % 2 else "b", "x y" if i % 2 else "z w") for i in range(20)]
+    model = textml.fit(spark.createDataFrame(rows, "id int, category string, text string"))
+    assert model.stages[-1].numClasses == 2
