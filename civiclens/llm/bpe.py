@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclens.llm.common import tidy
+
 LONG = 256
-CACHE_BYTES = 160 << 20  # of known pieces, per Python worker
+CACHE_BYTES = 32 << 20  # of known pieces, per task
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -239,20 +241,23 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
         if key not in _WORKER:  # the tables are built once per Python worker
             _WORKER[key] = Encoder(read_ranks(ranks_path), pattern)
         enc = _WORKER[key]
-        for b in batches:
-            for a in range(0, b.num_rows, 256):
-                part = b.slice(a, 256)
-                ids = enc.encode([t or "" for t in part.column(len(keep)).to_pylist()])
-                ends = np.cumsum([0] + [len(x) // 4 for x in ids])
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                    names=[*keep, ids_col])
+        try:
+            for b in batches:
+                for a in range(0, b.num_rows, 256):
+                    part = b.slice(a, 256)
+                    ids = enc.encode([t or "" for t in part.column(len(keep)).to_pylist()])
+                    ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+                    flat = pa.array(np.frombuffer(b"".join(ids), np.int32), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
+                        names=[*keep, ids_col])
+        finally:  # idle workers hold the tables only
+            enc.known, enc.known_bytes = {}, 0
 
     chosen = df.select(*keep, text_col)
     schema = F.lit(None).cast("array<int>").alias(ids_col)
     out = df.select(*keep, schema).schema
-    return chosen.mapInArrow(run, out)
+    return chosen.mapInArrow(tidy(run), out)
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
@@ -284,4 +289,4 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*keep, out_col])
 
     schema = df.select(*keep, F.lit(None).cast("binary").alias(out_col)).schema
-    return df.select(*keep).mapInArrow(run, schema)
+    return df.select(*keep).mapInArrow(tidy(run), schema)

@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiclens.llm.common import tidy
+
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
-BLOCK = 1 << 19  # code points handled at a time
+BLOCK = 1 << 17  # code points handled at a time
 MAX_LANGS = 512
 _SPACE = re.compile(r"\s+")
 
@@ -167,7 +169,7 @@ def fit(rows: DataFrame, max_docs: int = 2000, alpha: float = 0.5) -> Model:
     sample = (rows.where(near).withColumn("_r", F.row_number().over(w))
                   .where(F.col("_r") <= max_docs).select("lang", "text"))
     sample = sample.repartition(max(2, rows.sparkSession.sparkContext.defaultParallelism))
-    counts = (sample.mapInArrow(_count, "lang string, bucket int, n long")
+    counts = (sample.mapInArrow(tidy(_count), "lang string, bucket int, n long")
                     .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     table = np.full((BUCKETS, len(langs)), alpha)
     where = {x: i for i, x in enumerate(langs)}
@@ -197,7 +199,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", "text", _has_letter(F.col("text")).alias("_ok"),
                         F.coalesce(held, F.lit(False)).alias("held_out"))
-                .mapInArrow(score, f"doc_id {kind}, held_out boolean, lang_pred string, score double"))
+                .mapInArrow(tidy(score), f"doc_id {kind}, held_out boolean, lang_pred string, score double"))
 
 
 def accepted(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
@@ -213,7 +215,7 @@ def accepted(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame
             yield b.filter(pa.array(ok, pa.bool_()))
 
     names = docs.columns
-    return docs.where(_has_letter(F.col("text"))).mapInArrow(keep, docs.schema)
+    return docs.where(_has_letter(F.col("text"))).mapInArrow(tidy(keep), docs.schema)
 
 
 def identify(docs: DataFrame, max_docs: int = 2000) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import join_on, written
+from civiclens.llm.common import join_on, tidy, written
 from civiclens.llm.components import components
 from civiclens.llm.shingles import linked, mix, shingles
 
@@ -121,7 +121,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_ta")), "a")
                  .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_tb")), "b"))
     return both.select("a", "b", "_ta", "_tb").mapInArrow(
-        run, "a long, b long, link boolean")
+        tidy(run), "a long, b long, link boolean")
 
 
 def _possible(x: str, y: str, percent: int):
@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
     rows = written(docs.mapInArrow(
-        _sketch(words, bands), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>, "
+        tidy(_sketch(words, bands)), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>, "
                            "odd array<long>"),
         "minmax")
     real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
