@@ -5,7 +5,7 @@ Order matters and follows the reference: empty → int → real → date → tex
 * int:  what Python ``int(s)`` accepts — optional blanks, sign, digits with
   single underscores between them.  ``try_cast`` alone rejects ``1_000``
   and 20-digit values, so the grammar is a regex and the value a
-  ``DECIMAL(38,0)``.
+  ``DECIMAL(38,0)``; :func:`int_digits` keeps integers of any length.
 * real: contains a dot and ``float(s)`` accepts it (``.5``, ``5.``,
   ``1.e3``).  ``1e5`` and ``nan`` have no dot and are not real.
   ``try_cast`` alone accepts ``1.5f``/``1.5d``, so again a regex first.
@@ -34,18 +34,26 @@ REAL_PATTERN = (rf"(?U)^\s*[+-]?(?:{_DIGITS}\.(?:{_DIGITS})?|\.{_DIGITS})"
 # Declared date formats (Java patterns; single letters accept one or two
 # digits, as strptime's %m/%d/%H do).
 DATE_FORMATS = (
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d H:m[:s][.SSSSSSSSS][XXX]",
+    "yyyy-M-d'T'H:m[:s][.SSSSSSSSS][XXX]",
     "yyyy-M-d",
-    "M/d/yyyy h:m:s a",
-    "M/d/yyyy H:m:s",
+    "M/d/yyyy h:m[:s] a",
+    "M/d/yyyy H:m[:s]",
     "M/d/yyyy",
+    "yyyy/M/d[ H:m[:s]]",
+    "d-MMM-yyyy",
+    "d-MMM-yy",
+    "MMM d[,] yyyy",
+    "MMMM d[,] yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
 )
 
 
 # Every value the default formats can parse starts like this; other values
 # skip the (exception-driven, slow) parsers.  Used only with DATE_FORMATS.
-DATE_GUARD = r"^ *\d{1,4}[-/]\d{1,2}[-/]\d{1,4}"
+DATE_GUARD = (r"^ *(?:\d{1,4}[-/]\d{1,2}[-/]\d{1,4}"
+              r"|\d{1,2}[- ]\p{L}{3,9}[- ]\d{2,4} *$|\p{L}{3,9} \d{1,2},? \d{4} *$)")
 
 
 def _c(col: Column | str) -> Column:
@@ -67,6 +75,20 @@ def int_value(v: Column | str) -> Column:
     return F.when(v.rlike(INT_PATTERN), _number_text(v).try_cast("decimal(38,0)"))
 
 
+def int_digits(v: Column | str) -> tuple[Column, Column]:
+    """``(is negative, digits without leading zeros)`` of an int cell of any
+    length; zero is ``0`` and never negative."""
+    t = _number_text(_c(v))
+    digits = F.regexp_replace(t, r"^[+-]?0*(?=.)", "")
+    return t.startswith("-") & (digits != "0"), digits
+
+
+def int_as_double(v: Column | str) -> Column:
+    """An int cell of any length as a double."""
+    v = _c(v)
+    return F.when(v.rlike(INT_PATTERN), _number_text(v).try_cast("double"))
+
+
 def real_value(v: Column | str) -> Column:
     v = _c(v)
     return F.when(v.rlike(REAL_PATTERN), _number_text(v).try_cast("double"))

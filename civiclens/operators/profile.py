@@ -67,6 +67,7 @@ def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
     return parsed.select(
         *freq.columns, kind.alias("cell_type"),
         ct.int_value(v).alias("int_value"),
+        ct.int_as_double(v).alias("int_double"),
         ct.real_value(v).alias("real_value"),
         "ts", F.length(v).alias("len"))
 
@@ -110,13 +111,22 @@ def column_stats(typed: DataFrame) -> DataFrame:
         F.sum(f).cast("long").alias("number_cells"),
         F.count(F.lit(1)).alias("number_distinct_values"),
     ]
-    for name, val in ((ct.INT, F.col("int_value")), (ct.REAL, F.col("real_value"))):
+    for name, val in ((ct.INT, F.col("int_double")), (ct.REAL, F.col("real_value"))):
         aggs += [
             F.sum(on(name, f)).cast("long").alias(f"{name}_count"),
             F.max(on(name, val)).alias(f"{name}_max"),
             F.min(on(name, val)).alias(f"{name}_min"),
-            F.sum(on(name, val.cast("double") * f)).alias(f"{name}_sum"),
+            F.sum(on(name, val * f)).alias(f"{name}_sum"),
         ]
+    # Integers have any length: the larger magnitude has more digits or, of
+    # equally many, the later ones.
+    negative, digits = ct.int_digits(v)
+    size = F.struct(F.length(digits).alias("n"), digits.alias("digits"))
+    below, above = (t == ct.INT) & negative, (t == ct.INT) & ~negative
+    aggs += [
+        F.max(F.when(above, size)).alias("_above_max"), F.min(F.when(above, size)).alias("_above_min"),
+        F.max(F.when(below, size)).alias("_below_max"), F.min(F.when(below, size)).alias("_below_min"),
+    ]
     aggs += [
         F.sum(on(ct.TEXT, f)).cast("long").alias("text_count"),
         F.min_by(on(ct.TEXT, v), on(ct.TEXT, F.struct("len", "value"))).alias("shortest_value"),
@@ -130,7 +140,12 @@ def column_stats(typed: DataFrame) -> DataFrame:
     stats = typed.groupBy(*KEY).agg(*aggs)
     return (stats
             .withColumn("int_mean", F.col("int_sum") / F.col("int_count"))
-            .withColumn("real_mean", F.col("real_sum") / F.col("real_count")))
+            .withColumn("real_mean", F.col("real_sum") / F.col("real_count"))
+            .withColumn("int_max_text", F.coalesce("_above_max.digits",
+                                                   F.concat(F.lit("-"), "_below_min.digits")))
+            .withColumn("int_min_text", F.coalesce(F.concat(F.lit("-"), "_below_max.digits"),
+                                                   "_above_min.digits"))
+            .drop("_above_max", "_above_min", "_below_max", "_below_min"))
 
 
 def _deviations(typed: DataFrame, stats: DataFrame) -> DataFrame:
@@ -146,7 +161,7 @@ def _deviations(typed: DataFrame, stats: DataFrame) -> DataFrame:
     """
     means = F.broadcast(stats.select(*KEY, "int_mean", "real_mean"))
     t, f = F.col("cell_type"), F.col("freq")
-    dx_int = F.col("int_value").cast("double") - F.col("int_mean")
+    dx_int = F.col("int_double") - F.col("int_mean")
     dx_real = F.col("real_value") - F.col("real_mean")
     return (typed.join(means, KEY, "left")
                  .groupBy(*KEY)
@@ -162,8 +177,8 @@ def _numeric_rows(stats: DataFrame, dev: DataFrame) -> DataFrame:
             F.lit(name).alias("cell_type"), n.alias("count"),
             F.col(f"{name}_max").cast("double").alias("max_value"),
             F.col(f"{name}_min").cast("double").alias("min_value"),
-            (F.col(f"{name}_max") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("max_int"),
-            (F.col(f"{name}_min") if name == ct.INT else F.lit(None).cast("decimal(38,0)")).alias("min_int"),
+            (F.col("int_max_text") if name == ct.INT else F.lit(None).cast("string")).alias("max_int"),
+            (F.col("int_min_text") if name == ct.INT else F.lit(None).cast("string")).alias("min_int"),
             F.col(f"{name}_mean").alias("mean"),
             F.sqrt(ss / n).alias("stddev"),
             F.sqrt(ss).alias("root_sum_sq_dev"))
@@ -175,7 +190,8 @@ def _numeric_rows(stats: DataFrame, dev: DataFrame) -> DataFrame:
 
 def numeric_stats(typed: DataFrame) -> DataFrame:
     """Per (column, int|real): count, max, min, mean, population standard
-    deviation and the reference's undivided ``sqrt(sum((x - mean)^2))``.
+    deviation and the reference's undivided ``sqrt(sum((x - mean)^2))``;
+    ``max_int`` and ``min_int`` are the exact integers as text.
     The deviation is a second pass against the means, not
     ``sum(x^2) - n*mean^2``, which cancels badly."""
     stats = column_stats(typed)
@@ -230,9 +246,11 @@ def column_profiles(cells: DataFrame, k: int = 5,
 
     def num_block(name, label):
         n, ss = F.col(f"{name}_count"), F.col(f"{name}_ss")
+        ends = "_text" if name == ct.INT else ""
         return F.when(n > 0, _block(
             type=F.lit(label), count=n,
-            max_value=F.col(f"{name}_max").cast("string"), min_value=F.col(f"{name}_min").cast("string"),
+            max_value=F.col(f"{name}_max{ends}").cast("string"),
+            min_value=F.col(f"{name}_min{ends}").cast("string"),
             mean=F.col(f"{name}_mean"), stddev=F.sqrt(ss / n), root_sum_sq_dev=F.sqrt(ss)))
 
     blocks = F.array(
@@ -272,27 +290,34 @@ def profile_documents(cells: DataFrame, k: int = 5,
         F.array_sort(F.collect_list(col_struct)).alias("columns"))
 
 
-def profile_summary(profiles: DataFrame) -> DataFrame:
+def type_counts(cells: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
+    """``(dataset_name, column_name, cell_type, num)``: all that the summary
+    and the totals need of a profile."""
+    typed = typed_frequencies(value_frequencies(cells), formats)
+    return (typed.groupBy(*KEY, "cell_type")
+                 .agg(F.sum("freq").cast("long").alias("num")))
+
+
+def profile_summary(counts: DataFrame) -> DataFrame:
     """Per column: emptiness ratio (the reference calls it sparsity),
     cleanliness ``max(type count) / sum(type count)`` (1 for ≤ 1 type) and
-    the number of types.  Input: :func:`column_profiles` rows."""
-    counts = F.transform("data_types", lambda b: b["count"])
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    top = F.array_max(counts)
-    n_types = F.size("data_types")
-    return profiles.select(
+    the number of types.  Input: :func:`type_counts` rows."""
+    num, filled = F.col("num"), F.col("cell_type") != ct.EMPTY
+    per = counts.groupBy(*KEY).agg(
+        F.sum("num").alias("_all"), F.sum(F.when(filled, num)).alias("_filled"),
+        F.max(F.when(filled, num)).alias("_top"), F.count(F.when(filled, num)).alias("n_types"))
+    return per.select(
         *KEY,
-        F.try_divide(F.col("number_empty_cells"),
-                     F.col("number_empty_cells") + F.col("number_non_empty_cells")).alias("sparsity"),
-        F.when(n_types <= 1, F.lit(1.0)).otherwise(top / total).alias("cleanliness"),
-        n_types.alias("n_types"))
-
-
-def type_totals(profiles: DataFrame) -> DataFrame:
-    """Total cells per data type over all profiled columns."""
-    blocks = profiles.select(F.explode("data_types").alias("b"))
-    return (blocks.groupBy(F.col("b.type").alias("data_type"))
-                  .agg(F.sum("b.count").cast("long").alias("num")))
-
-
-profile = profile_documents
+        ((F.col("_all") - F.coalesce("_filled", F.lit(0))) / F.col("_all")).alias("sparsity"),
+        F.when(F.col("n_types") <= 1, F.lit(1.0)).otherwise(F.col("_top") / F.col("_filled"))
+         .alias("cleanliness"),
+        "n_types")
+
+
+def type_totals(counts: DataFrame) -> DataFrame:
+    """Total cells per data type over all profiled columns; input:
+    :func:`type_counts` rows."""
+    label = F.create_map(*[F.lit(x) for pair in ct.TYPE_LABELS.items() for x in pair])
+    return (counts.filter(F.col("cell_type") != ct.EMPTY)
+                  .groupBy(label[F.col("cell_type")].alias("data_type"))
+                  .agg(F.sum("num").cast("long").alias("num")))

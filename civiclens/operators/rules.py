@@ -102,38 +102,50 @@ def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp
                    .filter(F.col("supp") >= supp))
 
 
-def _passes(value, threshold: float, strict: bool, decimals: int | None):
-    v = F.round(value, decimals) if decimals is not None else value
-    return v > threshold if strict else v >= threshold
+def _passes(value, threshold: float, strict: bool):
+    return value > threshold if strict else value >= threshold
+
+
+def _ratio(part, whole, decimals: int | None):
+    r = F.col(part) / F.col(whole)
+    return r if decimals is None else F.round(r, decimals)
+
+
+def _consequent(attr: str, val: str, name: str, values: Sequence[int] | None):
+    wanted = F.col(attr) == name
+    return wanted if values is None else wanted & F.col(val).isin(*values)
 
 
 def rules2(f1: DataFrame, f2: DataFrame, conf: float,
            consequent: str = "vdecile", strict: bool = False,
-           conf_decimals: int | None = None) -> DataFrame:
+           conf_decimals: int | None = None,
+           consequent_values: Sequence[int] | None = None) -> DataFrame:
     """R2: item → consequent item, conf = supp(pair) / supp(item).
 
     Variants of the reference's other drafts: ``strict=True`` uses ``>``;
-    ``conf_decimals=2`` rounds the confidence before the threshold test.
+    ``conf_decimals=2`` rounds the confidence, in the test and in the result;
+    ``consequent_values`` keeps rules to these values of the consequent only.
     """
     lhs = f1.select(F.col("attr").alias("attr1"), F.col("val").alias("val1"),
                     F.col("supp").alias("_s1"))
-    c = F.col("supp") / F.col("_s1")
-    return (f2.filter(F.col("attr2") == consequent)
+    return (f2.filter(_consequent("attr2", "val2", consequent, consequent_values))
               .join(lhs, ["attr1", "val1"])
-              .withColumn("conf", c)
-              .filter(_passes(F.col("conf"), conf, strict, conf_decimals))
+              .withColumn("conf", _ratio("supp", "_s1", conf_decimals))
+              .filter(_passes(F.col("conf"), conf, strict))
               .select("attr1", "val1", "attr2", "val2", "supp", "conf"))
 
 
 def rules3(f2: DataFrame, f3: DataFrame, conf: float,
            consequent: str = "vdecile", strict: bool = False,
-           conf_decimals: int | None = None) -> DataFrame:
-    """Two items → consequent item, conf = supp(triple) / supp(pair)."""
+           conf_decimals: int | None = None,
+           consequent_values: Sequence[int] | None = None) -> DataFrame:
+    """Two items → consequent item, conf = supp(triple) / supp(pair);
+    variants as in :func:`rules2`."""
     lhs = f2.withColumnRenamed("supp", "_s2")
-    return (f3.filter(F.col("attr3") == consequent)
+    return (f3.filter(_consequent("attr3", "val3", consequent, consequent_values))
               .join(lhs, ["attr1", "val1", "attr2", "val2"])
-              .withColumn("conf", F.col("supp") / F.col("_s2"))
-              .filter(_passes(F.col("conf"), conf, strict, conf_decimals))
+              .withColumn("conf", _ratio("supp", "_s2", conf_decimals))
+              .filter(_passes(F.col("conf"), conf, strict))
               .select("attr1", "val1", "attr2", "val2", "attr3", "val3", "supp", "conf"))
 
 
@@ -149,7 +161,7 @@ def protected_rules(r2: DataFrame, r3: DataFrame, prot: float,
     drafts of the reference are parameters: ``match_consequent_value=False``
     joins the base rule on the consequent attribute only,
     ``match_left_value=False`` on the left attribute only, ``strict`` uses
-    ``>`` and ``prot_decimals`` rounds before the test.
+    ``>`` and ``prot_decimals`` rounds the ratio.
     """
     base = r2.select(F.col("attr1").alias("_ba"), F.col("val1").alias("_bv"),
                      F.col("attr2").alias("_ca"), F.col("val2").alias("_cv"),
@@ -170,8 +182,8 @@ def protected_rules(r2: DataFrame, r3: DataFrame, prot: float,
         if match_left_value:
             cond.append(r3["val1"] == base["_bv"])
         joined = r3.filter(F.col("attr2") == protected).join(base, cond)
-    return (joined.withColumn("prot", F.col("conf") / F.col("_bconf"))
-                  .filter(_passes(F.col("prot"), prot, strict, prot_decimals))
+    return (joined.withColumn("prot", _ratio("conf", "_bconf", prot_decimals))
+                  .filter(_passes(F.col("prot"), prot, strict))
                   .select("attr1", "val1", "attr2", "val2", "attr3", "val3",
                           "supp", "conf", "prot").distinct())
 

@@ -95,7 +95,7 @@ def remove_words(docs: DataFrame, words: Sequence[str], text: str = "text") -> D
     return docs.withColumn(text, remove_substrings(F.col(text), words))
 
 
-def perturbations(docs: DataFrame, num_samples: int = 256, kernel_width: float = 25.0,
+def perturbations(docs: DataFrame, num_samples: int = 5000, kernel_width: float = 25.0,
                   key: str = "id", text: str = "text", partitions: int | None = None) -> DataFrame:
     """Perturbed copies: ``(id, s, text, kept ARRAY<BOOLEAN>, vocab, weight)``.
 
@@ -199,7 +199,7 @@ def _explain_group(num_features: int):
 
 
 def explain(model: PipelineModel, docs: DataFrame, num_features: int = 6,
-            num_samples: int = 256, target_class: int = 1, key: str = "id",
+            num_samples: int = 5000, target_class: int = 1, key: str = "id",
             text: str = "text") -> DataFrame:
     """Word-level explanations ``(id, word, weight, rank)`` of the model's
     probability for ``target_class``, ``num_features`` words per document."""

@@ -252,53 +252,42 @@ base AS (
          {_sql_case('o_orderstatus', STATUS_CODES)} AS status,
          CAST(vdecile AS INTEGER) AS vdecile
   FROM o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
-T AS (
-  SELECT uid, 'priority' AS attr, priority AS val FROM base
-  UNION ALL SELECT uid, 'region', region FROM base
-  UNION ALL SELECT uid, 'segment', segment FROM base
-  UNION ALL SELECT uid, 'status', status FROM base
-  UNION ALL SELECT uid, 'vdecile', vdecile FROM base),
-F1 AS (
-  SELECT attr, val, count(*) AS supp FROM T GROUP BY attr, val HAVING count(*) >= {RULE_SUPP}),
-C2 AS (
-  SELECT A.attr AS attr1, A.val AS val1, B.attr AS attr2, B.val AS val2
-  FROM F1 A, F1 B WHERE A.attr < B.attr),
-F2 AS (
-  SELECT C2.attr1, C2.val1, C2.attr2, C2.val2, count(*) AS supp
-  FROM C2, T T1, T T2
-  WHERE C2.attr1 = T1.attr AND C2.val1 = T1.val AND C2.attr2 = T2.attr AND C2.val2 = T2.val
-    AND T1.uid = T2.uid
-  GROUP BY C2.attr1, C2.val1, C2.attr2, C2.val2 HAVING count(*) >= {RULE_SUPP}),
-R2 AS (
-  SELECT F2.attr1, F2.val1, F2.attr2, F2.val2, F2.supp, F2.supp / F1.supp AS conf
-  FROM F1, F2
-  WHERE F2.attr1 = F1.attr AND F2.val1 = F1.val AND F2.attr2 = '{RULE_CONSEQUENT}'
-    AND F2.supp / F1.supp >= {RULE_CONF}),
-C3 AS (
-  SELECT A.attr1, A.val1, A.attr2, A.val2, B.attr2 AS attr3, B.val2 AS val3
-  FROM F2 A, F2 B
-  WHERE A.attr1 = B.attr1 AND A.val1 = B.val1 AND A.attr2 != B.attr2
-    AND B.attr2 = '{RULE_CONSEQUENT}'),
-F3 AS (
-  SELECT C3.attr1, C3.val1, C3.attr2, C3.val2, C3.attr3, C3.val3, count(*) AS supp
-  FROM C3, T T1, T T2, T T3
-  WHERE C3.attr1 = T1.attr AND C3.val1 = T1.val AND C3.attr2 = T2.attr AND C3.val2 = T2.val
-    AND C3.attr3 = T3.attr AND C3.val3 = T3.val AND T1.uid = T2.uid AND T1.uid = T3.uid
-  GROUP BY C3.attr1, C3.val1, C3.attr2, C3.val2, C3.attr3, C3.val3
-  HAVING count(*) >= {RULE_SUPP}),
-R3 AS (
-  SELECT F3.attr1, F3.val1, F3.attr2, F3.val2, F3.attr3, F3.val3, F3.supp,
-         F3.supp / F2.supp AS conf
-  FROM F3, F2
-  WHERE F3.attr1 = F2.attr1 AND F3.val1 = F2.val1 AND F3.attr2 = F2.attr2
-    AND F3.val2 = F2.val2 AND F3.attr3 = '{RULE_CONSEQUENT}' AND F3.supp / F2.supp >= {RULE_CONF}),
-PD_R3 AS (
-  SELECT R3.attr1, R3.val1, R3.attr2, R3.val2, R3.attr3, R3.val3, R3.supp, R3.conf,
-         R3.conf / R2.conf AS prot
-  FROM R3, R2
-  WHERE R3.attr3 = R2.attr2 AND R3.val3 = R2.val2 AND R3.attr1 = R2.attr1
-    AND R3.val1 = R2.val1 AND R3.attr2 = '{RULE_PROTECTED}' AND R3.conf / R2.conf >= {RULE_PROT})
+item AS (
+  SELECT uid, unnest([{{attr: 'priority', val: priority}}, {{attr: 'region', val: CAST(region AS INTEGER)}},
+                      {{attr: 'segment', val: segment}}, {{attr: 'status', val: status}},
+                      {{attr: 'vdecile', val: vdecile}}]) AS i
+  FROM base),
+basket AS (SELECT uid, list(i) AS held FROM item WHERE i.val IS NOT NULL GROUP BY uid),
+-- how many uids hold each item, each pair in name order, and each such pair
+-- together with the consequent's item
+one AS (SELECT x, count(*) AS n FROM (SELECT unnest(held) AS x FROM basket) GROUP BY x),
+two AS (
+  SELECT x, y, count(*) AS n
+  FROM (SELECT x, unnest(held) AS y FROM (SELECT held, unnest(held) AS x FROM basket))
+  WHERE x.attr < y.attr GROUP BY x, y),
+three AS (
+  SELECT x, y, z, count(*) AS n
+  FROM (SELECT x, y, unnest(held) AS z
+        FROM (SELECT held, x, unnest(held) AS y FROM (SELECT held, unnest(held) AS x FROM basket)))
+  WHERE x.attr < y.attr AND x.attr < z.attr AND y.attr <> z.attr AND z.attr = '@CONSEQUENT@'
+  GROUP BY x, y, z),
+rule_one AS (
+  SELECT x, y, two.n, two.n / one.n AS conf FROM two JOIN one USING (x)
+  WHERE y.attr = '@CONSEQUENT@' AND two.n >= @SUPP@ AND two.n / one.n >= @CONF@),
+rule_two AS (
+  SELECT x, y, z, three.n, three.n / two.n AS conf FROM three JOIN two USING (x, y)
+  WHERE three.n >= @SUPP@ AND three.n / two.n >= @CONF@),
+rule_protected AS (
+  SELECT w.x, w.y, w.z, w.n, w.conf, w.conf / s.conf AS prot
+  FROM rule_two w JOIN rule_one s ON w.x = s.x AND w.z = s.y
+  WHERE w.y.attr = '@PROTECTED@' AND w.conf / s.conf >= @PROT@)
 """
+for _mark, _value in (("@CONSEQUENT@", RULE_CONSEQUENT), ("@PROTECTED@", RULE_PROTECTED),
+                      ("@SUPP@", RULE_SUPP), ("@CONF@", RULE_CONF), ("@PROT@", RULE_PROT)):
+    _ITEMS_SQL = _ITEMS_SQL.replace(_mark, str(_value))
+
+_PAIR_SQL = "x.attr AS attr1, x.val AS val1, y.attr AS attr2, y.val AS val2"
+_TRIPLE_SQL = _PAIR_SQL + ", z.attr AS attr3, z.val AS val3"
 
 
 def _rules_query(name: str, select_sql: str, build):
@@ -378,13 +367,14 @@ def _pd(lv):
     return rules.protected_rules(_r2(lv), _r3(lv), RULE_PROT, RULE_PROTECTED)
 
 
-_rules_query("freq_items", "SELECT attr, val, supp FROM F1", _f1)
-_rules_query("freq_pairs", "SELECT attr1, val1, attr2, val2, supp FROM F2", _f2)
-_rules_query("freq_triples", "SELECT attr1, val1, attr2, val2, attr3, val3, supp FROM F3", _f3)
-_rules_query("rules2", "SELECT attr1, val1, attr2, val2, supp, conf FROM R2", _r2)
-_rules_query("rules3", "SELECT attr1, val1, attr2, val2, attr3, val3, supp, conf FROM R3", _r3)
+_rules_query("freq_items", f"SELECT x.attr AS attr, x.val AS val, n AS supp FROM one WHERE n >= {RULE_SUPP}", _f1)
+_rules_query("freq_pairs", f"SELECT {_PAIR_SQL}, n AS supp FROM two WHERE n >= {RULE_SUPP}", _f2)
+_rules_query("freq_triples", 
+             f"SELECT {_TRIPLE_SQL}, n AS supp FROM three WHERE n >= {RULE_SUPP}", _f3)
+_rules_query("rules2", f"SELECT {_PAIR_SQL}, n AS supp, conf FROM rule_one", _r2)
+_rules_query("rules3", f"SELECT {_TRIPLE_SQL}, n AS supp, conf FROM rule_two", _r3)
 _rules_query("protected_rules",
-             "SELECT attr1, val1, attr2, val2, attr3, val3, supp, conf, prot FROM PD_R3", _pd)
+             f"SELECT {_TRIPLE_SQL}, n AS supp, conf, prot FROM rule_protected", _pd)
 
 
 # --------------------------------------------------------------------------
@@ -404,7 +394,7 @@ def profile_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("c_custkey").cast("string").alias("c_custkey"), "c_name",
         F.col("c_nationkey").cast("string").alias("c_nationkey"),
         _dec_text("c_acctbal").alias("c_acctbal"), "c_mktsegment")
-    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     user = F.col("user_id").cast("string")
     et = F.col("event_type")
     events = t.events.select(
@@ -428,7 +418,7 @@ def profile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DUCK_INT = r"\s*[+-]?\d+(?:_\d+)*\s*"
 _DUCK_REAL = r"\s*[+-]?(?:\d+(?:_\d+)*\.(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+(?:_\d+)*)?\s*"
-_DUCK_DATE_FORMATS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d",
+_DUCK_DATE_FORMATS = ["%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d",
                       "%m/%d/%Y %I:%M:%S %p", "%m/%d/%Y %H:%M:%S", "%m/%d/%Y"]
 _DUCK_FMT_LIST = "[" + ", ".join(f"'{f}'" for f in _DUCK_DATE_FORMATS) + "]"
 
@@ -443,13 +433,13 @@ WITH cells AS (
   UNION ALL
   SELECT 'events' AS dataset_name, column_name, value FROM (
     SELECT CAST(event_id AS VARCHAR) AS event_id,
-           strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
            CAST(user_id AS VARCHAR) AS user_id, event_type,
            CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS value, props,
            CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) ELSE '' END AS error_code,
            CASE WHEN event_type = 'view' THEN CAST(user_id AS VARCHAR)
                 WHEN event_type = 'click' THEN CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR)
-                WHEN event_type = 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+                WHEN event_type = 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
                 WHEN event_type = 'signup' THEN event_type ELSE '' END AS mixed
     FROM events)
   UNPIVOT INCLUDE NULLS (value FOR column_name IN (event_id, ts, user_id, event_type, value, props, error_code, mixed))
@@ -481,9 +471,7 @@ SELECT dataset_name, column_name, cell_type, count(*) AS num
 FROM typed GROUP BY ALL
 """)
 def q_cell_types(spark, sf_dir):
-    typed = prof.typed_frequencies(prof.value_frequencies(profile_cells(spark, sf_dir)))
-    return (typed.groupBy("dataset_name", "column_name", "cell_type")
-                 .agg(F.sum("freq").cast("long").alias("num")))
+    return prof.type_counts(profile_cells(spark, sf_dir))
 
 
 @register("profile_counts", _CELLS_SQL + """
@@ -530,6 +518,30 @@ def q_profile_numeric(spark, sf_dir):
         F.round("root_sum_sq_dev", 4).alias("root_sum_sq_dev"))
 
 
+@register("profile_long_ints", """
+WITH cells AS (
+  SELECT 'orders' AS dataset_name, 'o_serial' AS column_name,
+         CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '' END || o_custkey
+           || lpad(CAST(o_orderkey AS VARCHAR), 40, '0') AS value
+  FROM orders),
+n AS (
+  SELECT *, value LIKE '-%' AS negative, length(value) AS len FROM cells)
+SELECT dataset_name, column_name, count(*) AS count,
+       first(value ORDER BY negative, CASE WHEN negative THEN len ELSE -len END,
+             CASE WHEN negative THEN '' ELSE value END DESC, value) AS max_int,
+       first(value ORDER BY NOT negative, CASE WHEN negative THEN -len ELSE len END,
+             CASE WHEN negative THEN value ELSE '' END DESC, value) AS min_int
+FROM n GROUP BY ALL
+""")
+def q_profile_long_ints(spark, sf_dir):
+    """Integers of more than 40 digits keep their exact extremes."""
+    serial = Tables(spark, sf_dir).orders.select(F.concat(
+        F.when(F.col("o_orderstatus") == "F", "-").otherwise(""), F.col("o_custkey").cast("string"),
+        F.lpad(F.col("o_orderkey").cast("string"), 40, "0")).alias("o_serial"))
+    typed = prof.typed_frequencies(prof.value_frequencies(prof.melt_cells(serial, "orders")))
+    return prof.numeric_stats(typed).select("dataset_name", "column_name", "count", "max_int", "min_int")
+
+
 @register("profile_text", _CELLS_SQL + """
 SELECT dataset_name, column_name, count(*) AS count,
        first(value ORDER BY length(value), value) AS shortest_value,
@@ -573,7 +585,7 @@ FROM cols c LEFT JOIN tc USING (dataset_name, column_name)
 GROUP BY c.dataset_name, c.column_name, c.e, c.n_all
 """)
 def q_profile_summary(spark, sf_dir):
-    s = prof.profile_summary(prof.column_profiles(profile_cells(spark, sf_dir)))
+    s = prof.profile_summary(prof.type_counts(profile_cells(spark, sf_dir)))
     return s.select("dataset_name", "column_name", F.round("sparsity", 6).alias("sparsity"),
                     F.round("cleanliness", 6).alias("cleanliness"),
                     F.col("n_types").cast("long").alias("n_types"))
@@ -586,7 +598,7 @@ SELECT CASE cell_type WHEN 'int' THEN 'INTEGER (LONG)' WHEN 'real' THEN 'REAL'
 FROM typed WHERE cell_type <> 'empty' GROUP BY 1
 """)
 def q_profile_type_totals(spark, sf_dir):
-    return prof.type_totals(prof.column_profiles(profile_cells(spark, sf_dir)))
+    return prof.type_totals(prof.type_counts(profile_cells(spark, sf_dir)))
 
 
 @register("profile_documents")
@@ -630,7 +642,7 @@ def _spark_text(col: str, kind: str):
     if kind == "dec":
         return _dec_text(col)
     if kind == "ts":
-        return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+        return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return F.col(col).cast("string")
 
 
@@ -638,7 +650,7 @@ def _sql_text(col: str, kind: str) -> str:
     if kind == "dec":
         return f"CAST(CAST({col} AS DECIMAL(12,2)) AS VARCHAR)"
     if kind == "ts":
-        return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+        return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f')"
     return f"CAST({col} AS VARCHAR)"
 
 
@@ -795,6 +807,8 @@ def q_text_classifier(spark, sf_dir):
 
 def _explanations(spark, sf_dir):
     train, test, model, pred = _fit_predict(spark, sf_dir)
+    # scored once; every consumer reads the written predictions
+    pred = materialize(pred.select("id", "text", "category", "label", "prediction", "conf"))
     wrong = textml.misclassified(pred).select("id", "text", "conf")
     exp = textml.explain(model, wrong.select("id", "text"), EXPLAIN_FEATURES, EXPLAIN_SAMPLES)
     return train, test, model, pred, exp.join(wrong.select("id", "conf"), "id")
@@ -834,7 +848,6 @@ def q_clean_and_refit(spark, sf_dir):
             .withColumn("removed_words", F.lit(",".join(words))))
 
 
-# The names the reference removed from its training texts.
 # Words removed by the registered query (common in the driver's prose).
 QUERY_REMOVED_WORDS = ("the", "and", "des", "und", "que")
 
@@ -854,19 +867,18 @@ def q_remove_words(spark, sf_dir):
 
 # --------------------------------------------------------------------------
 # Fuzzy name resolution.  Stand-in on the driver tables: within each
-# conversation (the "dataset"), the first word of every turn (the "given
-# name") is resolved to the closest role of that conversation (its
-# "headers", ordered by first appearance).
+# nation (the "dataset"), the whole name of every customer (the "given name")
+# is resolved to the closest market segment of that nation (its "headers",
+# ordered by the first customer that has it).
 # --------------------------------------------------------------------------
 
-def _conversation_targets(t: Tables) -> DataFrame:
-    first_word = F.element_at(F.split(F.trim("text"), r"\s+"), 1)
-    return t.conversations.select("conv_id", first_word.alias("given_name"))
+def _customer_names(t: Tables) -> DataFrame:
+    return t.customer.select("c_nationkey", F.col("c_name").alias("given_name"))
 
 
-def _conversation_roles(t: Tables) -> DataFrame:
-    return (t.conversations.groupBy("conv_id", F.col("role").alias("column_name"))
-            .agg(F.min("turn").alias("position")))
+def _nation_segments(t: Tables) -> DataFrame:
+    return (t.customer.groupBy("c_nationkey", F.col("c_mktsegment").alias("column_name"))
+            .agg(F.min("c_custkey").alias("position")))
 
 
 _LCS_SQL = """CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0 ELSE
@@ -878,23 +890,21 @@ _LCS_SQL = """CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0 ELSE
 
 
 @register("fuzzy_column", f"""
-WITH t AS (
-  SELECT DISTINCT conv_id, string_split_regex(trim(text), '\\s+')[1] AS given_name FROM conversations),
-c AS (SELECT conv_id, role AS column_name, min(turn) AS position FROM conversations GROUP BY 1, 2),
+WITH t AS (SELECT DISTINCT c_nationkey, c_name AS given_name FROM customer),
+c AS (SELECT c_nationkey, c_mktsegment AS column_name, min(c_custkey) AS position
+      FROM customer GROUP BY 1, 2),
 p AS (
-  SELECT t.conv_id, t.given_name, c.column_name, c.position,
+  SELECT t.c_nationkey, t.given_name, c.column_name, c.position,
          length(t.given_name) + length(c.column_name) - 2 * (
            SELECT {_LCS_SQL} FROM (SELECT t.given_name AS a, c.column_name AS b)) AS distance
-  FROM t JOIN c USING (conv_id))
-SELECT conv_id, given_name, column_name AS resolved_name, CAST(distance AS INTEGER) AS distance FROM (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, given_name ORDER BY distance, position) AS rn
+  FROM t JOIN c USING (c_nationkey))
+SELECT c_nationkey, given_name, column_name AS resolved_name, CAST(distance AS INTEGER) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_nationkey, given_name ORDER BY distance, position) AS rn
   FROM p) WHERE rn = 1
 """)
 def q_fuzzy_column(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return resolve.resolve_names(_conversation_targets(t), _conversation_roles(t), ["conv_id"])
-
-
+    return resolve.resolve_names(_customer_names(t), _nation_segments(t), ["c_nationkey"])
 
 
 # --------------------------------------------------------------------------
@@ -912,13 +922,14 @@ def q_row_index(spark, sf_dir):
     return rel.row_index(orders, ["o_totalprice", "o_orderkey"])
 
 
-@register("rules2_rounded", _ITEMS_SQL.replace(
-    f"AND F2.supp / F1.supp >= {RULE_CONF}),",
-    f"AND round(F2.supp / F1.supp, 2) >= {RULE_CONF_ROUNDED}),") + """
-SELECT attr1, val1, attr2, val2, supp, conf FROM R2
+@register("rules2_rounded", _ITEMS_SQL + f"""
+SELECT {_PAIR_SQL}, two.n AS supp, round(two.n / one.n, 2) AS conf
+FROM two JOIN one USING (x)
+WHERE y.attr = '{RULE_CONSEQUENT}' AND two.n >= {RULE_SUPP}
+  AND round(two.n / one.n, 2) >= {RULE_CONF_ROUNDED}
 """)
 def q_rules2_rounded(spark, sf_dir):
-    """Rule variant: confidence rounded to 2 decimals before the test."""
+    """Rule variant: the confidence is rounded to 2 decimals."""
     lv = _Levels(order_items(spark, sf_dir))
     return rules.rules2(lv.f1(), lv.f2(), RULE_CONF_ROUNDED, RULE_CONSEQUENT, conf_decimals=2)
 

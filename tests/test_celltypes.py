@@ -13,6 +13,12 @@ CASES = [
     ("1.5f", "text"), ("1e5", "text"), ("nan", "text"), ("1__0", "text"), ("1.2.3", "text"),
     ("2019-01-01", "date"), ("01/02/2010 12:00:00 AM", "date"), ("2024-01-01 00:00:07", "date"),
     ("1/2/2010", "date"),
+    ("2019-01-01T00:00:00.000", "date"), ("2019-01-01T00:00:00Z", "date"),
+    ("2019-01-01 10:30:00.123456", "date"), ("2019-01-01 10:30", "date"),
+    ("2019-01-01T10:30:00+02:00", "date"),
+    ("2019/01/05", "date"), ("01/05/2019 10:30", "date"), ("05-JAN-19", "date"),
+    ("05-Jan-2019", "date"), ("January 5, 2019", "date"), ("Jan 5 2019", "date"),
+    ("5 January 2019", "date"), ("Room 5, 2019", "text"), ("12-ABC-99", "text"),
     ("Mon", "text"), ("10:30", "text"), ("2019-13-45", "text"), ("#", "text"), ("abc", "text"),
 ]
 
@@ -58,3 +64,10 @@ def test_python_semantics_agree_on_ascii(spark):
                                        .otherwise("other").alias("t")).collect()}
     bad = [v for v in vals if got[v] != py_type(v)]
     assert not bad, bad[:20]
+
+
+def test_instants_keep_fractions_and_zones(spark):
+    vals = ["2019-01-01 00:00:00.25", "2019-01-01T02:00:00+02:00", "2019-01-01T00:00:00Z", "05-JAN-19"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    a, b, c, d = [r.t for r in df.select(ct.date_value(F.col("v")).alias("t")).collect()]
+    assert a.microsecond == 250000 and b == c and (d.year, d.month, d.day) == (2019, 1, 5)

@@ -55,3 +55,23 @@ def test_row_index_sample_and_key_length(spark):
     assert rel.sample_one(df, 0.5, 3).count() == 1
     lic = spark.createDataFrame([("ABC", 1.0), ("AB", 2.0)], "t string, x double")
     assert [r.t for r in rel.sum_avg_by(lic, "t", "x", key_length=3).collect()] == ["ABC"]
+
+
+def test_rounded_confidence_and_consequent_values(spark):
+    rows = [(u, "a", 1) for u in range(3)] + [(0, "vdecile", 1), (1, "vdecile", 1), (2, "vdecile", 2)]
+    rows += [(u, "race", 1) for u in range(3)]
+    items = spark.createDataFrame(rows, "uid int, attr string, val int")
+    f1 = rules.frequent_items(items, 1)
+    f2 = rules.frequent_pairs(items, f1, 1)
+    f3 = rules.frequent_triples(items, f1, None, 1)
+    got = {(r.attr1, r.val2): r.conf for r in rules.rules2(f1, f2, 0.0, conf_decimals=2).collect()}
+    assert got == {("a", 1): 0.67, ("a", 2): 0.33, ("race", 1): 0.67, ("race", 2): 0.33}
+    assert {r.val2 for r in rules.rules2(f1, f2, 0.0, consequent_values=[2]).collect()} == {2}
+    assert {r.val3 for r in rules.rules3(f2, f3, 0.0, consequent_values=[1]).collect()} == {1}
+
+
+def test_date_by_name_comes_before_numbers(spark):
+    cells = spark.createDataFrame([("ds", "year", "2019"), ("ds", "n", "2019")],
+                                  "dataset_name string, column_name string, value string")
+    typed = prof.typed_frequencies(prof.value_frequencies(cells), date_by_name=True)
+    assert {r.column_name: r.cell_type for r in typed.collect()} == {"year": "date", "n": "int"}

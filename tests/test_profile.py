@@ -70,9 +70,30 @@ def test_documents_keep_empty_columns(spark):
 
 
 def test_summary(spark):
-    profiles = prof.column_profiles(_cells(spark))
-    s = {r.column_name: r for r in prof.profile_summary(profiles).collect()}
+    counts = prof.type_counts(_cells(spark))
+    s = {r.column_name: r for r in prof.profile_summary(counts).collect()}
     assert s["e"].sparsity == 1.0 and s["e"].cleanliness == 1.0 and s["e"].n_types == 0
     assert abs(s["m"].cleanliness - 3 / 5) < 1e-12
-    totals = {r.data_type: r.num for r in prof.type_totals(profiles).collect()}
+    totals = {r.data_type: r.num for r in prof.type_totals(counts).collect()}
     assert sum(totals.values()) == sum(1 for r in ROWS for v in r if v not in (None, ""))
+
+
+def test_integers_of_any_length(spark):
+    """Extremes are exact and no integer leaves the sums, however long."""
+    cells = {"both": ["1" * 40, "10", "-2", "-" + "3" * 45, "0020", "-0"],
+             "below": ["-" + "9" * 41, "-" + "8" * 41, "-7"],
+             "above": ["9" * 39, "1" + "0" * 39, " +5 "]}
+    rows = [("ds", c, v) for c, vs in cells.items() for v in vs]
+    df = spark.createDataFrame(rows, "dataset_name string, column_name string, value string")
+    got = {r.column_name: r for r in prof.numeric_stats(
+        prof.typed_frequencies(prof.value_frequencies(df))).collect()}
+    for c, vs in cells.items():
+        nums = [int(v) for v in vs]
+        assert (int(got[c].max_int), int(got[c].min_int)) == (max(nums), min(nums))
+        assert got[c]["count"] == len(nums)
+        assert abs(got[c].mean - sum(nums) / len(nums)) <= 1e-9 * max(map(abs, nums))
+
+
+def test_summary_reads_type_counts_only(spark):
+    plan = prof.profile_summary(prof.type_counts(_cells(spark)))._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
