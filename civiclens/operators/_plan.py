@@ -21,6 +21,7 @@ from civiclens.session import ensure_checkpoint_dir
 # tables of the reference (zip map, frequent items, per-column means) are
 # far below it.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -32,9 +33,21 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` is proven small, in rows and in bytes of
+    its text form, else ``df`` unchanged.  One bounded job, as in
+    :func:`has_at_most`."""
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()
+    return F.broadcast(df) if seen.n <= max_rows and (seen.b or 0) <= max_bytes else df
+
+
+def task_count(df: DataFrame) -> int:
+    """How many tasks a spread of rows gets: the session's shuffle partitions,
+    which follow the data, and at least one per core."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -71,7 +84,7 @@ def global_rank(df: DataFrame, order: list[Column | str], out_col: str = "rank0"
     Work is spread over ``partitions`` range partitions; only the table of
     per-partition row counts (one row per partition) is broadcast.
     """
-    n_parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n_parts = partitions or task_count(df)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (df.repartitionByRange(n_parts, *order_cols)
                 .sortWithinPartitions(*order_cols)

@@ -34,7 +34,11 @@ def unresolved(df: DataFrame, closed: DataFrame, key: str,
     # map-side before the shuffle shrinks it when keys repeat (several
     # line items per order, clustered in the files).
     right = closed.select(F.col(ck).alias("_ck")).distinct()
-    return df.join(right, df[key] == right["_ck"], "left_anti")
+    # A NULL key matches nothing: those rows stay, and keep out of the shuffle
+    # that would send all of them to one task.
+    known = df.filter(F.col(key).isNotNull())
+    return (known.join(right, known[key] == right["_ck"], "left_anti")
+                 .union(df.filter(F.col(key).isNull())))
 
 
 def count_by(df: DataFrame, keys: str | Sequence[str], out: str = "num",

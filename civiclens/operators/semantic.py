@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from civiclens.functions.validators import (Rule, column_label, label_by_rule, rule_index,
                                             semantic_label)
+from civiclens.operators._plan import sized_broadcast
 from civiclens.operators.profile import melt_cells
 from civiclens.operators.resolve import resolve_names
 
@@ -141,6 +142,28 @@ def header_table(spark, datasets) -> DataFrame:
     return spark.createDataFrame(rows, "dataset_name string, column_name string, position int")
 
 
+LABEL_COUNTS = ("dataset_name string, column_name string, semantic_type string, count long, "
+                "label string")
+
+
+def label_target_frames(spark, frames: dict[str, DataFrame], targets: DataFrame,
+                        rules: Sequence[Rule] | None = None) -> DataFrame:
+    """:func:`label_targets` for ``{dataset_name: DataFrame}``.  Names are
+    resolved against the schemas first (at most one row per header comes to
+    the driver), so each scan reads only its chosen columns and each column
+    keeps only its own validator."""
+    resolved = resolve_names(targets, header_table(spark, frames), ["dataset_name"])
+    chosen: dict[str, list[str]] = {}
+    known = resolved.filter(F.col("resolved_name").isNotNull())
+    for r in known.select("dataset_name", "resolved_name").distinct().collect():
+        chosen.setdefault(r.dataset_name, []).append(r.resolved_name)
+    out = None
+    for name in sorted(chosen):
+        m = label_wide(frames[name], name, sorted(chosen[name]), rules)
+        out = m if out is None else out.unionByName(m)
+    return spark.createDataFrame([], LABEL_COUNTS) if out is None else count_labels(out)
+
+
 def label_targets(cells: DataFrame, headers: DataFrame, targets: DataFrame,
                   rules: Sequence[Rule] | None = None) -> DataFrame:
     """The reference's per-target flow as one job: every target
@@ -155,7 +178,7 @@ def label_targets(cells: DataFrame, headers: DataFrame, targets: DataFrame,
     chosen = (resolved.select("dataset_name", F.col("resolved_name").alias("column_name"))
               .distinct()
               .withColumn("_rule", rule_index(F.col("column_name"), rules)))
-    wanted = cells.join(F.broadcast(chosen), KEY)
+    wanted = cells.join(sized_broadcast(chosen), KEY)
     labelled = wanted.withColumn(
         "semantic_type", label_by_rule(F.col("column_name"), F.col("value"), F.col("_rule"), rules))
     return count_labels(labelled)

@@ -36,8 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civiclens.functions.text import remove_substrings, word_tokens
+from civiclens.operators._plan import task_count
 
 _U_SCALE = float(1 << 53)
+# Copies of a document that are made in one place.
+COPIES_PER_BLOCK = 64
 
 
 def _uniform(*cols: Column) -> Column:
@@ -68,9 +71,9 @@ def classifier_stages(max_iter: int = 20, reg_param: float = 0.001,
 def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001,
         partitions: int | None = None) -> PipelineModel:
     """Fit the stages.  The training rows are spread over ``partitions``
-    (default: one per core of the cluster) and kept for the fit only — the
-    indexer, IDF and every optimiser iteration read them again."""
-    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    (default: the shuffle partitions, at least one per core) and kept for the
+    fit only — the indexer, IDF and every optimiser iteration read them again."""
+    n = partitions or task_count(train)
     data = train.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return classifier_stages(max_iter, reg_param).fit(data)
@@ -104,11 +107,17 @@ def perturbations(docs: DataFrame, num_samples: int = 5000, kernel_width: float
     """
     toks = docs.select(F.col(key).alias("id"), word_tokens(F.col(text)).alias("tokens"))
     toks = toks.withColumn("vocab", F.array_distinct("tokens"))
-    copies = toks.select("*", F.explode(F.sequence(F.lit(0), F.lit(num_samples - 1))).alias("s"))
-    # The fan-out is the heavy part: spread the copies of every document
-    # over all tasks, so one long document does not load a single task.
+    # The fan-out is the heavy part: blocks of copies of every document are
+    # spread over all tasks, so one long document does not load a single task;
+    # the copies themselves are made behind the shuffle.
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = copies.repartition(n, "id", "s")
+    last = (num_samples - 1) // COPIES_PER_BLOCK
+    blocks = toks.select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_block"))
+    first = F.col("_block") * COPIES_PER_BLOCK
+    copies = blocks.repartition(n, "id", "_block").select(
+        "id", "tokens", "vocab",
+        F.explode(F.sequence(first, F.least(first + (COPIES_PER_BLOCK - 1), F.lit(num_samples - 1))))
+         .alias("s"))
     # k words to remove, uniform in 1..D; the threshold is the k-th smallest
     # word draw of this copy, so exactly k distinct words fall at or below it
     d = F.size("vocab")

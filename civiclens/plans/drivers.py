@@ -55,9 +55,4 @@ def label_target_columns(spark: SparkSession, targets_path: str, data_root: str,
     frames, unreadable = readers.read_many(
         spark, {n: f"{data_root.rstrip('/')}/{n}{suffix}" for n in names}, partitions)
     quarantine = spark.createDataFrame(unreadable, "dataset_name string, reason string")
-    cells = readers.union_all([prof.melt_cells(df, n) for n, df in frames.items()])
-    if cells is None:
-        return spark.createDataFrame([], "dataset_name string, column_name string, "
-                                         "semantic_type string, count long, label string"), quarantine
-    headers = sem.header_table(spark, frames)
-    return sem.label_targets(cells, headers, targets), quarantine
+    return sem.label_target_frames(spark, frames, targets), quarantine

@@ -44,3 +44,18 @@ def test_global_ntile_with_a_hot_value(spark):
     df = spark.createDataFrame(rows, "k long, v double").repartition(6)
     got = global_ntile(df, 7, ["v", "k"], "tile").orderBy("v", "k").collect()
     assert [r.tile for r in got] == _py_ntile(3000, 7)
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    from civiclens.operators._plan import sized_broadcast
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS t")
+    marked = lambda d: "ResolvedHint" in d._jdf.queryExecution().logical().toString()
+    assert marked(sized_broadcast(wide)) or "broadcast" in sized_broadcast(wide)._jdf.queryExecution().logical().toString()
+    assert sized_broadcast(wide, max_bytes=50_000) is wide and sized_broadcast(wide, max_rows=99) is wide
+
+
+def test_anti_join_keeps_null_keys(spark):
+    from civiclens.operators import relational as rel
+    left = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "k string, v int")
+    right = spark.createDataFrame([("a",), (None,)], "k string")
+    assert sorted(r.v for r in rel.unresolved(left, right, "k").collect()) == [1, 2, 4, 5]

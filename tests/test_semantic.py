@@ -111,3 +111,20 @@ def test_explain_document_without_words(spark):
     model = textml.fit(df)
     out = textml.explain(model, spark.createDataFrame([(7, "!!! ...")], "id long, text string"), 3, 16)
     assert out.count() == 0
+
+
+def test_targets_read_only_their_columns(spark, tmp_path):
+    """Names are resolved before the scan, which then reads one column."""
+    from civiclens.operators import semantic as sem
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([("BRONX", "x", 1), ("Zz", "y", 2)], "borough string, note string, n int") \
+         .write.parquet(path)
+    targets = spark.createDataFrame([("t", "boro ugh")], "dataset_name string, given_name string")
+    frames = {"t": spark.read.parquet(path)}
+    out = sem.label_target_frames(spark, frames, targets)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<borough:string>" in plan
+    cells = sem.melt_cells(frames["t"], "t")
+    slow = sem.label_targets(cells, sem.header_table(spark, frames), targets)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, slow.collect())) != []
+    assert sem.label_target_frames(spark, frames, targets.limit(0)).count() == 0
