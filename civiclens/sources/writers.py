@@ -69,6 +69,24 @@ def merge_documents(docs: DataFrame, root_key: str = "datasets") -> DataFrame:
         F.array_sort(F.collect_list(F.struct(*docs.columns))).alias(root_key))).alias("json"))
 
 
+def score_document(scores: DataFrame) -> DataFrame:
+    """The precision/recall document of :func:`semantic.score_labels` rows as
+    one JSON string: ``{"results": [{label: [{"precision": p}, {"recall": r}]}]}``,
+    labels in order.  One row per label goes into one group, so the document
+    is as long as the list of labels."""
+    entry = F.create_map(F.col("label"), F.array(
+        F.create_map(F.lit("precision"), F.col("precision")),
+        F.create_map(F.lit("recall"), F.col("recall"))))
+    ordered = F.array_sort(F.collect_list(F.struct("label", F.to_json(entry).alias("entry"))))
+    items = F.array_join(F.transform(ordered, lambda x: x["entry"]), ",")
+    return scores.agg(F.concat(F.lit('{"results":['), items, F.lit("]}")).alias("json"))
+
+
+def write_score_document(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """:func:`score_document` as a JSON text file."""
+    score_document(scores).withColumnRenamed("json", "value").write.mode(mode).text(path)
+
+
 def skip_finished(targets: DataFrame, finished: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Targets not produced yet (``left_anti`` on the keys)."""
     return targets.join(finished.select(*keys).distinct(), list(keys), "left_anti")
