@@ -52,26 +52,35 @@ def _pruned(items: DataFrame, f1: DataFrame) -> DataFrame:
     return items.join(sized_broadcast(f1.select("attr", "val")), ["attr", "val"], "left_semi")
 
 
-def uid_pairs(items: DataFrame, f1: DataFrame) -> DataFrame:
-    """Per uid, every pair of frequent items with ``attr1 < attr2``."""
+def uid_pairs(items: DataFrame, f1: DataFrame, last: str | None = None) -> DataFrame:
+    """Per uid, every pair of frequent items with ``attr1 < attr2``.  The
+    attribute ``last`` also follows those that sort after it."""
     t = _pruned(items, f1)
     a = t.select(F.col("uid"), F.col("attr").alias("attr1"), F.col("val").alias("val1"))
     b = t.select(F.col("uid"), F.col("attr").alias("attr2"), F.col("val").alias("val2"))
-    return a.join(b, "uid").filter(F.col("attr1") < F.col("attr2"))
-
-
-def frequent_pairs(items: DataFrame, f1: DataFrame, supp: int) -> DataFrame:
-    """F2(attr1, val1, attr2, val2, supp)."""
-    return (uid_pairs(items, f1)
+    wanted = F.col("attr1") < F.col("attr2")
+    if last is not None:
+        wanted = wanted | ((F.col("attr2") == last) & (F.col("attr1") != last))
+    return a.join(b, "uid").filter(wanted)
+
+
+def frequent_pairs(items: DataFrame, f1: DataFrame, supp: int,
+                   last: str | None = None) -> DataFrame:
+    """F2(attr1, val1, attr2, val2, supp).  With ``last`` (the consequent),
+    pairs of a later attribute and this one are counted as well, so that
+    :func:`rules2` finds rules with any attribute on the left."""
+    return (uid_pairs(items, f1, last)
             .groupBy("attr1", "val1", "attr2", "val2")
             .agg(F.count(F.lit(1)).alias("supp"))
             .filter(F.col("supp") >= supp))
 
 
 def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp: int,
-                     consequent: str = "vdecile") -> DataFrame:
+                     consequent: str = "vdecile", any_position: bool = False) -> DataFrame:
     """F3(attr1, val1, attr2, val2, attr3, val3, supp) with ``attr3`` the
     consequent attribute — the reference's C3 candidates, counted.
+    ``any_position=True`` also counts left items that sort after the
+    consequent (an ``f2`` given then must hold those pairs).
 
     Per uid: pairs of non-consequent items (``attr1 < attr2``,
     ``attr1 < consequent``) joined on ``uid`` with the uid's consequent
@@ -85,8 +94,10 @@ def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp
     body = t.filter(F.col("attr") != consequent)
     a = body.select("uid", F.col("attr").alias("attr1"), F.col("val").alias("val1"))
     b = body.select("uid", F.col("attr").alias("attr2"), F.col("val").alias("val2"))
-    pairs = (a.join(b, "uid")
-              .filter((F.col("attr1") < F.col("attr2")) & (F.col("attr1") < F.lit(consequent))))
+    wanted = F.col("attr1") < F.col("attr2")
+    if not any_position:
+        wanted = wanted & (F.col("attr1") < F.lit(consequent))
+    pairs = a.join(b, "uid").filter(wanted)
     cons = t.filter(F.col("attr") == consequent).select(
         "uid", F.col("attr").alias("attr3"), F.col("val").alias("val3"))
     if f2 is not None:
@@ -157,7 +168,8 @@ def protected_rules(r2: DataFrame, r3: DataFrame, prot: float,
     with prot = conf(R3) / conf(R2 of the same first item and consequent).
 
     ``any_position=True`` also accepts the protected attribute as the first
-    item (then the other item is the base rule's left side).  The other
+    item (then the other item is the base rule's left side); give it rules
+    mined with the same option.  The other
     drafts of the reference are parameters: ``match_consequent_value=False``
     joins the base rule on the consequent attribute only,
     ``match_left_value=False`` on the left attribute only, ``strict`` uses
@@ -204,16 +216,19 @@ class RuleSet:
 
 def mine_rules(items: DataFrame, supp: int, conf: float, prot: float,
                consequent: str = "vdecile", protected: str = "race",
-               materialize_as: str | None = "checkpoint") -> RuleSet:
+               materialize_as: str | None = "checkpoint", any_position: bool = False) -> RuleSet:
     """All levels at once.  The long item table and the small frequent
     tables are computed once each (``materialize_as``: "checkpoint",
     "persist" or None) so that R2, R3 and PD_R3 do not recompute them — the
-    reference's views were re-planned for every write."""
+    reference's views were re-planned for every write.  ``any_position=True``
+    puts no condition on the order of attribute names: items that sort after
+    the consequent stand on the left too, and the protected attribute may be
+    either left item."""
     keep = lambda d: materialize(d, materialize_as)
     items = keep(items)
     f1 = keep(frequent_items(items, supp))
-    f2 = keep(frequent_pairs(items, f1, supp))
-    f3 = keep(frequent_triples(items, f1, None, supp, consequent))
+    f2 = keep(frequent_pairs(items, f1, supp, consequent if any_position else None))
+    f3 = keep(frequent_triples(items, f1, None, supp, consequent, any_position))
     r2 = rules2(f1, f2, conf, consequent)
     r3 = rules3(f2, f3, conf, consequent)
-    return RuleSet(f1, f2, f3, r2, r3, protected_rules(r2, r3, prot, protected))
+    return RuleSet(f1, f2, f3, r2, r3, protected_rules(r2, r3, prot, protected, any_position))

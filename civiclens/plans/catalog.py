@@ -934,6 +934,83 @@ def q_rules2_rounded(spark, sf_dir):
     return rules.rules2(lv.f1(), lv.f2(), RULE_CONF_ROUNDED, RULE_CONSEQUENT, conf_decimals=2)
 
 
+# Rule drafts without a condition on the order of names: the consequent is
+# an attribute in the middle, so items on both sides of it stand on the left.
+MIDDLE_CONSEQUENT = "segment"
+CONSEQUENT_VALUES = (1, 3)
+LOOSE_PROT = 1.0
+
+_ANY_SQL = _ITEMS_SQL[:_ITEMS_SQL.index("-- how many uids")] + f"""
+pair AS (SELECT uid, x, y FROM (SELECT uid, x, unnest(held) AS y
+           FROM (SELECT uid, held, unnest(held) AS x FROM basket)) WHERE x.attr <> y.attr),
+n1 AS (SELECT i AS x, count(DISTINCT uid) AS n FROM item WHERE i.val IS NOT NULL GROUP BY i),
+n2 AS (SELECT x, y, count(*) AS n FROM pair GROUP BY x, y),
+n3 AS (SELECT p.x, p.y, q.y AS z, count(*) AS n FROM pair p JOIN pair q ON p.uid = q.uid AND p.x = q.x
+       WHERE p.y.attr <> q.y.attr AND q.y.attr = '{MIDDLE_CONSEQUENT}' AND p.x.attr < p.y.attr
+       GROUP BY p.x, p.y, q.y),
+left_one AS (
+  SELECT x, y, n2.n, n2.n / n1.n AS conf FROM n2 JOIN n1 USING (x)
+  WHERE y.attr = '{MIDDLE_CONSEQUENT}' AND n2.n >= {RULE_SUPP} AND n2.n / n1.n >= {RULE_CONF}),
+left_two AS (
+  SELECT x, y, z, n3.n, n3.n / n2.n AS conf FROM n3 JOIN n2 USING (x, y)
+  WHERE n3.n >= {RULE_SUPP} AND n3.n / n2.n >= {RULE_CONF})
+"""
+
+
+def _any_levels(spark, sf_dir):
+    return rules.mine_rules(order_items(spark, sf_dir), RULE_SUPP, RULE_CONF, RULE_PROT,
+                            MIDDLE_CONSEQUENT, RULE_PROTECTED, any_position=True)
+
+
+@register("rules2_any_position", _ANY_SQL + f"SELECT {_PAIR_SQL}, n AS supp, conf FROM left_one")
+def q_rules2_any_position(spark, sf_dir):
+    """V2: left items before and after the consequent."""
+    return _any_levels(spark, sf_dir).r2
+
+
+@register("rules3_any_position", _ANY_SQL + f"SELECT {_TRIPLE_SQL}, n AS supp, conf FROM left_two")
+def q_rules3_any_position(spark, sf_dir):
+    return _any_levels(spark, sf_dir).r3
+
+
+@register("protected_any_position", _ANY_SQL + f"""
+SELECT DISTINCT {_TRIPLE_SQL.replace('x.', 'w.x.').replace('y.', 'w.y.').replace('z.', 'w.z.')},
+       w.n AS supp, w.conf AS conf, w.conf / s.conf AS prot
+FROM left_two w JOIN left_one s ON s.y = w.z AND s.x = CASE WHEN w.x.attr = '{RULE_PROTECTED}' THEN w.y
+                                                            WHEN w.y.attr = '{RULE_PROTECTED}' THEN w.x END
+WHERE w.conf / s.conf >= {RULE_PROT}
+""")
+def q_protected_any_position(spark, sf_dir):
+    """The protected attribute as either left item."""
+    return _any_levels(spark, sf_dir).pd_r3
+
+
+@register("rules2_values", _ANY_SQL + f"""
+SELECT {_PAIR_SQL}, n AS supp, conf FROM left_one
+WHERE y.val IN {CONSEQUENT_VALUES} AND conf > {RULE_CONF}
+""")
+def q_rules2_values(spark, sf_dir):
+    """V5: only some values of the consequent, thresholds exceeded."""
+    lv = _any_levels(spark, sf_dir)
+    return rules.rules2(lv.f1, lv.f2, RULE_CONF, MIDDLE_CONSEQUENT, strict=True,
+                        consequent_values=CONSEQUENT_VALUES)
+
+
+@register("protected_loose", _ITEMS_SQL + f"""
+SELECT DISTINCT w.x.attr AS attr1, w.x.val AS val1, w.y.attr AS attr2, w.y.val AS val2,
+       w.z.attr AS attr3, w.z.val AS val3, w.n AS supp, w.conf AS conf,
+       round(w.conf / s.conf, 2) AS prot
+FROM rule_two w JOIN rule_one s ON w.x.attr = s.x.attr AND w.x.val = s.x.val AND w.z.attr = s.y.attr
+WHERE w.y.attr = '{RULE_PROTECTED}' AND round(w.conf / s.conf, 2) > {LOOSE_PROT}
+""")
+def q_protected_loose(spark, sf_dir):
+    """V3, V4: the base rule may have another value of the consequent; the
+    ratio is rounded, exceeded, and each row returned once."""
+    lv = _Levels(order_items(spark, sf_dir))
+    return rules.protected_rules(_r2(lv), _r3(lv), LOOSE_PROT, RULE_PROTECTED,
+                                 match_consequent_value=False, strict=True, prot_decimals=2)
+
+
 _DRAFT_COLUMNS = [("customer", "customer", [("c_name", "s", "business"), ("c_custkey", "s", "zip")]),
                   ("conversations", "conversations", [("role", "s", "first_name")]),
                   ("lineitem", "lineitem", [("l_partkey", "s", "zipcode")])]

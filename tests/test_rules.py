@@ -74,3 +74,40 @@ def test_properties_and_partition_invariance(spark):
     for r in rules.frequent_pairs(many, f1, 15).collect():
         assert r.supp <= min(item_supp[(r.attr1, r.val1)], item_supp[(r.attr2, r.val2)])
         assert r.attr1 < r.attr2
+
+
+def test_any_position_has_rules_on_both_sides_of_the_consequent(spark):
+    """Consequent and protected attribute in the middle of the name order."""
+    rows = _long_table(seed=5)
+    items = spark.createDataFrame(rows, "uid int, attr string, val int").repartition(3)
+    got = rules.mine_rules(items, supp=10, conf=0.1, prot=0.9, consequent="sex", protected="vdecile",
+                           any_position=True)
+    by_uid = {}
+    for uid, a, v in rows:
+        by_uid.setdefault(uid, set()).add((a, v))
+    n = Counter()
+    for held in by_uid.values():
+        for size in (1, 2, 3):
+            n.update(frozenset(c) for c in itertools.combinations(held, size))
+
+    def rule(left, right):
+        both = n[frozenset(left | {right})]
+        return (both, both / n[frozenset(left)]) if both >= 10 else (0, 0.0)
+
+    every = {x for x in n if len(x) == 1 and n[x] >= 10}
+    left = sorted(i for x in every for i in x if i[0] != "sex")
+    right = [i for x in every for i in x if i[0] == "sex"]
+    r2 = {(x, z): rule({x}, z)[1] for x in left for z in right if rule({x}, z)[1] >= 0.1}
+    r3 = {(x, y, z): rule({x, y}, z)[1] for x in left for y in left for z in right
+          if x[0] < y[0] and rule({x, y}, z)[1] >= 0.1}
+    pd = {}
+    for (x, y, z), conf in r3.items():
+        for protected, other in ((x, y), (y, x)):
+            if protected[0] == "vdecile" and (other, z) in r2 and conf / r2[other, z] >= 0.9:
+                pd[x, y, z] = conf / r2[other, z]
+    assert any(x[0] > "sex" for x, _ in r2) and any(x[0] == "vdecile" for x, _, _ in pd)
+    assert {((r.attr1, r.val1), (r.attr2, r.val2)): round(r.conf, 9) for r in got.r2.collect()} == {
+        k: round(v, 9) for k, v in r2.items()}
+    triple = lambda r: ((r.attr1, r.val1), (r.attr2, r.val2), (r.attr3, r.val3))
+    assert {triple(r): round(r.conf, 9) for r in got.r3.collect()} == {k: round(v, 9) for k, v in r3.items()}
+    assert {triple(r): round(r.prot, 9) for r in got.pd_r3.collect()} == {k: round(v, 9) for k, v in pd.items()}
