@@ -1,14 +1,17 @@
 """Line deduplication by pairwise alignment (patience diff).
 
-Two documents overlap when they share the hash of a line of at least
-``line_words`` words.  A rare line, held by at most ``rare`` documents, makes a
-pair of every two of them; of a line that more documents hold, each is paired
-with the first of them, so the number of pairs stays in proportion to the
-number of lines, and no line is left out.  The lines of a pair are aligned:
-lines that both documents hold once are anchors, their longest increasing
-sequence cuts the rest into gaps, and equal lines at a gap's ends are matched as
-well.  A block of aligned neighbouring lines with ``block_words`` words or more
-is deleted from the document with the larger doc_id.
+Two documents overlap when they share a key: the hash of a shortest run of
+neighbouring lines that has ``block_words`` words, often a single line.  Each
+line is the first of such a run and the last of another, so two documents with a
+common block have its runs in common, and every line of it is in one of them.  A
+rare key, held by at most ``rare`` documents, makes a pair of every two of them;
+of a key that more documents hold, each is paired with the first of them, so the
+number of pairs stays in proportion to the number of lines, and no run is left
+out.  The lines of a pair are aligned: lines that both documents hold once are
+anchors, their longest increasing sequence cuts the rest into gaps, and equal
+lines at a gap's ends are matched as well.  A block of aligned neighbouring
+lines with ``block_words`` words or more is deleted from the document with the
+larger doc_id.
 
 Blocks are judged on the input texts, not on what other pairs leave.
 
@@ -23,11 +26,16 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import written
+from civiclens.llm.common import tidy, written
+from civiclens.llm.shingles import mix
+
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -94,6 +102,38 @@ def aligned_blocks(a: list, b: list, b_words: list[int], block_words: int) -> li
     return out
 
 
+def run_keys(lines: np.ndarray, words: np.ndarray, block_words: int) -> np.ndarray:
+    """Keys of the shortest runs of ``block_words`` words that start or end at
+    each line with words; ``lines`` are their hashes (uint64)."""
+    some = np.flatnonzero(words)
+    if not len(some):
+        return np.zeros(0, np.uint64)
+    upto = np.cumsum(words, dtype=np.int64)
+    before = upto - words
+    end = np.searchsorted(upto, before[some] + block_words)
+    start = np.searchsorted(before, upto[some] - block_words, "right") - 1
+    s = np.r_[some[end < len(lines)], start[start >= 0]]
+    e = np.r_[end[end < len(lines)], some[start >= 0]]
+    # the polynomial of a run from prefix sums, shifted back to its first line
+    n = len(lines)
+    shrink = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BACK, np.uint64)])
+    grow = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE, np.uint64)])
+    total = np.r_[np.uint64(0), np.cumsum(lines * shrink, dtype=np.uint64)]
+    return np.unique(mix((total[e + 1] - total[s]) * grow[s] + (e - s).astype(np.uint64)))
+
+
+def _keys(block_words: int):
+    def run(batches):
+        for b in batches:
+            got = [run_keys(h.values.to_numpy().view(np.uint64), w.values.to_numpy(), block_words)
+                   for h, w in zip(b.column("lines"), b.column("words"))]
+            ids = np.repeat(b.column("doc_id").to_numpy(), [len(k) for k in got])
+            flat = np.concatenate(got) if got else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(flat.view(np.int64))], names=["doc_id", "h"])
+    return run
+
+
 def _align(block_words: int):
     def run(batches):
         for b in batches:
@@ -112,8 +152,7 @@ def _align(block_words: int):
     return run
 
 
-def common_blocks(docs: DataFrame, rare: int = 4, line_words: int = 4,
-                  block_words: int = 8) -> DataFrame:
+def common_blocks(docs: DataFrame, rare: int = 4, block_words: int = 8) -> DataFrame:
     """``doc_id, _h, spans``: the line ranges [s, e) to delete from documents."""
     line = F.split(F.col("text"), "\n")
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
@@ -123,11 +162,11 @@ def common_blocks(docs: DataFrame, rare: int = 4, line_words: int = 4,
                        F.transform("_t", lambda x: F.when(x == "", 0).otherwise(
                            F.size(F.split(x, r"\s+")))).alias("words"))
     rows = written(rows.distinct(), "lines")
-    held = rows.select("doc_id", F.explode(F.arrays_zip("lines", "words")).alias("_x"))
-    held = held.where(F.col("_x.words") >= line_words).select("doc_id", F.col("_x.lines").alias("h")).distinct()
+    held = rows.select("doc_id", "lines", "words").mapInArrow(
+        tidy(_keys(block_words)), "doc_id long, h long").distinct()
     shared = (held.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("a"))
                   .where("df > 1"))
-    held = written(held.join(shared, "h"), "shared-lines")
+    held = written(held.join(shared, "h"), "shared-runs")
     few = held.where(F.col("df") <= rare)
     pairs = (held.where("doc_id > a").select("a", F.col("doc_id").alias("b"))
              .unionByName(few.select("h", F.col("doc_id").alias("_a")).join(
@@ -142,11 +181,11 @@ def common_blocks(docs: DataFrame, rare: int = 4, line_words: int = 4,
         F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
 
 
-def dedup_lines(docs: DataFrame, rare: int = 4, line_words: int = 4, block_words: int = 8,
+def dedup_lines(docs: DataFrame, rare: int = 4, block_words: int = 8,
                 counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with the common blocks cut from ``text``, and with two more
     columns (both long, named by ``counts``): lines there were, lines cut."""
-    found = common_blocks(docs, rare, line_words, block_words).select(
+    found = common_blocks(docs, rare, block_words).select(
         F.col("doc_id").alias("_bid"), F.col("_h").alias("_bh"), F.col("spans").alias("_spans"))
     both = docs.join(found, (docs["doc_id"].cast("long") == F.col("_bid"))
                      & (F.xxhash64(docs["text"]) == F.col("_bh")), "left")

@@ -90,6 +90,47 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_runs_of_short_lines(spark):
+    """Blocks of short lines, and blocks of lines that first stand apart in
+    other documents, each held by more than ``rare`` documents."""
+    rng = random.Random(4)
+    short = ["a b", "c d e", "", "f", "g h i", "j"]
+    x, y = "one two three four five", "six seven eight nine"
+    rows = [(1, "\n".join([words(rng, 9), *short])), (2, "\n".join([*short, words(rng, 9)]))]
+    rows += [(10 + i, x + "\n" + words(rng, 9)) for i in range(5)]
+    rows += [(20 + i, words(rng, 9) + "\n" + y) for i in range(5)]
+    rows += [(30 + i, words(rng, 9) + "\n" + x + "\n" + y + "\n" + words(rng, 9)) for i in range(6)]
+    out = {r.doc_id: r for r in linededup.dedup_lines(docs(spark, rows)).collect()}
+    texts = dict(rows)
+    assert out[2].text == texts[2].split("\n")[-1] and out[2].n_removed == 6
+    assert all(out[i].text == texts[i] for i in [1, *range(10, 15), *range(20, 25), 30])
+    for i in range(31, 36):
+        first, *_, last = texts[i].split("\n")
+        assert out[i].text == first + "\n" + last and out[i].n_removed == 2
+
+
+def test_line_dedup_run_keys():
+    def plain(lines, sizes, need):
+        """Runs that are too short without their first or without their last line."""
+        places = [(s, e) for s in range(len(lines)) for e in range(s, len(lines))]
+        total = {(s, e): sum(sizes[s:e + 1]) for s, e in places}
+        return {tuple(lines[s:e + 1]) for s, e in places
+                if sizes[s] and sizes[e] and total[s, e] >= need
+                and (total[s, e] - sizes[s] < need or total[s, e] - sizes[e] < need)}
+
+    rng = random.Random(9)
+    for _ in range(200):
+        n = rng.randrange(1, 25)
+        lines = [rng.randrange(1, 6) for _ in range(n)]
+        sizes = [(0, 2, 3, 9, 1)[v - 1] for v in lines]
+        hashes = np.array([hash((v, "x")) & (2**64 - 1) for v in lines], np.uint64)
+        got = linededup.run_keys(hashes, np.array(sizes, np.int32), 8)
+        assert len(got) == len(plain(lines, sizes, 8))
+        # equal runs have equal keys wherever they stand
+        moved = linededup.run_keys(np.r_[np.uint64(7), hashes], np.r_[np.int32(0), sizes], 8)
+        assert set(got) == set(moved)
+
+
 # 3 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     big = "é" * 3_000_000
