@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,19 @@ def tidy(run):
     return tidied
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Jobs in this block hand Python batches of at most ``size`` bytes or one
+    row, so a worker's memory follows neither its partition nor long texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: computed
     once for several consumers, lineage cut, and safe when executors go."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm import bpe, decontaminate, langid, linededup, minhash
-from civiclens.llm.common import written
+from civiclens.llm.common import small_batches, written
 from civiclens.llm.queries import PATTERN, RANKS
 
 
@@ -67,6 +67,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), name)
     return docs
