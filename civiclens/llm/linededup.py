@@ -2,16 +2,20 @@
 
 Two documents overlap when they share a key: the hash of a shortest run of
 neighbouring lines that has ``block_words`` words, often a single line.  Each
-line is the first of such a run and the last of another, so two documents with a
-common block have its runs in common, and every line of it is in one of them.  A
-rare key, held by at most ``rare`` documents, makes a pair of every two of them;
-of a key that more documents hold, each is paired with the first of them, so the
-number of pairs stays in proportion to the number of lines, and no run is left
-out.  The lines of a pair are aligned: lines that both documents hold once are
-anchors, their longest increasing sequence cuts the rest into gaps, and equal
-lines at a gap's ends are matched as well.  A block of aligned neighbouring
-lines with ``block_words`` words or more is deleted from the document with the
-larger doc_id.
+line, an empty one too, is the first of such a run and the last of another, so
+two documents with a common block have its runs in common, and every line of it
+is in one of them.  A rare key, held by at most ``rare`` documents, makes a pair
+of every two of them; of a key that more documents hold, each is paired with the
+first of them, so the number of pairs stays in proportion to the number of
+lines, and no run is left out.  The lines of a pair are aligned: lines that both
+documents hold once are anchors, their longest increasing sequence cuts the rest
+into gaps, and equal lines at a gap's ends are matched as well.  A block of
+aligned neighbouring lines with ``block_words`` words or more is deleted from
+the document with the larger doc_id.  What the alignment leaves there (blocks
+that stand several times in either document, or in another order) is looked up
+by the runs of both: so a line goes exactly if it is in a run of neighbouring
+lines with ``block_words`` words or more that a document with a smaller doc_id
+holds as well.
 
 Blocks are judged on the input texts, not on what other pairs leave.
 
@@ -102,30 +106,58 @@ def aligned_blocks(a: list, b: list, b_words: list[int], block_words: int) -> li
     return out
 
 
-def run_keys(lines: np.ndarray, words: np.ndarray, block_words: int) -> np.ndarray:
-    """Keys of the shortest runs of ``block_words`` words that start or end at
-    each line with words; ``lines`` are their hashes (uint64)."""
-    some = np.flatnonzero(words)
-    if not len(some):
-        return np.zeros(0, np.uint64)
+def runs(lines: np.ndarray, words: np.ndarray, block_words: int) -> tuple[np.ndarray, ...]:
+    """First line, last line and key of the shortest runs of ``block_words``
+    words that start or end at each line; ``lines`` are their hashes (uint64).
+    A longer run is the union of those inside it."""
+    n = len(lines)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    here = np.arange(n)
     upto = np.cumsum(words, dtype=np.int64)
     before = upto - words
-    end = np.searchsorted(upto, before[some] + block_words)
-    start = np.searchsorted(before, upto[some] - block_words, "right") - 1
-    s = np.r_[some[end < len(lines)], start[start >= 0]]
-    e = np.r_[end[end < len(lines)], some[start >= 0]]
+    end = np.searchsorted(upto, before + block_words)
+    start = np.searchsorted(before, upto - block_words, "right") - 1
+    s = np.r_[here[end < n], start[start >= 0]]
+    e = np.r_[end[end < n], here[start >= 0]]
     # the polynomial of a run from prefix sums, shifted back to its first line
-    n = len(lines)
     shrink = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BACK, np.uint64)])
     grow = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE, np.uint64)])
     total = np.r_[np.uint64(0), np.cumsum(lines * shrink, dtype=np.uint64)]
-    return np.unique(mix((total[e + 1] - total[s]) * grow[s] + (e - s).astype(np.uint64)))
+    return s, e, mix((total[e + 1] - total[s]) * grow[s] + (e - s).astype(np.uint64))
+
+
+def run_keys(lines: np.ndarray, words: np.ndarray, block_words: int) -> np.ndarray:
+    """Keys of the ``runs`` whose first and last line have words."""
+    s, e, keys = runs(lines, words, block_words)
+    return np.unique(keys[(words[s] > 0) & (words[e] > 0)])
+
+
+def common_spans(a: list, b: list, a_words: list[int], b_words: list[int],
+                 block_words: int) -> list[tuple[int, int]]:
+    """[start, end) of the lines of b in runs of enough words that a holds as
+    well: the aligned blocks, then the runs that the alignment leaves."""
+    out = aligned_blocks(a, b, b_words, block_words)
+    gone = np.zeros(len(b), bool)
+    for s, e in out:
+        gone[s:e] = True
+    held = set(a)
+    if all(g or h not in held for h, g in zip(b, gone.tolist())):
+        return out
+    _, _, has = runs(np.array(a, np.int64).view(np.uint64), np.array(a_words, np.int32), block_words)
+    s, e, keys = runs(np.array(b, np.int64).view(np.uint64), np.array(b_words, np.int32), block_words)
+    found = np.isin(keys, has)
+    step = np.diff(gone.astype(np.int64), prepend=0, append=0)
+    np.add.at(step, s[found], 1)
+    np.add.at(step, e[found] + 1, -1)
+    cut = np.flatnonzero(np.diff((np.cumsum(step) > 0).astype(np.int8), prepend=0))
+    return list(zip(cut[::2].tolist(), cut[1::2].tolist()))
 
 
 def _keys(block_words: int):
     def run(batches):
         for b in batches:
-            got = [run_keys(h.values.to_numpy().view(np.uint64), w.values.to_numpy(), block_words)
+            got = [np.unique(runs(h.values.to_numpy().view(np.uint64), w.values.to_numpy(), block_words)[2])
                    for h, w in zip(b.column("lines"), b.column("words"))]
             ids = np.repeat(b.column("doc_id").to_numpy(), [len(k) for k in got])
             flat = np.concatenate(got) if got else np.zeros(0, np.uint64)
@@ -138,9 +170,9 @@ def _align(block_words: int):
     def run(batches):
         for b in batches:
             ids, hs, spans = [], [], []
-            for doc, h, x, y, w in zip(*(b.column(c).to_pylist()
-                                         for c in ("b", "_h", "_la", "_lb", "_wb"))):
-                got = aligned_blocks(x, y, w, block_words)
+            for doc, h, x, y, v, w in zip(*(b.column(c).to_pylist()
+                                            for c in ("b", "_h", "_la", "_lb", "_wa", "_wb"))):
+                got = common_spans(x, y, v, w, block_words)
                 if got:
                     ids.append(doc)
                     hs.append(h)
@@ -172,10 +204,11 @@ def common_blocks(docs: DataFrame, rare: int = 4, block_words: int = 8) -> DataF
              .unionByName(few.select("h", F.col("doc_id").alias("_a")).join(
                  few.select("h", F.col("doc_id").alias("b")), "h").where("_a < b")
                  .select(F.col("_a").alias("a"), "b")).distinct())
-    both = (pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("lines").alias("_la")), "a")
+    both = (pairs.join(rows.select(F.col("doc_id").alias("a"), F.col("lines").alias("_la"),
+                                   F.col("words").alias("_wa")), "a")
                  .join(rows.select(F.col("doc_id").alias("b"), "_h", F.col("lines").alias("_lb"),
                                    F.col("words").alias("_wb")), "b"))
-    found = both.select("b", "_h", "_la", "_lb", "_wb").mapInArrow(
+    found = both.select("b", "_h", "_la", "_lb", "_wa", "_wb").mapInArrow(
         _align(block_words), "doc_id long, _h long, spans array<struct<s:int,e:int>>")
     return (found.groupBy("doc_id", "_h").agg(
         F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))

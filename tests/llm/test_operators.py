@@ -131,6 +131,37 @@ def test_line_dedup_run_keys():
         assert set(got) == set(moved)
 
 
+def test_line_dedup_leaves_no_shared_run(spark):
+    """Blocks that stand twice, in crossing order, and with empty lines, held by
+    more than ``rare`` documents, against every run of the earlier documents."""
+    def brute(rows):
+        left = {}
+        for i, lines in rows:
+            gone, earlier = set(), [x for j, x in rows if j < i]
+            places = [(s, e) for s in range(len(lines)) for e in range(s + 1, len(lines) + 1)]
+            for s, e in places:
+                if (sum(len(x.split()) for x in lines[s:e]) >= 8
+                        and any(lines[s:e] == x[k:k + e - s] for x in earlier for k in range(len(x)))):
+                    gone.update(range(s, e))
+            left[i] = [x for k, x in enumerate(lines) if k not in gone], len(gone)
+        return left
+
+    rng = random.Random(7)
+    own = iter(f"o{i} own line of more than eight words o{i} here" for i in range(1000))
+    p, q = "p one two three four five six seven eight", "q one two three four five six seven eight"
+    rows = [(1, [next(own), p, next(own), p, next(own)]), (2, [next(own), p, next(own)]),
+            (3, [q, p, "", next(own)]), (4, [next(own), p, q]), (5, [p, "", q]), (6, [q, p, q, p])]
+    rows += [(10 + i, [next(own), p, "", q, next(own)]) for i in range(6)]
+    pool = ["a b c d", "e f g", "h i j k l", "", "m", p, q]
+    rows += [(100 + i, [rng.choice(pool) if rng.random() < 0.8 else next(own) for _ in range(rng.randrange(1, 9))])
+             for i in range(60)]
+    want = brute(rows)
+    assert want[2][1] == 1 and want[4][1] == 2
+    got = {r.doc_id: r for r in linededup.dedup_lines(docs(spark, [(i, "\n".join(x)) for i, x in rows])).collect()}
+    for i, (lines, n) in want.items():
+        assert (got[i].text, got[i].n_removed) == ("\n".join(lines), n), i
+
+
 # 3 ---------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     big = "é" * 3_000_000
