@@ -7,8 +7,9 @@ mask of a rendering covers the assistant's texts and end marks.  Narrators
 their own.
 
 A dialogue of more than ``max_turns`` turns is cut into segments of that many,
-each rendered for the participants that speak in it, so no conversation is ever
-gathered as a whole: turns are numbered by a distributed rank.
+so no conversation is ever gathered as a whole: turns are numbered by a
+distributed rank.  Every segment is rendered for every participant of the whole
+dialogue, silent ones too, so a participant's segments add up to the dialogue.
 
 Defined results: a repeated row (equal conversation, turn, role and text)
 counts once; turns of one number follow in the order of role and text; a null
@@ -35,7 +36,7 @@ def _clean(c):
 
 def rotate(turns: DataFrame, max_turns: int = 64, narrators: tuple[str, ...] = ("system",)) -> DataFrame:
     """``conv_id, segment, speaker, n_turns, text, loss`` (array of [start, end)
-    places in characters) for every segment and participant in it."""
+    places in characters) for every segment and participant of its dialogue."""
     rows = turns.select("conv_id", "turn",
                         F.coalesce(F.col("role"), F.lit("unknown")).alias("role"),
                         F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
@@ -44,9 +45,9 @@ def rotate(turns: DataFrame, max_turns: int = 64, narrators: tuple[str, ...] = (
     ranked = join_on(ranked, first, ("conv_id",)).withColumn("_pos", F.col("_r") - F.col("_first"))
     seg = ranked.groupBy("conv_id", F.floor(F.col("_pos") / max_turns).alias("segment")).agg(
         F.sort_array(F.collect_list(F.struct("_pos", "role", "text"))).alias("_turns"))
-    who = F.array_except(F.array_distinct(F.transform("_turns", lambda t: t["role"])),
-                         F.array(*map(F.lit, narrators)))
-    each = seg.withColumn("speaker", F.explode(who))
+    who = ranked.select("conv_id", F.col("role").alias("speaker")).distinct()
+    who = who.where(~F.col("speaker").isin(*narrators)) if narrators else who
+    each = join_on(seg, who, ("conv_id",))
     narrator = F.lit(False)
 
     def head(t):

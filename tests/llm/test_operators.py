@@ -238,6 +238,25 @@ def test_perspectives(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_perspectives_add_up_to_the_whole_dialogue(spark):
+    """A late speaker, one who falls silent, a segment of narration only."""
+    def role(i):
+        return "system" if i == 0 or 64 <= i < 128 else "cy" if i >= 140 else "ab"[i % 2]
+    turns = [(c, i, role(i), f"t{i}") for c in (1, None) for i in range(150)] + [(2, 0, "ann", "x"), (3, 0, "system", "y")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.speaker, r.segment): r for r in chat.rotate(df).collect()}
+    assert set(got) == {(c, p, s) for c in (1, None) for p in ("a", "b", "cy") for s in range(3)} | {(2, "ann", 0)}
+    for c in (1, None):
+        for p in ("a", "b", "cy"):
+            parts = [got[c, p, s] for s in range(3)]
+            assert [r.n_turns for r in parts] == [64, 64, 22]
+            assert "".join(r.text for r in parts) == "".join(
+                f"<|{'assistant' if role(i) == p else 'system' if role(i) == 'system' else 'user ' + role(i)}|>\n"
+                f"t{i}<|end|>\n" for i in range(150))
+            assert [r.text[s.start:s.end] for r in parts for s in r.loss] == [
+                f"t{i}<|end|>" for i in range(150) if role(i) == p]
+
+
 # 7 ---------------------------------------------------------------------------
 def brute_repeats(rows, width):
     seen = collections.Counter()
