@@ -203,8 +203,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised: a letter in the text
-    and a posterior of at least ``min_score``."""
+    """The rows of ``docs`` with a letter in the text and a posterior of at least
+    ``min_score``.  The posterior says which learned language fits best, not
+    whether it fits: it is practically 1 for whole texts of any kind, so foreign
+    scripts and noise are not rejected by it."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):

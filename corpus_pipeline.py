@@ -21,7 +21,8 @@ from civiclens.llm.queries import PATTERN, RANKS
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not recognised go."""
+    """Documents without a letter go.  Texts in a language that was not learned
+    and noise with letters stay: see ``langid.accepted``."""
     held = F.coalesce(langid.is_held_out(docs["doc_id"]), F.lit(False))
     return langid.accepted(docs, langid.fit(docs.where(~held)))
 
