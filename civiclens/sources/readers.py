@@ -111,7 +111,8 @@ def melt_datasets(spark: SparkSession, paths: Mapping[str, str], partitions: int
 
     Headers are read per dataset when the plan is built (first line only);
     a dataset whose header cannot be read goes to the quarantine frame
-    ``(dataset_name, reason)`` instead of failing the run.
+    ``(dataset_name, reason)`` instead of failing the run.  One that breaks
+    after its header still fails the run.
     """
     frames, bad = read_many(spark, paths, partitions)
     parts = [melt_cells(df, name, [c for c in df.columns if c != "_corrupt_record"])
