@@ -8,8 +8,9 @@ training rows.  Lower-casing is Unicode's; runs of white space count as one.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text when there is nothing to learn from; ties go to the
-language that sorts first; rows with a null language train nothing; an empty
-table gives an empty result; only doc_id, text and (for training) lang are
+language that sorts first; rows with a null language train nothing; more than
+``MAX_LANGS`` distinct languages among the training rows raise a ValueError, as
+the matrix has a column for each; an empty table gives an empty result; only doc_id, text and (for training) lang are
 read, so other columns cannot clash.  The score is the posterior probability
 of the predicted language.
 """
