@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm import (
-    bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, suffixes, warc)
+    agenda, bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, suffixes, warc)
 from civiclens.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -181,10 +182,20 @@ def op10_consistent_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = agenda.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    both = agenda.decode(ids, PIECES)
+    text = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(text, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_inverted_multi_index, op2_line_dedup, op3_warc_chunks, op4_byte_bpe,
     op5_benchmark_decontamination, op6_perspective_rotation, op7_repeated_strings,
-    op8_minmax_near_dedup, op9_language_id, op10_consistent_hash_sharding)}
+    op8_minmax_near_dedup, op9_language_id, op10_consistent_hash_sharding,
+    op11_sentencepiece_bpe)}
 
 ORACLES = {"op3_warc_chunks": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL,
            "op6_perspective_rotation": OP6_SQL, "op8_minmax_near_dedup": OP8_SQL}
