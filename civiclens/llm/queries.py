@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm import (
-    agenda, bpe, chat, decontaminate, langid, linededup, minhash, multiindex, sharding, suffixes, warc)
+    agenda, bpe, chat, decontaminate, langid, lexical, linededup, minhash, multiindex, phrases,
+    sharding, suffixes, warc)
 from civiclens.llm.common import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -191,11 +192,86 @@ def op11_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_read(spark, sf_dir, "documents"), order=4, min_count=30, inside=80, top=2000)
+
+
+OP12_SQL = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p), (SELECT unnest([1, 2, 3, 4]) AS k)
+  WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM g WHERE k >= 2 AND f >= 30),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS b
+  FROM (SELECT lang, k, w, a, s, unnest(range(1, k - s + 2)) AS i
+        FROM c, (SELECT unnest([2, 3]) AS s) WHERE s < k)
+  GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN inner_ USING (lang, phrase)
+  WHERE b IS NULL OR 100::HUGEINT * b < 80::HUGEINT * a),
+cuts AS (
+  SELECT kept.lang, kept.phrase, a, j, l.f AS l, r.f AS r,
+         CAST((2000000::HUGEINT * a) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) kept
+  JOIN g l ON l.lang = kept.lang AND l.phrase = array_to_string(kept.w[1:j], ' ')
+  JOIN g r ON r.lang = kept.lang AND r.phrase = array_to_string(kept.w[j + 1:kept.k], ' ')),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best)
+SELECT top.lang, rank, phrase, a, l, r, n, score FROM top JOIN n ON n.lang = top.lang WHERE rank <= 2000
+"""
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=50)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') AS ws
+  FROM documents),
+st AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS t
+  FROM benchmark),
+tf AS (
+  SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY doc_id, t),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), st),
+m AS (SELECT doc_id, 50 + (50 * len(ws) * n_docs) // n_terms AS m FROM d, st WHERE len(ws) > 0),
+s AS (
+  SELECT item_id, tf.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN tf ON tf.t = q.t JOIN w ON w.t = q.t JOIN m ON m.doc_id = tf.doc_id
+  GROUP BY item_id, tf.doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_inverted_multi_index, op2_line_dedup, op3_warc_chunks, op4_byte_bpe,
     op5_benchmark_decontamination, op6_perspective_rotation, op7_repeated_strings,
     op8_minmax_near_dedup, op9_language_id, op10_consistent_hash_sharding,
-    op11_sentencepiece_bpe)}
+    op11_sentencepiece_bpe, op12_collocations, op13_ranked_lexical_search)}
 
 ORACLES = {"op3_warc_chunks": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL,
-           "op6_perspective_rotation": OP6_SQL, "op8_minmax_near_dedup": OP8_SQL}
+           "op6_perspective_rotation": OP6_SQL, "op8_minmax_near_dedup": OP8_SQL,
+           "op12_collocations": OP12_SQL, "op13_ranked_lexical_search": OP13_SQL}
