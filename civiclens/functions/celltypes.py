@@ -9,7 +9,8 @@ Order matters and follows the reference: empty → int → real → date → tex
 * real: contains a dot and ``float(s)`` accepts it (``.5``, ``5.``,
   ``1.e3``).  ``1e5`` and ``nan`` have no dot and are not real.
   ``try_cast`` alone accepts ``1.5f``/``1.5d``, so again a regex first.
-* date: a declared list of formats.  The reference used a natural-language
+* date: absolute dates in free order (:mod:`civiclens.functions.dates`), or a
+  declared list of formats.  The reference used a natural-language
   parser whose answers depend on today's date (``Mon`` and ``10:30`` became
   today); partial dates therefore stay text here.
 """
@@ -21,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from civiclens.functions.dates import parse_date
+
 EMPTY, INT, REAL, DATE, TEXT = "empty", "int", "real", "date", "text"
 
 # Labels used in the profile documents (fixed values of the output format).
@@ -31,29 +34,8 @@ INT_PATTERN = rf"(?U)^\s*[+-]?{_DIGITS}\s*$"
 REAL_PATTERN = (rf"(?U)^\s*[+-]?(?:{_DIGITS}\.(?:{_DIGITS})?|\.{_DIGITS})"
                 rf"(?:[eE][+-]?{_DIGITS})?\s*$")
 
-# Declared date formats (Java patterns; single letters accept one or two
-# digits, as strptime's %m/%d/%H do).
-DATE_FORMATS = (
-    "yyyy-M-d H:m[:s][.SSSSSSSSS][XXX]",
-    "yyyy-M-d'T'H:m[:s][.SSSSSSSSS][XXX]",
-    "yyyy-M-d",
-    "M/d/yyyy h:m[:s] a",
-    "M/d/yyyy H:m[:s]",
-    "M/d/yyyy",
-    "yyyy/M/d[ H:m[:s]]",
-    "d-MMM-yyyy",
-    "d-MMM-yy",
-    "MMM d[,] yyyy",
-    "MMMM d[,] yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-)
-
-
-# Every value the default formats can parse starts like this; other values
-# skip the (exception-driven, slow) parsers.  Used only with DATE_FORMATS.
-DATE_GUARD = (r"^ *(?:\d{1,4}[-/]\d{1,2}[-/]\d{1,4}"
-              r"|\d{1,2}[- ]\p{L}{3,9}[- ]\d{2,4} *$|\p{L}{3,9} \d{1,2},? \d{4} *$)")
+# In place of a list of formats: any absolute date.
+DATE_FORMATS = None
 
 
 def _c(col: Column | str) -> Column:
@@ -94,16 +76,17 @@ def real_value(v: Column | str) -> Column:
     return F.when(v.rlike(REAL_PATTERN), _number_text(v).try_cast("double"))
 
 
-def date_value(v: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def date_value(v: Column | str, formats: Sequence[str] | None = DATE_FORMATS) -> Column:
+    """The instant of a date cell; ``formats`` (Java patterns) restricts dates
+    to these."""
     v = _c(v)
+    if formats is None:
+        return parse_date(v)
     t = F.trim(v)
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
-    if tuple(formats) == DATE_FORMATS:
-        return F.when(v.rlike(DATE_GUARD), parsed)
-    return parsed
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
 
 
-def cell_type(v: Column | str, formats: Sequence[str] = DATE_FORMATS,
+def cell_type(v: Column | str, formats: Sequence[str] | None = DATE_FORMATS,
               date_by_name: Column | None = None) -> Column:
     """The type tag of a cell.  ``date_by_name`` (a boolean column, e.g. from
     :func:`name_like_date`) marks all non-empty cells of date-like columns as

@@ -43,7 +43,7 @@ def value_frequencies(cells: DataFrame) -> DataFrame:
                  .groupBy(*KEY, "value").agg(F.count(F.lit(1)).alias("freq")))
 
 
-def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
+def typed_frequencies(freq: DataFrame, formats: Sequence[str] | None = ct.DATE_FORMATS,
                       date_by_name: bool = False) -> DataFrame:
     """Adds the cell type and the parsed forms of every distinct value.
     ``date_by_name=True`` applies a draft rule of the reference: all
@@ -72,7 +72,7 @@ def typed_frequencies(freq: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS,
         "ts", F.length(v).alias("len"))
 
 
-def cell_table(cells: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
+def cell_table(cells: DataFrame, formats: Sequence[str] | None = ct.DATE_FORMATS) -> DataFrame:
     """Every cell with its type (no aggregation)."""
     return cells.withColumn("cell_type", ct.cell_type(F.col("value"), formats))
 
@@ -227,15 +227,16 @@ def _block(**given) -> Column:
 
 
 def column_profiles(cells: DataFrame, k: int = 5,
-                    formats: Sequence[str] = ct.DATE_FORMATS, date_by_name: bool = False) -> DataFrame:
+                    formats: Sequence[str] | None = ct.DATE_FORMATS, date_by_name: bool = False,
+                    counted: bool = False) -> DataFrame:
     """One row per (dataset, column) with counts, top-k values and type
-    blocks.  Columns that are entirely empty are kept with no type block
+    blocks.  ``counted``: ``cells`` are :func:`value_frequencies` rows.  Columns that are entirely empty are kept with no type block
     (the reference dropped them through an inner join).
 
     The typed frequency table is read by two aggregations only; type blocks
     are assembled from the one row of statistics per column.
     """
-    freq = value_frequencies(cells)
+    freq = cells if counted else value_frequencies(cells)
     typed = typed_frequencies(freq, formats, date_by_name)
     stats = column_stats(typed)
     dev = _deviations(typed, stats)
@@ -270,7 +271,7 @@ def column_profiles(cells: DataFrame, k: int = 5,
 
 
 def profile_documents(cells: DataFrame, k: int = 5,
-                      formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
+                      formats: Sequence[str] | None = ct.DATE_FORMATS, counted: bool = False) -> DataFrame:
     """One nested document per dataset, the reference's JSON layout:
     ``dataset_name, key_column_candidates, unique_columns, columns[...]``.
 
@@ -278,7 +279,7 @@ def profile_documents(cells: DataFrame, k: int = 5,
     ``unique_columns`` adds the columns that really are keys (all values
     distinct, none empty).
     """
-    cols = column_profiles(cells, k, formats)
+    cols = column_profiles(cells, k, formats, counted=counted)
     unique = ((F.col("number_distinct_values") == F.col("number_cells"))
               & (F.col("number_empty_cells") == 0))
     col_struct = F.struct(
@@ -290,7 +291,7 @@ def profile_documents(cells: DataFrame, k: int = 5,
         F.array_sort(F.collect_list(col_struct)).alias("columns"))
 
 
-def type_counts(cells: DataFrame, formats: Sequence[str] = ct.DATE_FORMATS) -> DataFrame:
+def type_counts(cells: DataFrame, formats: Sequence[str] | None = ct.DATE_FORMATS) -> DataFrame:
     """``(dataset_name, column_name, cell_type, num)``: all that the summary
     and the totals need of a profile."""
     typed = typed_frequencies(value_frequencies(cells), formats)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from civiclens.functions.text import path_part
 from civiclens.operators import relational as rel
 from civiclens.operators import semantic as sem
+from civiclens.plans import drivers
 from civiclens.plans.catalog import QUALITY_MIN_CHARS, register, _doc_predictions, _doc_truth
 from civiclens.session import ensure_checkpoint_dir
 from civiclens.sources import readers, writers
@@ -266,3 +267,75 @@ def q_score_document(spark, sf_dir):
     return one.select(F.col("key").alias("label"),
                       F.round(F.col("value")[0]["precision"], 9).alias("precision"),
                       F.round(F.col("value")[1]["recall"], 9).alias("recall"))
+
+
+def _cut_files(spark, source: str, target: str) -> str:
+    """Copies of the part files of ``source`` that end half-way."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(conf)
+    for status in fs.listStatus(path(source)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            src, dst = fs.open(status.getPath()), fs.create(path(f"{target}/{name}"))
+            jvm.org.apache.commons.io.IOUtils.copyLarge(src, dst, 0, status.getLen() // 2)
+            src.close()
+            dst.close()
+    return target
+
+
+@register("manifest_profiles", """
+WITH c AS (
+  SELECT 'customer.tsv' AS dataset_name, 'key' AS column_name, CAST(c_custkey AS VARCHAR) AS v FROM customer
+  UNION ALL SELECT 'customer.tsv', 'segment', nullif(c_mktsegment, 'BUILDING') FROM customer
+  UNION ALL SELECT 'orders.tsv', 'key', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderpriority <> '1-URGENT'
+  UNION ALL SELECT 'orders.tsv', 'status', o_orderstatus FROM orders WHERE o_orderpriority <> '1-URGENT')
+SELECT dataset_name, column_name, count(v) AS filled, count(*) - count(v) AS empty,
+       count(DISTINCT coalesce(v, '')) AS n_values, CAST(NULL AS BIGINT) AS quarantined
+FROM c GROUP BY dataset_name, column_name
+UNION ALL SELECT 'orders.tsv', NULL, NULL, NULL, NULL, count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'events.tsv', NULL, NULL, NULL, NULL, 0
+UNION ALL SELECT 'glued.tsv', NULL, NULL, NULL, NULL, 0
+UNION ALL SELECT 'gone.tsv', NULL, NULL, NULL, NULL, 0
+""")
+def q_manifest_profiles(spark, sf_dir):
+    """K5, S11 and the reference's manifest run: good datasets are profiled in
+    one job; a dataset that breaks after its header, one that is missing, a
+    malformed manifest line and records with too many cells are quarantined."""
+    t, path = Tables(spark, sf_dir), _folder(spark)
+    _write_csv(t.customer.select(F.col("c_custkey").alias("key"), F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment")),
+               f"{path}/customer.tsv", "\t", True)
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("\tcell"))
+    # the lines are one column, its name the header: no cell is quoted
+    _write_csv(t.orders.select(F.concat("o_orderkey", F.lit("\t"), "o_orderstatus", F.coalesce(urgent, F.lit("")))
+                                .alias("key\tstatus")), f"{path}/orders.tsv", "\x01", True)
+    t.events.write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(f"{path}/whole.tsv")
+    _cut_files(spark, f"{path}/whole.tsv", f"{path}/events.tsv")
+    names = ["customer.tsv", "orders.tsv", "events.tsv", "gone.tsv"]
+    lines = [(f"{path}/{n} 1",) for n in names] + [("x/glued.tsv 1",)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{path}/manifest")
+    docs, quarantine = drivers.profile_manifest(spark, f"{path}/manifest")
+    c = docs.select("dataset_name", F.explode("columns").alias("c")).select(
+        "dataset_name", "c.column_name", F.col("c.number_non_empty_cells").alias("filled"),
+        F.col("c.number_empty_cells").alias("empty"), F.col("c.number_distinct_values").alias("n_values"),
+        F.lit(None).cast("long").alias("quarantined"))
+    q = quarantine.groupBy("dataset_name").agg(F.coalesce(F.sum("num"), F.lit(0)).alias("quarantined"))
+    return c.unionByName(q, allowMissingColumns=True)
+
+
+@register("target_columns", """
+SELECT 'nation' AS dataset_name, 'n_name' AS column_name, count(*) AS num FROM nation
+UNION ALL SELECT 'customer', 'c_mktsegment', count(*) FROM customer
+""")
+def q_target_columns(spark, sf_dir):
+    """S12, T3 and the reference's target run: a target list is read, each name
+    resolved to the closest header of its dataset, the column labelled; a
+    target of a missing dataset is quarantined."""
+    t, path = Tables(spark, sf_dir), _folder(spark)
+    _write_csv(t.nation, f"{path}/nation.tsv", "\t", True)
+    _write_csv(t.customer, f"{path}/customer.tsv", "\t", True)
+    targets = "['nation.nname.txt.gz', 'customer.mktsegment.txt.gz', 'nation.nname.txt.gz', 'gone.x.txt.gz']"
+    spark.createDataFrame([(targets,)], "value string").coalesce(1).write.text(f"{path}/targets")
+    labels, bad = drivers.label_target_columns(spark, f"{path}/targets", path, suffix=".tsv")
+    assert [r.dataset_name for r in bad.collect()] == ["gone"]
+    return labels.groupBy("dataset_name", "column_name").agg(F.sum("count").alias("num"))

@@ -1,8 +1,8 @@
 """Readers for the reference's inputs (all lazy DataFrames).
 
 Every reader declares its schema when it is known; inference stays an
-option.  Malformed rows do not fail a dataset (PERMISSIVE mode); cells beyond
-a row's columns are not kept.
+option.  Malformed rows do not fail a dataset (PERMISSIVE mode).  Cells beyond
+a row's columns are not kept here; ``isolation`` keeps such records apart.
 """
 
 from __future__ import annotations
@@ -111,8 +111,9 @@ def melt_datasets(spark: SparkSession, paths: Mapping[str, str], partitions: int
 
     Headers are read per dataset when the plan is built (first line only);
     a dataset whose header cannot be read goes to the quarantine frame
-    ``(dataset_name, reason)`` instead of failing the run.  One that breaks
-    after its header still fails the run.
+    ``(dataset_name, reason)`` instead of failing the run.  The frames are
+    lazy: one that breaks after its header fails the job that reads them, unless
+    it runs in ``isolation.contained``.
     """
     frames, bad = read_many(spark, paths, partitions)
     parts = [melt_cells(df, name, [c for c in df.columns if c != "_corrupt_record"])

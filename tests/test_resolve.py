@@ -44,3 +44,14 @@ def test_known_matches(spark):
     # ties go to the first header
     expect = min(range(len(headers)), key=lambda i: (_dist("BOROUGH", headers[i]), i))
     assert got["BOROUGH"] == headers[expect]
+
+
+def test_longer_than_a_word_of_bits(spark):
+    import random
+    rng = random.Random(2)
+    sizes = [0, 1, 59, 60, 61, 119, 120, 121, 200]
+    pairs = [("".join(rng.choice("abcé漢") for _ in range(a)), "".join(rng.choice("abcé漢") for _ in range(b)))
+             for a in sizes for b in (0, 1, 60, 75, 150)]
+    df = spark.createDataFrame([*pairs, (None, "a")], "a string, b string")
+    got = [r.d for r in df.select(edit_distance(F.col("a"), F.col("b")).alias("d")).collect()]
+    assert got == [*[_dist(a, b) for a, b in pairs], None]
