@@ -4,9 +4,9 @@
   beyond the bound the ordinary shuffle join stays (and AQE may still
   switch to broadcast at run time from real stage sizes).
 * ``global_ntile`` / ``global_rank`` — exact ranks over a total order
-  without a one-partition window: range partition, sort inside the
-  partitions, then add per-partition offsets from a table with one row
-  per partition.
+  without a one-partition window and without a checkpoint: ranges between
+  splitters from a sample by hash, ranks within a range, offsets from a table
+  with one row per range.
 """
 
 from __future__ import annotations
@@ -74,39 +74,74 @@ def materialize(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
     return df
 
 
-_LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row
+# Rows sampled per range of a global rank.
+SAMPLE_PER_RANGE = 64
+
+
+def _key(df: DataFrame, order: list[Column | str]) -> Column:
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+
+
+def range_splitters(keys: DataFrame, n_ranges: int) -> Column:
+    """A literal: the sorted array of ``n_ranges - 1`` keys (column ``k``, a struct)
+    or fewer that cut the keys into ranges of about equal size.
+
+    They come from a sample by hash (so many keys whatever the input's size),
+    which depends on the keys only: any plan, partitioning or retried task finds
+    the same splitters.  As text they may lose digits of a second; any cut is
+    right as long as all rows see the same.
+    """
+    total = keys.count()
+    share = min(1.0, n_ranges * SAMPLE_PER_RANGE / max(total, 1))
+    cut = F.lit(int(share * (1 << 62))).cast("long")
+    drawn = F.shiftright(F.xxhash64("k"), 1).bitwiseAND((1 << 62) - 1) <= cut
+    sample = keys.filter(drawn).distinct().agg(F.array_sort(F.collect_list("k")).alias("s"))
+    n = F.size("s")
+    places = F.sequence(F.lit(1), F.lit(max(n_ranges - 1, 1)))
+    cuts = F.transform(places, lambda i: F.get("s", F.floor(i * n / n_ranges).cast("int")))
+    found = sample.select(F.when(n > 0, F.array_distinct(cuts)).alias("splitters"))
+    text = found.select(F.to_json("splitters")).first()[0]
+    return F.from_json(F.lit(text or "[]"), found.schema["splitters"].dataType)
+
+
+def range_of(key: Column, splitters: Column, n_ranges: int) -> Column:
+    """How many splitters are at most ``key``, by binary search."""
+    def halve(state: Column, _: Column) -> Column:
+        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        below = F.get(splitters, mid) <= key
+        closer = F.struct(F.when(below, mid + 1).otherwise(state["lo"]).alias("lo"),
+                          F.when(below, state["hi"]).otherwise(mid).alias("hi"))
+        return F.when(state["lo"] < state["hi"], closer).otherwise(state)
+    steps = F.sequence(F.lit(0), F.lit(n_ranges.bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size(splitters), F.lit(0)).alias("hi"))
+    return F.aggregate(steps, start, halve)["lo"]
 
 
 def global_rank(df: DataFrame, order: list[Column | str], out_col: str = "rank0",
                 partitions: int | None = None) -> DataFrame:
-    """Add a 0-based rank following ``order`` (which must be a total order).
+    """Add a 0-based rank following ``order`` (columns, ascending, NULLs first,
+    which must be a total order) and the number of rows, ``_total``.
 
-    Work is spread over ``partitions`` range partitions; only the table of
-    per-partition row counts (one row per partition) is broadcast.
+    Rows are dealt to ranges by splitters that depend on the data alone, ranked
+    within their range, and moved by the number of rows in the ranges before:
+    nothing is written down, and a recomputed task gives the same ranks.  Only
+    the table of range sizes (one row per range) is broadcast.
     """
-    n_parts = partitions or task_count(df)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(n_parts, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-                .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    # Range bounds come from a sample seeded by the RDD id, so two plans over
-    # the same input may cut at different places.  A reliable checkpoint in
-    # the cluster's checkpoint folder fixes the partitioning once: the count
-    # branch, the row branch and any retried task all read the same rows.
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a window without partitionBy is bounded here.
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sizes
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-               .withColumn("_total", F.sum("_n").over(Window.partitionBy(F.lit(1))))
-               .select("_pid", "_offset", "_total"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
+    n = partitions or task_count(df)
+    key = _key(df, order)
+    splitters = range_splitters(df.select(key.alias("k")), n)
+    ranged = df.withColumn("_range", range_of(key, splitters, n))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range: a window without partitionBy is bounded here.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
+    return (ranged.withColumn("_local", local).join(F.broadcast(offsets), "_range")
                   .withColumn(out_col, F.col("_offset") + F.col("_local"))
-                  .drop("_mid", "_pid", "_local", "_offset"))
+                  .drop("_range", "_local", "_offset"))
 
 
 def global_ntile(df: DataFrame, n: int, order: list[Column | str],

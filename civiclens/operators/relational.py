@@ -173,3 +173,11 @@ def sample_one(df: DataFrame, fraction: float = 0.1, seed: int = 10) -> DataFram
     """A random sample, then one row of it (a sampling operator: the limit
     is the feature)."""
     return df.sample(False, fraction, seed).limit(1)
+
+
+def sample_rows(df: DataFrame, k: int, key: Sequence[str], seed: int = 10) -> DataFrame:
+    """``k`` random rows: those with the smallest MD5 of seed and key, ties by
+    the key (a sampling operator: the limit is the feature).  The choice depends
+    on the keys only, not on partitioning; every task keeps k rows."""
+    salted = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]).cast("binary"))
+    return df.orderBy(salted, *key).limit(k)

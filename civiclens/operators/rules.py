@@ -5,16 +5,17 @@ association rules with a fixed consequent attribute, and the protection
 Plan shape, for any scale:
 
 * ``F1`` is one aggregation with map-side partial counts.
-* Items are pruned to ``F1`` with a semi-join before any self-join
+* Items are pruned to ``F1`` with a semi-join before they are grouped
   (Apriori pruning), against a size-checked broadcast of ``F1`` — never a
   shuffle of the item table by its skewed (attr, val) key.
-* Pairs come from an equi self-join on ``uid`` with ``a.attr < b.attr``;
-  both sides read the same exchange.  A uid holds one item per attribute,
-  so it yields at most C(#attributes, 2) pairs.  Pair counts again combine
-  map-side, so a hot pair does not load one task.
-* Triples: per uid, pairs of non-consequent items joined with the uid's
-  consequent item.  By anti-monotonicity the frequent ones equal those of
-  the reference's candidate table ``C3``; pruning by ``F2`` is optional.
+* One shuffle by ``uid`` makes sorted baskets of at most ``BASKET`` items
+  (:func:`baskets`); a uid with more items has several, whose pairs across are
+  found by a join of baskets.  Pairs and triples are enumerated within baskets
+  by higher-order functions, from the same baskets, without another shuffle by
+  ``uid``.  Their counts combine map-side, so a hot pair does not load one task.
+* Triples: pairs of non-consequent items with the uid's consequent items.  By
+  anti-monotonicity the frequent ones equal those of the reference's candidate
+  table ``C3``; pruning by ``F2`` is optional.
 * Rules are equi-joins between these small frequent tables.
 """
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.operators._plan import materialize, sized_broadcast
@@ -52,59 +53,110 @@ def _pruned(items: DataFrame, f1: DataFrame) -> DataFrame:
     return items.join(sized_broadcast(f1.select("attr", "val")), ["attr", "val"], "left_semi")
 
 
+# Items of one basket: so many squared are enumerated in one place.
+BASKET = 64
+
+
+def baskets(items: DataFrame, f1: DataFrame, consequent: str | None = None,
+            size: int = BASKET) -> DataFrame:
+    """``uid, chunk, items``: the frequent items of every uid in the order of
+    (attr, val), at most ``size`` to a row, and with ``consequent`` its items of
+    that attribute (``cons``) beside each.  One shuffle by uid."""
+    t = _pruned(items.filter(F.col("uid").isNotNull()), f1)
+    by_uid = Window.partitionBy("uid")
+    place = F.row_number().over(by_uid.orderBy("attr", "val"))
+    t = t.withColumn("chunk", F.floor((place - 1) / size).cast("int"))
+    item = F.struct("attr", "val")
+    extra = []
+    if consequent is not None:
+        t = t.withColumn("cons", F.collect_list(F.when(F.col("attr") == consequent, item)).over(by_uid))
+        extra = [F.first("cons").alias("cons")]
+    return t.groupBy("uid", "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"), *extra)
+
+
+def _blocks(grouped: DataFrame) -> DataFrame:
+    """``uid, a, b[, cons]``: arrays of items whose pairs, the first from a and the
+    second from b, are all pairs of the uid once."""
+    rest = [c for c in grouped.columns if c == "cons"]
+    own = grouped.select("uid", F.col("items").alias("a"), F.col("items").alias("b"), *rest)
+    later = grouped.filter(F.col("chunk") > 0)
+    if later.isEmpty():
+        return own
+    # items are in order over the baskets of a uid too
+    later = later.select("uid", F.col("chunk").alias("_later"), F.col("items").alias("b"))
+    across = (grouped.join(later, "uid").filter(F.col("chunk") < F.col("_later"))
+                     .select("uid", F.col("items").alias("a"), "b", *rest))
+    return own.unionByName(across)
+
+
+def _ordered_pairs(a: Column, b: Column) -> Column:
+    """Pairs ``(x, y)`` of x in a and y in b with ``x.attr < y.attr``."""
+    return F.flatten(F.transform(a, lambda x: F.transform(
+        F.filter(b, lambda y: x["attr"] < y["attr"]),
+        lambda y: F.struct(x.alias("x"), y.alias("y")))))
+
+
+def _item_columns(item: str, n: int) -> list[Column]:
+    return [F.col(f"{item}.attr").alias(f"attr{n}"), F.col(f"{item}.val").alias(f"val{n}")]
+
+
+def _pairs(grouped: DataFrame, last: str | None) -> DataFrame:
+    blocks = _blocks(grouped)
+    p = blocks.select("uid", F.explode(_ordered_pairs(F.col("a"), F.col("b"))).alias("p"))
+    out = p.select("uid", *_item_columns("p.x", 1), *_item_columns("p.y", 2))
+    if last is None:
+        return out
+    back = p.filter(F.col("p.x.attr") == last)
+    return out.unionAll(back.select("uid", *_item_columns("p.y", 1), *_item_columns("p.x", 2)))
+
+
 def uid_pairs(items: DataFrame, f1: DataFrame, last: str | None = None) -> DataFrame:
     """Per uid, every pair of frequent items with ``attr1 < attr2``.  The
     attribute ``last`` also follows those that sort after it."""
-    t = _pruned(items, f1)
-    a = t.select(F.col("uid"), F.col("attr").alias("attr1"), F.col("val").alias("val1"))
-    b = t.select(F.col("uid"), F.col("attr").alias("attr2"), F.col("val").alias("val2"))
-    wanted = F.col("attr1") < F.col("attr2")
-    if last is not None:
-        wanted = wanted | ((F.col("attr2") == last) & (F.col("attr1") != last))
-    return a.join(b, "uid").filter(wanted)
+    return _pairs(materialize(baskets(items, f1)), last)
 
 
 def frequent_pairs(items: DataFrame, f1: DataFrame, supp: int,
-                   last: str | None = None) -> DataFrame:
+                   last: str | None = None, grouped: DataFrame | None = None) -> DataFrame:
     """F2(attr1, val1, attr2, val2, supp).  With ``last`` (the consequent),
     pairs of a later attribute and this one are counted as well, so that
-    :func:`rules2` finds rules with any attribute on the left."""
-    return (uid_pairs(items, f1, last)
-            .groupBy("attr1", "val1", "attr2", "val2")
-            .agg(F.count(F.lit(1)).alias("supp"))
-            .filter(F.col("supp") >= supp))
+    :func:`rules2` finds rules with any attribute on the left.  ``grouped``:
+    :func:`baskets` that are there already."""
+    pairs = _pairs(grouped, last) if grouped is not None else uid_pairs(items, f1, last)
+    return (pairs.groupBy("attr1", "val1", "attr2", "val2")
+                 .agg(F.count(F.lit(1)).alias("supp"))
+                 .filter(F.col("supp") >= supp))
 
 
 def frequent_triples(items: DataFrame, f1: DataFrame, f2: DataFrame | None, supp: int,
-                     consequent: str = "vdecile", any_position: bool = False) -> DataFrame:
+                     consequent: str = "vdecile", any_position: bool = False,
+                     grouped: DataFrame | None = None) -> DataFrame:
     """F3(attr1, val1, attr2, val2, attr3, val3, supp) with ``attr3`` the
     consequent attribute — the reference's C3 candidates, counted.
     ``any_position=True`` also counts left items that sort after the
     consequent (an ``f2`` given then must hold those pairs).
 
     Per uid: pairs of non-consequent items (``attr1 < attr2``,
-    ``attr1 < consequent``) joined on ``uid`` with the uid's consequent
-    item.  C3 also asks that (item1, item2) and (item1, consequent) be in
-    F2; a triple with support >= ``supp`` has both pairs frequent
-    (anti-monotonicity), so the counts kept are the same with or without
-    that test.  Passing ``f2`` applies it as an early (broadcast-sized)
-    semi-join, which pays off when many pairs are infrequent.
+    ``attr1 < consequent``) with each of the uid's consequent items.  C3 also
+    asks that (item1, item2) and (item1, consequent) be in F2; a triple with
+    support >= ``supp`` has both pairs frequent (anti-monotonicity), so the
+    counts kept are the same with or without that test.  Passing ``f2`` applies
+    it as an early (broadcast-sized) semi-join, which pays off when many pairs
+    are infrequent.  ``grouped``: :func:`baskets` with this consequent.
     """
-    t = _pruned(items, f1)
-    body = t.filter(F.col("attr") != consequent)
-    a = body.select("uid", F.col("attr").alias("attr1"), F.col("val").alias("val1"))
-    b = body.select("uid", F.col("attr").alias("attr2"), F.col("val").alias("val2"))
-    wanted = F.col("attr1") < F.col("attr2")
-    if not any_position:
-        wanted = wanted & (F.col("attr1") < F.lit(consequent))
-    pairs = a.join(b, "uid").filter(wanted)
-    cons = t.filter(F.col("attr") == consequent).select(
-        "uid", F.col("attr").alias("attr3"), F.col("val").alias("val3"))
+    if grouped is None:
+        grouped = materialize(baskets(items, f1, consequent))
+    with_cons = _blocks(grouped.filter(F.size("cons") > 0))
+
+    def left(x: Column) -> Column:
+        return x["attr"] != consequent if any_position else x["attr"] < consequent
+    pairs = _ordered_pairs(F.filter("a", left), F.filter("b", lambda y: y["attr"] != consequent))
+    t = with_cons.select(F.explode(pairs).alias("p"), "cons")
+    triples = t.select(*_item_columns("p.x", 1), *_item_columns("p.y", 2), F.explode("cons").alias("c"))
+    triples = triples.select("attr1", "val1", "attr2", "val2", *_item_columns("c", 3))
     if f2 is not None:
         keys = f2.select("attr1", "val1", "attr2", "val2")
-        pairs = pairs.join(keys, ["attr1", "val1", "attr2", "val2"], "left_semi")
-    triples = pairs.join(cons, "uid")
-    if f2 is not None:
+        triples = triples.join(keys, ["attr1", "val1", "attr2", "val2"], "left_semi")
         cons_keys = f2.filter(F.col("attr2") == consequent).select(
             "attr1", "val1", F.col("attr2").alias("attr3"), F.col("val2").alias("val3"))
         triples = triples.join(cons_keys, ["attr1", "val1", "attr3", "val3"], "left_semi")
@@ -217,8 +269,8 @@ class RuleSet:
 def mine_rules(items: DataFrame, supp: int, conf: float, prot: float,
                consequent: str = "vdecile", protected: str = "race",
                materialize_as: str | None = "checkpoint", any_position: bool = False) -> RuleSet:
-    """All levels at once.  The long item table and the small frequent
-    tables are computed once each (``materialize_as``: "checkpoint",
+    """All levels at once.  The long item table, its baskets and the small
+    frequent tables are computed once each (``materialize_as``: "checkpoint",
     "persist" or None) so that R2, R3 and PD_R3 do not recompute them — the
     reference's views were re-planned for every write.  ``any_position=True``
     puts no condition on the order of attribute names: items that sort after
@@ -227,8 +279,9 @@ def mine_rules(items: DataFrame, supp: int, conf: float, prot: float,
     keep = lambda d: materialize(d, materialize_as)
     items = keep(items)
     f1 = keep(frequent_items(items, supp))
-    f2 = keep(frequent_pairs(items, f1, supp, consequent if any_position else None))
-    f3 = keep(frequent_triples(items, f1, None, supp, consequent, any_position))
+    grouped = keep(baskets(items, f1, consequent))
+    f2 = keep(frequent_pairs(items, f1, supp, consequent if any_position else None, grouped))
+    f3 = keep(frequent_triples(items, f1, None, supp, consequent, any_position, grouped))
     r2 = rules2(f1, f2, conf, consequent)
     r3 = rules3(f2, f3, conf, consequent)
     return RuleSet(f1, f2, f3, r2, r3, protected_rules(r2, r3, prot, protected, any_position))

@@ -4,17 +4,23 @@
   ``\\W+`` tokens (case kept) → hashed term frequencies → IDF → logistic
   regression (20 iterations, regularisation 0.001).
 * ``explain`` re-aims the single-machine LIME library (Ribeiro et al.,
-  2016) as one distributed job: every perturbed copy of every document is
-  generated with Catalyst expressions, all copies are scored by ONE
-  ``model.transform``, and a weighted ridge regression per document runs in
-  ``groupBy(id).applyInPandas``.  A document's group holds
-  ``num_samples`` rows, whatever the corpus size.
+  2016) as one distributed job.  The classifier is linear in the word counts,
+  so what a word adds to the model's raw score is found once per distinct word
+  of all documents, by one ``model.transform``; the score of a perturbed copy is
+  then the sum over the words it keeps, and no copy is written out or tokenised.
 * Perturbation, as in the method: copy ``s`` of a document with ``D``
   distinct words removes exactly ``k`` of them, ``k`` uniform in 1..D, the
-  ``k`` words being those with the smallest ``u(doc, s, word)`` (``u`` = a
+  ``k`` words being those with the smallest ``u(word, doc, s)`` (``u`` = a
   hash-based uniform number: copies are reproducible and independent of
   partitioning).  Every occurrence of a removed word goes.  Copy 0 is the
-  original.
+  original.  :func:`perturbations` gives the same copies as texts, for models
+  that are not linear.
+* Per document, the copies are made in blocks of at most ``CELLS`` draws and kept
+  as one bit per (copy, word); the regression sees them through weighted sums
+  only (:class:`_Sums`), so a document of 20,000 distinct words takes some 13 MB
+  of bits and one block, not a matrix of copies x words.  Weights and targets
+  are rounded to fixed-point numbers whose sums are exact, so they do not
+  depend on the order of the copies or of the blocks.
 * Word choice: forward selection on weighted least squares when at most 6
   words are asked for (the method's "auto" rule), otherwise the largest
   coefficients of a lightly regularised ridge; then a ridge (alpha 1) on
@@ -26,7 +32,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -41,6 +47,8 @@ from civiclens.operators._plan import task_count
 _U_SCALE = float(1 << 53)
 # Copies of a document that are made in one place.
 COPIES_PER_BLOCK = 64
+# Draws (copies x distinct words) of a block of an explanation.
+CELLS = 1 << 20
 
 
 def _uniform(*cols: Column) -> Column:
@@ -122,10 +130,10 @@ def perturbations(docs: DataFrame, num_samples: int = 5000, kernel_width: float
     # word draw of this copy, so exactly k distinct words fall at or below it
     d = F.size("vocab")
     k = F.least(F.floor(_uniform(F.col("id"), F.col("s")) * d).cast("int") + 1, d)
-    draws = F.array_sort(F.transform("vocab", lambda w: _uniform(F.col("id"), F.col("s"), w)))
+    draws = F.array_sort(F.transform("vocab", lambda w: _uniform(w, F.col("id"), F.col("s"))))
     cut = F.when((F.col("s") == 0) | (d == 0), F.lit(-1.0)).otherwise(F.element_at(draws, k))
     copies = copies.withColumn("cut", cut)
-    keep = lambda w: _uniform(F.col("id"), F.col("s"), w) > F.col("cut")
+    keep = lambda w: _uniform(w, F.col("id"), F.col("s")) > F.col("cut")
     copies = copies.select(
         "id", "s",
         F.array_join(F.filter("tokens", keep), " ").alias(text),
@@ -139,87 +147,214 @@ def perturbations(docs: DataFrame, num_samples: int = 5000, kernel_width: float
     return copies.withColumn("weight", weight).drop("d")
 
 
-def _ridge(X: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float) -> np.ndarray:
-    """Weighted ridge with intercept; solved in sample space (n ≤ d)."""
-    sw = w / w.sum()
-    Xc = X - sw @ X
-    yc = y - sw @ y
-    r = np.sqrt(w)
-    A = Xc * r[:, None]
-    b = yc * r
-    n, d = A.shape
-    if n < d:
-        return A.T @ np.linalg.solve(A @ A.T + alpha * np.eye(n), b)
-    return np.linalg.solve(A.T @ A + alpha * np.eye(d), A.T @ b)
-
-
-def _forward_selection(X: np.ndarray, y: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
-    """Greedy choice of k columns maximising the weighted R^2 of a least
-    squares fit with intercept (first column wins ties).
-
-    Candidates are kept orthogonal (weighted) to the chosen columns, so the
-    gain of adding column j is ``(r . x_j)^2 / (x_j . x_j)`` for all j at
-    once: O(n * d) per step instead of one regression per candidate.
+# Fixed values of the published xxHash-64 algorithm, as Spark's xxhash64 has it.
+_P1, _P2, _P3, _P5 = (np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+
+
+def _hash_int(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """``xxhash64`` of an INT column behind columns whose hash is ``seed``."""
+    h = (seed + _P5 + np.uint64(4)) ^ (value * _P1)
+    h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * _P2 + _P3
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+class _Sums:
+    """Weighted sums over 0/1 rows that are kept as bits: what the regressions
+    need to know of the copies."""
+
+    def __init__(self, n_words: int, n_rows: int):
+        self.n, self.bits, self.w, self.y = n_words, [], [], []
+        # sums of so many fixed-point numbers below 1 are exact doubles
+        self.unit = 2.0 ** (52 - max(1, int(n_rows)).bit_length())
+
+    def add(self, kept: np.ndarray, weight: np.ndarray, target: np.ndarray) -> None:
+        self.bits.append(np.packbits(kept, axis=1))
+        self.w.append(np.rint(weight * self.unit))
+        self.y.append(np.rint(weight * target * self.unit))
+
+    def blocks(self):
+        for bits, w, y in zip(self.bits, self.w, self.y):
+            yield np.unpackbits(bits, axis=1, count=self.n), w, y
+
+    def close(self) -> None:
+        """Sums of w, w y, and per word of w x and w x y; then the weighted
+        (co)variances of the words with themselves and with the target."""
+        self.total = sum(w.sum() for w in self.w)
+        self.mean_y = sum(y.sum() for y in self.y) / self.total
+        x, xy = np.zeros(self.n), np.zeros(self.n)
+        for kept, w, y in self.blocks():
+            x += w @ kept
+            xy += y @ kept
+        self.x = x
+        self.var = (x - x * x / self.total) / self.unit
+        self.cov_y = (xy - x * self.mean_y) / self.unit
+
+    def cov(self, j: int) -> np.ndarray:
+        """Weighted covariances of word j with all words."""
+        both = np.zeros(self.n)
+        for kept, w, _ in self.blocks():
+            both += (w * kept[:, j]) @ kept
+        return (both - self.x * (self.x[j] / self.total)) / self.unit
+
+    def cov_times(self, v: np.ndarray) -> np.ndarray:
+        """The matrix of covariances times a vector."""
+        out, mean = np.zeros(self.n), self.x @ v / self.total
+        for kept, w, _ in self.blocks():
+            out += (w * (kept @ v - mean)) @ kept
+        return out / self.unit
+
+
+def _select(var: np.ndarray, cov_y: np.ndarray, cov, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy choice of k words maximising the weighted R^2 of a least squares
+    fit with intercept (first word wins ties), and the covariances of the chosen.
+
+    A row of covariances is asked for per chosen word; with the rows so far the
+    remaining words are kept orthogonal to the chosen ones (a Cholesky
+    factorisation that grows by its best pivot), so the gain of word j is
+    ``cov_y[j]^2 / var[j]`` for all j at once.
     """
-    sw = w / w.sum()
-    Xc = (X - sw @ X) * np.sqrt(w)[:, None]
-    r = (y - sw @ y) * np.sqrt(w)
-    chosen: list[int] = []
-    for _ in range(min(k, X.shape[1])):
-        norms = np.einsum("ij,ij->j", Xc, Xc)
-        gain = np.where(norms > 1e-12, (r @ Xc) ** 2 / np.maximum(norms, 1e-300), 0.0)
+    var, cov_y = var.copy(), cov_y.copy()
+    least = 1e-12 * max(1.0, float(var.max(initial=0.0)))
+    chosen, rows, factor = [], [], []
+    for _ in range(min(k, len(var))):
+        gain = np.where(var > least, cov_y ** 2 / np.maximum(var, 1e-300), 0.0)
         gain[chosen] = -1.0
         j = int(np.argmax(gain))
         chosen.append(j)
-        if norms[j] > 1e-12:
-            q = Xc[:, j] / np.sqrt(norms[j])
-            r = r - q * (q @ r)
-            Xc = Xc - np.outer(q, q @ Xc)
-    return np.array(chosen, dtype=int)
-
-
-def _explain_group(num_features: int):
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc = int(pdf["id"].iloc[0])
-        vocab = list(pdf.loc[pdf["s"] == 0, "vocab"].iloc[0])
-        X = np.stack([np.asarray(k, dtype=float) for k in pdf["kept"]])
-        y = pdf["target"].to_numpy(dtype=float)
-        w = pdf["weight"].to_numpy(dtype=float)
-        if X.shape[1] == 0:  # a document without words has no explanation
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"),
-                                 "word": pd.Series([], dtype="object"),
-                                 "weight": pd.Series([], dtype="float64"),
-                                 "rank": pd.Series([], dtype="int32")})
-        k = min(num_features, X.shape[1])
-        if num_features <= 6:
-            chosen = _forward_selection(X, y, w, k)
-        else:
-            coef = _ridge(X, y, w, 0.01)
-            chosen = np.argsort(-np.abs(coef), kind="stable")[:k]
-        final = _ridge(X[:, chosen], y, w, 1.0)
-        order = np.argsort(-np.abs(final), kind="stable")
-        return pd.DataFrame({
-            "id": [doc] * k,
-            "word": [vocab[chosen[i]] for i in order],
-            "weight": [float(final[i]) for i in order],
-            "rank": list(range(1, k + 1)),
-        })
-    return solve
+        rows.append(cov(j))
+        if var[j] > least:
+            q = (rows[-1] - sum((f[j] * f for f in factor), np.zeros(len(var)))) / np.sqrt(var[j])
+            factor.append(q)
+            cov_y = cov_y - q * (cov_y[j] / np.sqrt(var[j]))
+            var = var - q * q
+    return np.array(chosen, dtype=int), np.array([r[chosen] for r in rows])
+
+
+def _forward_selection(X: np.ndarray, y: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
+    """:func:`_select` for rows that are at hand."""
+    w = w / w.sum()
+    Xc, yc = X - w @ X, y - w @ y
+    return _select(w @ Xc ** 2, (w * yc) @ Xc, lambda j: (w * Xc[:, j]) @ Xc, k)[0]
+
+
+def _ridge_of_all(sums: _Sums, alpha: float) -> np.ndarray:
+    """Weighted ridge on all words, by conjugate gradients: it needs products
+    with the covariances only, no matrix."""
+    beta = np.zeros(sums.n)
+    r = sums.cov_y.copy()
+    p, size = r.copy(), r @ r
+    first = size
+    for _ in range(20 * sums.n):
+        if size <= 1e-24 * first:
+            break
+        q = sums.cov_times(p) + alpha * p
+        step = size / (p @ q)
+        beta += step * p
+        r -= step * q
+        size, before = r @ r, size
+        p = r + (size / before) * p
+    return beta
+
+
+def _probability(raw: np.ndarray, target: int) -> np.ndarray:
+    """The model's probability of a class from its raw scores (rows)."""
+    if raw.shape[1] == 2:
+        return 1.0 / (1.0 + np.exp(-raw[:, target]))
+    e = np.exp(raw - raw.max(axis=1, keepdims=True))
+    return e[:, target] / e.sum(axis=1)
+
+
+def copy_sums(seeds: np.ndarray, effects: np.ndarray, base: np.ndarray, doc_seed: int,
+              num_samples: int, target: int, kernel_width: float = 25.0) -> _Sums:
+    """The copies of one document as :class:`_Sums`.  ``seeds``: ``xxhash64(word,
+    id)`` of its distinct words, ``effects``: what each adds to the raw scores
+    ``base`` of a text without words."""
+    d = len(seeds)
+    sums, step = _Sums(d, num_samples), max(1, CELLS // d)
+    for a in range(0, num_samples, step):
+        s = np.arange(a, min(a + step, num_samples)).astype(np.uint64)
+        draws = _hash_int(s[:, None], seeds[None, :]) >> np.uint64(11)
+        u = (_hash_int(s, np.uint64(doc_seed)) >> np.uint64(11)).astype(float) / _U_SCALE
+        k = np.minimum(np.floor(u * d).astype(int) + 1, d)
+        cut = np.sort(draws, axis=1)[np.arange(len(s)), k - 1]
+        kept = draws > cut[:, None]
+        if a == 0:
+            kept[0] = True
+        apart = (1.0 - np.sqrt(kept.sum(axis=1) / d)) * 100.0
+        weight = np.sqrt(np.exp(-(apart * apart) / (kernel_width * kernel_width)))
+        sums.add(kept, weight, _probability(base + kept @ effects, target))
+    sums.close()
+    return sums
+
+
+def explain_copies(sums: _Sums, num_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the chosen words and their weights, the heaviest first."""
+    k = min(num_features, sums.n)
+    if num_features <= 6:
+        chosen, cov = _select(sums.var, sums.cov_y, sums.cov, k)
+    else:
+        chosen = np.argsort(-np.abs(_ridge_of_all(sums, 0.01)), kind="stable")[:k]
+        cov = np.array([sums.cov(j)[chosen] for j in chosen])
+    final = np.linalg.solve(cov + np.eye(k), sums.cov_y[chosen])
+    order = np.argsort(-np.abs(final), kind="stable")
+    return chosen[order], final[order]
+
+
+def _explain_rows(base: list[float], num_features: int, num_samples: int, target: int):
+    def run(batches):
+        for batch in batches:
+            ids, words, weights, ranks = [], [], [], []
+            for row in range(batch.num_rows):
+                w = batch.column("words")[row].values
+                effects = np.stack(w.field("effect").to_numpy(zero_copy_only=False))
+                sums = copy_sums(w.field("seed").to_numpy().view(np.uint64), effects, np.array(base),
+                                 batch.column("seed")[row].as_py() % (1 << 64), num_samples, target)
+                chosen, final = explain_copies(sums, num_features)
+                names = w.field("word")
+                ids += [batch.column("id")[row].as_py()] * len(chosen)
+                words += [names[int(j)].as_py() for j in chosen]
+                weights += final.tolist()
+                ranks += range(1, len(chosen) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(words, pa.string()), pa.array(weights, pa.float64()),
+                 pa.array(ranks, pa.int32())], names=["id", "word", "weight", "rank"])
+    return run
+
+
+def word_effects(model: PipelineModel, words: DataFrame) -> tuple[DataFrame, list[float]]:
+    """``word, effect``: what one occurrence of each distinct ``word`` adds to the
+    raw scores of the classes; and the raw scores of a text without words.  The
+    last stage must be linear in the features, as logistic regression is."""
+    linear = PipelineModel(stages=model.stages[2:])
+    raw = vector_to_array(F.col("rawPrediction"))
+    nothing = words.sparkSession.range(1).select(F.array().cast("array<string>").alias("words"))
+    base = list(linear.transform(nothing).select(raw.alias("raw")).first()["raw"])
+    scored = linear.transform(words.select("word").distinct().withColumn("words", F.array("word")))
+    start = F.array(*[F.lit(b) for b in base])
+    return scored.select("word", F.zip_with(raw, start, lambda x, b: x - b).alias("effect")), base
 
 
 def explain(model: PipelineModel, docs: DataFrame, num_features: int = 6,
             num_samples: int = 5000, target_class: int = 1, key: str = "id",
             text: str = "text") -> DataFrame:
     """Word-level explanations ``(id, word, weight, rank)`` of the model's
-    probability for ``target_class``, ``num_features`` words per document."""
-    copies = perturbations(docs, num_samples, key=key, text=text)
-    # the copies have no category: every stage but the label index
-    scored = PipelineModel(stages=model.stages[1:]).transform(copies)
-    scored = scored.select(
-        "id", "s", "kept", "weight", "vocab",
-        F.element_at(vector_to_array(F.col("probability")), target_class + 1).alias("target"))
-    return scored.groupBy("id").applyInPandas(
-        _explain_group(num_features), "id long, word string, weight double, rank int")
+    probability for ``target_class``, ``num_features`` words per document
+    (``key`` a whole number, unique).  A document without words has none."""
+    tokens = docs.select(F.col(key).cast("long").alias("id"),
+                         F.posexplode(word_tokens(F.col(text))).alias("place", "word"))
+    words = tokens.groupBy("id", "word").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"))
+    effects, base = word_effects(model, words)
+    words = words.join(effects, "word").select("id", F.struct(
+        "place", "word", F.xxhash64("word", "id").alias("seed"),
+        F.transform("effect", lambda e: e * F.col("n")).alias("effect")).alias("w"))
+    rows = words.groupBy("id").agg(F.array_sort(F.collect_list("w")).alias("words"))
+    # few bytes, much work: one row per document, spread over all tasks
+    rows = rows.repartition(task_count(docs), "id").select("id", F.xxhash64("id").alias("seed"), "words")
+    return rows.mapInArrow(_explain_rows(base, num_features, num_samples, target_class),
+                           "id long, word string, weight double, rank int")
 
 
 def word_weights(explanations: DataFrame) -> DataFrame:

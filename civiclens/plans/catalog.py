@@ -306,7 +306,15 @@ class _Levels:
     def __init__(self, items: DataFrame):
         self._raw = items
         self._items = None
-        self._f1 = self._f2 = self._f3 = None
+        self._f1 = self._f2 = self._f3 = self._baskets = None
+
+    @property
+    def baskets(self) -> DataFrame:
+        """The frequent items of every uid, grouped by one shuffle for the
+        pairs and the triples."""
+        if self._baskets is None:
+            self._baskets = materialize(rules.baskets(self.items, self.f1(), RULE_CONSEQUENT))
+        return self._baskets
 
     @property
     def items(self) -> DataFrame:
@@ -328,7 +336,7 @@ class _Levels:
 
     def f2(self, keep: bool = True):
         if self._f2 is None:
-            f2 = rules.frequent_pairs(self.items, self.f1(), RULE_SUPP)
+            f2 = rules.frequent_pairs(self.items, self.f1(), RULE_SUPP, grouped=self.baskets)
             if not keep:
                 return f2
             self._f2 = materialize(f2)
@@ -336,7 +344,8 @@ class _Levels:
 
     def f3(self, keep: bool = True):
         if self._f3 is None:
-            f3 = rules.frequent_triples(self.items, self.f1(), None, RULE_SUPP, RULE_CONSEQUENT)
+            f3 = rules.frequent_triples(self.items, self.f1(), None, RULE_SUPP, RULE_CONSEQUENT,
+                                        grouped=self.baskets)
             if not keep:
                 return f3
             self._f3 = materialize(f3)

@@ -199,14 +199,43 @@ def q_document_files(spark, sf_dir):
 
 @register("merged_documents", _SEGMENT_NATIONS)
 def q_merged_documents(spark, sf_dir):
-    """K4: all documents under one root key."""
-    docs = _segment_documents(spark, sf_dir)
+    """All documents under one root key in one file, read back by the
+    reader of documents."""
+    docs, path = _segment_documents(spark, sf_dir), _folder(spark)
     kind = docs.schema.simpleString()
-    return (writers.merge_documents(docs)
-            .select(F.explode(F.from_json("json", f"struct<datasets:array<{kind}>>")["datasets"]).alias("d"))
+    writers.write_merged_documents(docs, path, ["dataset_name"])
+    return (readers.read_documents(spark, path, f"datasets array<{kind}>")
+            .select(F.explode("datasets").alias("d"))
             .select("d.dataset_name", F.explode("d.nations").alias("n")).select("dataset_name", "n.*"))
 
 
+@register("sorted_file", """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS line_number,
+       o_orderkey || ',' || o_orderstatus AS line
+FROM orders
+""")
+def q_sorted_file(spark, sf_dir):
+    """A result as one sorted file, its lines numbered by their place."""
+    path = _folder(spark)
+    orders = Tables(spark, sf_dir).orders.select(
+        F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("value"), "o_totalprice", "o_orderkey")
+    writers.write_sorted_single(orders, path, [F.col("o_totalprice").desc(), "o_orderkey"])
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    return rel.row_index(lines, ["block", "row"], "line_number").select(
+        "line_number", F.col("value").alias("line"))
+
+
+@register("sample_rows", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('10|' || o_orderkey), o_orderkey LIMIT 100
+""")
+def q_sample_rows(spark, sf_dir):
+    """A random sample that depends on the keys only (the limit is the
+    feature)."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
+    return rel.sample_rows(orders, 100, ["o_orderkey"])
+
+
 @register("skip_finished", """
 SELECT DISTINCT c_mktsegment AS dataset_name, c_nationkey AS column_id FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM customer d WHERE d.c_mktsegment = c.c_mktsegment

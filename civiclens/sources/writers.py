@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civiclens.operators._plan import global_rank
+
 
 def format_rows(df: DataFrame, fmt: str, cols: Sequence[str | Column],
                 out: str = "value") -> DataFrame:
@@ -64,7 +66,8 @@ def write_documents(docs: DataFrame, path: str, mode: str = "overwrite",
 def merge_documents(docs: DataFrame, root_key: str = "datasets") -> DataFrame:
     """All documents under one root key as a single JSON string
     (``{"datasets": [...]}``).  One row per dataset goes into one group,
-    so use it for result documents, not for data."""
+    so use it for result documents, not for data; many documents go to
+    :func:`write_merged_documents`."""
     return docs.agg(F.to_json(F.struct(
         F.array_sort(F.collect_list(F.struct(*docs.columns))).alias(root_key))).alias("json"))
 
@@ -92,8 +95,82 @@ def skip_finished(targets: DataFrame, finished: DataFrame, keys: Sequence[str])
     return targets.join(finished.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def _file_system(spark, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _join_files(spark, folders: Sequence[str], target: str) -> None:
+    """The part files of the folders, in order, as the one file ``target``.
+
+    A file system that can join files (HDFS) only changes its directory; on
+    others the driver copies the bytes from stream to stream, holding none.
+    """
+    fs, hadoop_path = _file_system(spark, target)
+    parts = []
+    for folder in folders:
+        names = sorted(str(s.getPath()) for s in fs.listStatus(hadoop_path(folder))
+                       if s.getPath().getName().startswith("part-"))
+        parts += [hadoop_path(n) for n in names if fs.getFileStatus(hadoop_path(n)).getLen() > 0]
+    out = fs.create(hadoop_path(target), True)
+    if fs.getUri().getScheme() == "hdfs":
+        out.close()
+        array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, p in enumerate(parts):
+            array[i] = p
+        if parts:
+            fs.concat(hadoop_path(target), array)
+        return
+    try:
+        for p in parts:
+            stream = fs.open(p)
+            try:
+                spark._jvm.org.apache.commons.io.IOUtils.copyLarge(stream, out)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+
+
+def _write_joined(spark, frames: Sequence[DataFrame], path: str, mode: str) -> None:
+    """Text frames, each in the order of its partitions, as the single file
+    ``part-00000`` of the folder ``path``."""
+    path = path.rstrip("/")
+    fs, hadoop_path = _file_system(spark, path)
+    if fs.exists(hadoop_path(path)):
+        if mode == "ignore":
+            return
+        if mode != "overwrite":
+            raise FileExistsError(path)
+        fs.delete(hadoop_path(path), True)
+    folders = [f"{path}/_parts/{i}" for i in range(len(frames))]
+    for df, folder in zip(frames, folders):
+        df.write.text(folder)
+    _join_files(spark, folders, f"{path}/part-00000")
+    fs.delete(hadoop_path(f"{path}/_parts"), True)
+    fs.create(hadoop_path(f"{path}/_SUCCESS"), True).close()
+
+
 def write_sorted_single(df: DataFrame, path: str, order: Sequence[str | Column],
                         mode: str = "overwrite") -> None:
-    """A small result as one sorted text file (the reference's
-    ``getmerge`` + ``sort``).  Range-sorted first, then one partition."""
-    df.orderBy(*order).coalesce(1).write.mode(mode).text(path)
+    """One string column as one sorted text file (the reference's
+    ``getmerge`` + ``sort``): range-sorted part files, joined in order by the
+    file system, so no task holds the whole."""
+    ordered = df.orderBy(*order).select(df.columns[0])
+    _write_joined(df.sparkSession, [ordered], path, mode)
+
+
+def write_merged_documents(docs: DataFrame, path: str, order: Sequence[str],
+                           root_key: str = "datasets", mode: str = "overwrite") -> None:
+    """All documents in the order of ``order`` (a total order) under one root key
+    as one JSON file: ``{"datasets": [`` and ``]}`` around range-sorted part files
+    with a document a line.  No aggregate holds the documents."""
+    spark = docs.sparkSession
+    ranked = global_rank(docs, list(order), "_place")
+    comma = F.when(F.col("_place") == 0, F.lit("")).otherwise(F.lit(","))
+    lines = (ranked.orderBy("_place")
+                   .select(F.concat(comma, F.to_json(F.struct(*docs.columns))).alias("value")))
+
+    def line(text):
+        return spark.range(1).coalesce(1).select(F.lit(text).alias("value"))
+    _write_joined(spark, [line(f'{{"{root_key}": ['), lines, line("]}")], path, mode)

@@ -59,3 +59,35 @@ def test_anti_join_keeps_null_keys(spark):
     left = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4), ("b", 5)], "k string, v int")
     right = spark.createDataFrame([("a",), (None,)], "k string")
     assert sorted(r.v for r in rel.unresolved(left, right, "k").collect()) == [1, 2, 4, 5]
+
+
+def test_rank_without_checkpoint(spark):
+    """The same ranks under another partitioning and order of rows, NULLs and
+    strings among the keys, and nothing written down."""
+    import random
+
+    from civiclens.operators._plan import global_rank
+    rng = random.Random(1)
+    rows = [(rng.choice([None, "a", "b", "ä", ""]), rng.choice([None, 1.5, -2.0]), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "s string, v double, k int")
+    ranks = []
+    for d in (df.repartition(7), df.orderBy(F.rand(3)).coalesce(2)):
+        out = global_rank(d, ["s", "v", "k"], "r", partitions=9)
+        ranks.append({r.k: r.r for r in out.collect()})
+    want = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0, r[2]))
+    assert ranks[0] == ranks[1] == {r[2]: i for i, r in enumerate(want)}
+
+
+def test_rank_of_few_rows(spark):
+    from civiclens.operators._plan import global_rank
+    df = spark.createDataFrame([(i,) for i in range(3)], "k int")
+    assert sorted((r.k, r.r, r._total) for r in global_rank(df, ["k"], "r").collect()) == [(0, 0, 3), (1, 1, 3), (2, 2, 3)]
+    assert global_rank(df.filter("k > 5"), ["k"], "r").count() == 0
+
+
+def test_ranges_are_even(spark):
+    from civiclens.operators._plan import range_of, range_splitters
+    keys = spark.range(100000).select(F.struct(F.expr("id * id").alias("a")).alias("k"))
+    cut = range_splitters(keys, 20)
+    n = [r["count"] for r in keys.groupBy(range_of(F.col("k"), cut, 20)).count().collect()]
+    assert len(n) == 20 and min(n) > 2500 and max(n) < 10000

@@ -111,3 +111,47 @@ def test_any_position_has_rules_on_both_sides_of_the_consequent(spark):
     triple = lambda r: ((r.attr1, r.val1), (r.attr2, r.val2), (r.attr3, r.val3))
     assert {triple(r): round(r.conf, 9) for r in got.r3.collect()} == {k: round(v, 9) for k, v in r3.items()}
     assert {triple(r): round(r.prot, 9) for r in got.pd_r3.collect()} == {k: round(v, 9) for k, v in pd.items()}
+
+
+def test_uids_with_many_items(spark):
+    """Baskets that are cut, repeated items, several consequent items a uid."""
+    rnd = random.Random(9)
+    rows = [(u, f"a{rnd.randrange(12):02}", rnd.randrange(2)) for u in range(40) for _ in range(rnd.choice([3, 30]))]
+    rows += [(u, "vdecile", rnd.randrange(3)) for u in range(40) for _ in range(2)] + [(None, "a01", 1)] * 50
+    items = spark.createDataFrame(rows, "uid int, attr string, val int")
+    f1 = rules.frequent_items(items, 5)
+    grouped = rules.baskets(items, f1, "vdecile", size=4)
+    assert grouped.selectExpr("max(size(items))").first()[0] == 4
+    by_uid = {}
+    for uid, a, v in rows:
+        if uid is not None:
+            by_uid.setdefault(uid, []).append((a, v))
+    c2, c3, both = Counter(), Counter(), Counter()
+    ok = {(r.attr, r.val) for r in f1.collect()}
+    for its in by_uid.values():
+        its = [i for i in its if i in ok]
+        for x, y in itertools.permutations(its, 2):
+            if x[0] < y[0]:
+                c2[x + y] += 1
+            elif y[0] == "a05" and x[0] != "a05":
+                both[x + y] += 1
+        for x, y in itertools.permutations(its, 2):
+            for z in its:
+                if x[0] < y[0] and z[0] == "vdecile" and y[0] != "vdecile":
+                    c3[x + y + z] += 1
+    least = 6
+    keep = lambda c: {k: n for k, n in c.items() if n >= least}
+    assert {tuple(r)[:4]: r.supp for r in rules.frequent_pairs(items, f1, least, grouped=grouped).collect()} == keep(c2)
+    assert {tuple(r)[:4]: r.supp for r in rules.frequent_pairs(items, f1, least, "a05", grouped).collect()} == keep(c2 + both)
+    assert {tuple(r)[:6]: r.supp for r in rules.frequent_triples(
+        items, f1, None, least, "vdecile", grouped=grouped).collect()} == keep(c3)
+    assert {tuple(r)[:4]: r.supp for r in rules.frequent_pairs(items, f1, least).collect()} == keep(c2)
+
+
+def test_one_shuffle_by_uid(spark):
+    items = spark.createDataFrame(_long_table(), "uid int, attr string, val int")
+    grouped = rules.baskets(items, rules.frequent_items(items, 20), "vdecile")
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(uid") == 1
+    f3 = rules.frequent_triples(items, rules.frequent_items(items, 20), None, 20)
+    assert "hashpartitioning(uid" not in f3._jdf.queryExecution().executedPlan().toString()

@@ -3,6 +3,8 @@
 import gzip
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from civiclens.sources import readers, writers
@@ -116,3 +118,22 @@ def test_unreadable_target_is_quarantined(spark, tmp_path):
     (tmp_path / "t.txt").write_text("['gone.col.txt.gz']")
     _, bad = drivers.label_target_columns(spark, str(tmp_path / "t.txt"), str(tmp_path), suffix=".tsv")
     assert [r.dataset_name for r in bad.collect()] == ["gone"]
+
+
+def test_one_file_in_order(spark, tmp_path):
+    import json
+    from civiclens.sources import writers
+    df = spark.range(5000).select(F.format_string("%05d", F.expr("4999 - id")).alias("value")).repartition(9)
+    for _ in range(2):  # the second overwrites the first
+        writers.write_sorted_single(df, str(tmp_path / "one"), ["value"])
+    (part,) = [f for f in os.listdir(tmp_path / "one") if f.startswith("part-")]
+    assert (tmp_path / "one" / part).read_text().split() == [f"{i:05d}" for i in range(5000)]
+    with pytest.raises(FileExistsError):
+        writers.write_sorted_single(df, str(tmp_path / "one"), ["value"], mode="error")
+    docs = spark.createDataFrame([(f"d{i:03}", [i]) for i in range(300)], "name string, v array<int>").repartition(7)
+    writers.write_merged_documents(docs, str(tmp_path / "m"), ["name"])
+    (part,) = [f for f in os.listdir(tmp_path / "m") if f.startswith("part-")]
+    assert json.loads((tmp_path / "m" / part).read_text()) == {"datasets": [{"name": f"d{i:03}", "v": [i]} for i in range(300)]}
+    writers.write_merged_documents(docs.filter("name > 'x'"), str(tmp_path / "e"), ["name"])
+    (part,) = [f for f in os.listdir(tmp_path / "e") if f.startswith("part-")]
+    assert json.loads((tmp_path / "e" / part).read_text()) == {"datasets": []}

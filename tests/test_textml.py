@@ -108,3 +108,67 @@ def test_two_labels_give_a_binary_model(spark):
     rows = [(i, "a" if i % 2 else "b", "x y" if i % 2 else "z w") for i in range(20)]
     model = textml.fit(spark.createDataFrame(rows, "id int, category string, text string"))
     assert model.stages[-1].numClasses == 2
+
+
+def test_explanations_equal_a_dense_fit(spark):
+    import numpy as np
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    df = _corpus(spark)
+    model = textml.fit(df)
+    text = "prayer logic church, logic of claim and God: argument proof Jesus logic"
+    doc = spark.createDataFrame([(7, text)], "id long, text string")
+    copies = PipelineModel(stages=model.stages[1:]).transform(textml.perturbations(doc, num_samples=400))
+    rows = copies.select("s", "kept", "vocab", "weight", vector_to_array("probability").alias("p")).collect()
+    rows.sort(key=lambda r: r.s)
+    X = np.array([r.kept for r in rows], float)
+    y, w = np.array([r.p[1] for r in rows]), np.array([r.weight for r in rows])
+    for k in (4, 7):
+        sw = w / w.sum()
+        Xc, yc = (X - sw @ X) * np.sqrt(w)[:, None], (y - sw @ y) * np.sqrt(w)
+        if k <= 6:
+            chosen = textml._forward_selection(X, y, w, k)
+        else:
+            beta = np.linalg.solve(Xc.T @ Xc + 0.01 * np.eye(X.shape[1]), Xc.T @ yc)
+            chosen = np.argsort(-np.abs(beta), kind="stable")[:k]
+        A = Xc[:, chosen]
+        final = np.linalg.solve(A.T @ A + np.eye(k), A.T @ yc)
+        want = sorted(zip((rows[0].vocab[j] for j in chosen), final), key=lambda x: -abs(x[1]))
+        got = textml.explain(model, doc, num_features=k, num_samples=400).orderBy("rank").collect()
+        assert [r.word for r in got] == [x for x, _ in want]
+        assert max(abs(r.weight - x) for r, (_, x) in zip(got, want)) < 1e-6
+    assert textml.explain(model, spark.createDataFrame([(1, "?!"), (2, None)], "id long, text string")).count() == 0
+
+
+def test_explanation_of_three_classes(spark):
+    rows = [(i, "abc"[i % 3], ["red sun", "blue sea", "green tree"][i % 3] + " and") for i in range(30)]
+    model = textml.fit(spark.createDataFrame(rows, "id long, category string, text string"))
+    doc = spark.createDataFrame([(1, "red sea and tree")], "id long, text string")
+    got = textml.explain(model, doc, 2, 300, target_class=2).collect()
+    assert got[0].word == "tree" and got[0].weight > 0
+
+
+def test_memory_of_a_long_document():
+    """20,000 distinct words, 5,000 copies: bits and one block, not 0.8 GB."""
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    seeds, effects = rng.integers(0, 1 << 63, 20000).astype(np.uint64), rng.normal(size=(20000, 2)) / 100
+    tracemalloc.start()
+    sums = textml.copy_sums(seeds, effects, np.zeros(2), 5, 5000, 1)
+    chosen, final = textml.explain_copies(sums, 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20 and len(set(chosen.tolist())) == 6 and np.abs(final).min() > 0
+
+
+def test_sums_do_not_depend_on_blocks(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    seeds, effects = rng.integers(0, 1 << 63, 50).astype(np.uint64), rng.normal(size=(50, 2))
+    a = textml.copy_sums(seeds, effects, np.zeros(2), 5, 700, 1)
+    monkeypatch.setattr(textml, "CELLS", 1000)
+    b = textml.copy_sums(seeds, effects, np.zeros(2), 5, 700, 1)
+    assert len(b.bits) > len(a.bits) and (a.x == b.x).all() and np.allclose(a.cov_y, b.cov_y, atol=1e-9)
