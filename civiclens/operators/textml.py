@@ -277,7 +277,7 @@ def copy_sums(seeds: np.ndarray, effects: np.ndarray, base: np.ndarray, doc_seed
     for a in range(0, num_samples, step):
         s = np.arange(a, min(a + step, num_samples)).astype(np.uint64)
         draws = _hash_int(s[:, None], seeds[None, :]) >> np.uint64(11)
-        u = (_hash_int(s, np.uint64(doc_seed)) >> np.uint64(11)).astype(float) / _U_SCALE
+        u = (_hash_int(s, np.array([doc_seed], np.uint64)) >> np.uint64(11)).astype(float) / _U_SCALE
         k = np.minimum(np.floor(u * d).astype(int) + 1, d)
         cut = np.sort(draws, axis=1)[np.arange(len(s)), k - 1]
         kept = draws > cut[:, None]

@@ -93,8 +93,8 @@ def read_lookup(spark: SparkSession, path: str, key: str = "zip",
 
 def read_manifest(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``path size`` per line, blank-separated.  Adds ``dataset_name`` (file
-    name) and ``valid``: a path must start with '/' and the size must be a
-    number (the reference's list has a path with an id glued in front)."""
+    name) and ``valid``: a path must be absolute (``/...``, also behind a scheme as
+    in ``hdfs:/...``) and the size must be a number (the reference's list has a path with an id glued in front)."""
     raw = spark.read.text(path)
     parts = F.split(F.trim("value"), r"\s+")
     df = raw.select(F.element_at(parts, 1).alias("path"),
@@ -102,7 +102,7 @@ def read_manifest(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return df.select(
         "path", "size",
         F.element_at(F.split("path", "/"), -1).alias("dataset_name"),
-        (F.col("path").startswith("/") & F.col("size").isNotNull()).alias("valid"))
+        (F.col("path").rlike(r"^([A-Za-z][\w+.-]*:)?/") & F.col("size").isNotNull()).alias("valid"))
 
 
 def melt_datasets(spark: SparkSession, paths: Mapping[str, str], partitions: int | None = None,

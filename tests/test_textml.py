@@ -172,3 +172,42 @@ def test_sums_do_not_depend_on_blocks(monkeypatch):
     monkeypatch.setattr(textml, "CELLS", 1000)
     b = textml.copy_sums(seeds, effects, np.zeros(2), 5, 700, 1)
     assert len(b.bits) > len(a.bits) and (a.x == b.x).all() and np.allclose(a.cov_y, b.cov_y, atol=1e-9)
+
+
+def test_fit_equals_newton(spark):
+    """TF-IDF weights and converged coefficients against numpy: weighted L2 on
+    standardised features, solved by Newton steps."""
+    import numpy as np
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF
+
+    df = _corpus(spark).withColumn("text", F.concat("text", F.lit(" "), F.col("id").cast("string")))
+    noisy = df.withColumn("category", F.when(F.col("id") % 7 == 0, "atheism").otherwise(F.col("category")))
+    stages = textml.classifier_stages(max_iter=2000, reg_param=0.01)
+    lr = [s for s in stages.getStages() if isinstance(s, LogisticRegression)][0]
+    lr.setTol(1e-14)
+    model = stages.fit(noisy)
+    rows = model.transform(noisy).select("label", "words", "rawFeatures", "features", "probability").collect()
+    used = np.array(sorted({int(i) for r in rows for i in r.features.indices}))
+    X = np.array([r.features.toArray()[used] for r in rows])
+    y = np.array([r.label for r in rows])
+    tf = np.array([r.rawFeatures.toArray()[used] for r in rows])
+    index = HashingTF(numFeatures=1 << 18)
+    for r in rows[:3]:  # term counts by the hash of each word
+        want = {}
+        for w in r.words:
+            want[index.indexOf(w)] = want.get(index.indexOf(w), 0) + 1
+        assert {int(i): v for i, v in zip(r.rawFeatures.indices, r.rawFeatures.values)} == want
+    assert np.allclose(X, tf * np.log((len(rows) + 1) / ((tf > 0).sum(axis=0) + 1)))
+    n, sd = len(rows), X.std(axis=0, ddof=1)
+    Z, b = np.column_stack([np.ones(n), X / sd]), np.zeros(len(used) + 1)
+    penalty = np.r_[0.0, np.full(len(used), 0.01)]
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-Z @ b))
+        grad = Z.T @ (p - y) / n + penalty * b
+        hess = (Z * (p * (1 - p))[:, None]).T @ Z / n + np.diag(penalty)
+        b -= np.linalg.solve(hess, grad)
+    fitted = model.stages[-1]
+    assert np.abs(fitted.coefficients.toArray()[used] - b[1:] / sd).max() < 1e-5
+    assert abs(fitted.intercept - b[0]) < 1e-5
+    assert np.abs(np.array([r.probability[1] for r in rows]) - 1 / (1 + np.exp(-Z @ b))).max() < 1e-6
