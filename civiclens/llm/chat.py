@@ -9,7 +9,9 @@ their own.
 A dialogue of more than ``max_turns`` turns is cut into segments of that many,
 so no conversation is ever gathered as a whole: turns are numbered by a
 distributed rank.  Every segment is rendered for every participant of the whole
-dialogue, silent ones too, so a participant's segments add up to the dialogue.
+dialogue, silent ones too.  ``text`` is then a slice: a participant's texts in the
+order of ``segment`` joined are the rendering of the dialogue, and the places in
+``loss`` count from the start of their slice.
 
 Defined results: a repeated row (equal conversation, turn, role and text)
 counts once; turns of one number follow in the order of role and text; a null

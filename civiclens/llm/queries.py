@@ -113,14 +113,14 @@ WITH t AS (
   FROM conversations),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM t),
-who AS (SELECT DISTINCT conv_id, pos // 64 AS segment, role AS speaker FROM r WHERE role <> 'system'),
+who AS (SELECT DISTINCT conv_id, role AS speaker FROM r WHERE role <> 'system'),
 p AS (
-  SELECT r.conv_id, segment, speaker, pos, role = speaker AS own,
+  SELECT r.conv_id, pos // 64 AS segment, speaker, pos, role = speaker AS own,
          CASE WHEN role = speaker THEN '<|assistant|>' || chr(10)
               WHEN role = 'system' THEN '<|system|>' || chr(10)
               ELSE '<|user ' || replace(role, '<|', '< |') || '|>' || chr(10) END AS head,
          replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
-  FROM r JOIN who ON who.conv_id = r.conv_id AND who.segment = r.pos // 64),
+  FROM r JOIN who ON who.conv_id IS NOT DISTINCT FROM r.conv_id),
 o AS (
   SELECT *, sum(length(head) + length(body)) OVER (
               PARTITION BY conv_id, segment, speaker ORDER BY pos) AS fin FROM p)
