@@ -126,15 +126,35 @@ class Model:
     def __init__(self, langs, log_prior, log_prob):
         self.langs, self.log_prior, self.log_prob = langs, log_prior, log_prob
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        out = np.tile(self.log_prior, (len(texts), 1))
+    def _sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Log joint probability of each text and language, and the number of
+        n-grams of each text."""
+        out, n = np.tile(self.log_prior, (len(texts), 1)), np.zeros(len(texts), np.int64)
         step = max(1, (1 << 22) // max(1, len(self.langs)))
         for who, what in ngram_buckets(texts):
+            n += np.bincount(who, minlength=len(texts))
             for a in range(0, len(who), step):
                 w = who[a:a + step]
                 starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
                 out[w[starts]] += np.add.reduceat(self.log_prob[what[a:a + step]], starts, axis=0)
-        return out
+        return out, n
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        return self._sums(texts)[0]
+
+    def recognised(self, texts: list[str | None], noise: float = 0.55) -> np.ndarray:
+        """Whether a text is more like its best language than like noise: by its mean
+        log probability per n-gram, on the way from that of the language's own
+        n-grams (0) to that of buckets drawn at random (1), it stands before
+        ``noise``.  Both ends follow from the learned counts."""
+        if not self.langs or not texts:
+            return np.zeros(len(texts), bool)
+        s, n = self._sums(texts)
+        best = s.argmax(axis=1)
+        mean = (s[np.arange(len(texts)), best] - self.log_prior[best]) / np.maximum(n, 1)
+        own = (np.exp(self.log_prob) * self.log_prob).sum(axis=0)
+        bound = own + noise * (self.log_prob.mean(axis=0) - own)
+        return (n > 0) & (mean >= bound[best])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         if not self.langs or not texts:
@@ -149,7 +169,9 @@ def fit(rows: DataFrame, max_docs: int = 2000, alpha: float = 0.5) -> Model:
     """Train on rows (doc_id, text, lang).  ``max_docs`` bounds the sampled
     rows of each language; the sample, not the corpus, is read in full."""
     rows = rows.where(F.col("lang").isNotNull() & _has_letter(F.col("text")))
-    rows = rows.select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("_h"))
+    # rows without a doc_id go by their text
+    own = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    rows = rows.select("doc_id", "text", "lang", own.alias("_h"))
     priors = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
               .limit(MAX_LANGS + 1).collect()}
     if len(priors) > MAX_LANGS:
@@ -157,14 +179,12 @@ def fit(rows: DataFrame, max_docs: int = 2000, alpha: float = 0.5) -> Model:
     langs = sorted(priors)
     if not langs:
         return Model([], np.zeros(0), np.zeros((BUCKETS, 0)))
-    # First the hashes alone, then the texts up to the largest hash kept: the
-    # sort never holds the texts of the whole corpus.
-    w = Window.partitionBy("lang").orderBy("_h")
-    cut = (rows.select("lang", "_h").withColumn("_r", F.row_number().over(w))
-               .where(F.col("_r") <= max_docs).groupBy("lang").agg(F.max("_h").alias("_cut")))
-    cuts = {r["lang"]: r["_cut"] for r in cut.collect()}  # one row a language
+    # From the counts follows the share of hashes that leaves each language a few
+    # more rows than are kept: only those meet in the window, whatever the corpus.
     near = F.lit(False)
-    for lang, top in cuts.items():
+    for lang in langs:
+        share = min(1.0, (max_docs + 8 * max_docs ** 0.5 + 20) / priors[lang])
+        top = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
         near = near | ((F.col("lang") == lang) & (F.col("_h") <= top))
     w = Window.partitionBy("lang").orderBy("_h", F.xxhash64("text"))
     sample = (rows.where(near).withColumn("_r", F.row_number().over(w))
@@ -203,21 +223,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 .mapInArrow(tidy(score), f"doc_id {kind}, held_out boolean, lang_pred string, score double"))
 
 
-def accepted(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a letter in the text and a posterior of at least
-    ``min_score``.  The posterior says which learned language fits best, not
-    whether it fits: it is practically 1 for whole texts of any kind, so foreign
-    scripts and noise are not rejected by it."""
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` with a letter in the text whose language is recognised
+    (:meth:`Model.recognised`).  The posterior cannot tell: it says which learned
+    language fits best, not whether it fits."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
         m = shared.value
         for b in batches:
-            langs, p = m.predict(b.column(names.index("text")).to_pylist())
-            ok = [x != "und" and s >= min_score for x, s in zip(langs, p)]
-            yield b.filter(pa.array(ok, pa.bool_()))
+            yield b.filter(pa.array(m.recognised(b.column(at).to_pylist()), pa.bool_()))
 
-    names = docs.columns
+    at = docs.columns.index("text")
     return docs.where(_has_letter(F.col("text"))).mapInArrow(tidy(keep), docs.schema)
 
 
