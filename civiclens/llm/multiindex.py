@@ -198,7 +198,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, centroids: int = 6
     packed = (index.join(F.broadcast(crowd), "a")  # one row a centroid
                    .groupBy("a", F.pmod(F.xxhash64("v"), F.col("_eb")).alias("_e"))
                    .agg(F.collect_list(F.struct("v", "ids", "b")).alias("e")))
-    near = packed.join(probes, "a").select("e", "q").mapInArrow(
+    # every block of entries of a centroid is a key of its own, with its own copy of
+    # the queries: as many tasks as blocks, not as centroids
+    last = F.col("_eb").cast("long") - 1
+    probes = probes.join(F.broadcast(crowd), "a").select(
+        "a", "q", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_e"))
+    near = packed.join(probes, ["a", "_e"]).select("e", "q").mapInArrow(
         _best(k, width), "key long, score double, ids array<long>")
     w = Window.partitionBy("key").orderBy("score", F.col("ids")[0])
     near = (near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k + 1)
