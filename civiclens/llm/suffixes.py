@@ -284,7 +284,8 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) ->
     again = (occ.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.min("seg").alias("_a"),
                                     F.max("seg").alias("_b"))
                 .where("_n > 1").select("key", (F.col("_a") != F.col("_b")).alias("mixed")))
-    occ = written(occ.join(again, "key"), "segments")
+    # written first: a join of two shuffles can be split where one key is hot
+    occ = written(occ.join(written(again, "again"), "key"), "segments")
     found = occ.where("not mixed").select(*spans)
     mixed = occ.where("mixed")
     kinds = mixed.groupBy("key", "seg").agg(
