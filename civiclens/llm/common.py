@@ -51,21 +51,62 @@ def small_batches(spark: SparkSession, size: str = "8m"):
         spark.conf.set(key, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are :func:`written` in this block are deleted at its end, but
+    for those written to be kept: their last reader has run by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            _delete(spark, path)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: computed
     once for several consumers, lineage cut, and safe when executors go."""
     path = shared_path(df.sparkSession, name)
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a ``written`` frame that nothing reads any more."""
     spark = df.sparkSession
     paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
     for p in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, p)
+
+
+def boxed(df: DataFrame) -> DataFrame:
+    """``df`` as the one column ``row``, a struct: no name of its columns can
+    clash with another column."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def unboxed(columns: list[str], **changed: Column) -> list[Column]:
+    """The columns of a :func:`boxed` frame, some of them changed."""
+    row = F.col("row")
+    return [changed.get(c, row.getField(c)).alias(c) for c in columns]
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with as many ``_`` behind it as no column needs."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def ascii_lower(text: Column) -> Column:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import ascii_lower, join_on, keyed, written
+from civiclens.llm.common import ascii_lower, boxed, join_on, keyed, unboxed, written
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK_ROWS = 150_000  # rows broadcast at a time: some 30 MB
@@ -123,10 +123,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
     found, _ = hits(docs, benchmark, n)
-    bad = found.select(F.col("doc_id").alias("_bad_id"), F.col("_h").alias("_bad_h")).distinct()
-    h = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (h == F.col("_bad_h")),
-                     "left_anti")
+    bad = found.select("doc_id", "_h").distinct()
+    own = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    kept = boxed(docs).join(bad, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (own == F.col("_h")), "left_anti")
+    return kept.select(*unboxed(docs.columns))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
@@ -134,15 +134,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFram
     the texts: a run of hit words goes from the start of its first word to the
     end of its last."""
     found, _ = hits(docs, benchmark, n)
-    marked = spans(found).select(F.col("doc_id").alias("_bad_id"), F.col("_h").alias("_bad_h"),
-                                 F.col("spans").alias("_spans"))
-    h = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    both = docs.join(marked, docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (h == F.col("_bad_h")), "left")
+    own = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    both = boxed(docs).join(spans(found).select("doc_id", "_h", F.col("spans").alias("_spans")),
+                            F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (own == F.col("_h")), "left")
     # The text as (gap, word) pairs; A-Z count as word characters here, as
     # the letters they are lower-cased to do.
     token = r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"
-    pairs = F.struct(F.regexp_extract_all("text", F.lit(token), F.lit(0)).alias("tok"),
-                     F.regexp_extract_all("text", F.lit(token), F.lit(1)).alias("gap"))
+    pairs = F.struct(F.regexp_extract_all("row.text", F.lit(token), F.lit(0)).alias("tok"),
+                     F.regexp_extract_all("row.text", F.lit(token), F.lit(1)).alias("gap"))
     both = both.withColumn("_t", F.explode(F.array(F.when(F.col("_spans").isNotNull(), pairs))))
     zero = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("out"))
 
@@ -157,6 +156,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFram
     def end(acc):
         rest = F.slice("_t.tok", F.greatest(acc["next"], F.lit(1)), F.size("_t.tok"))
         return F.concat(F.array_join(acc["out"], ""), F.array_join(rest, ""))
-    text = (F.when(F.col("_spans").isNull(), F.col("text"))
+    text = (F.when(F.col("_spans").isNull(), F.col("row.text"))
              .otherwise(F.aggregate("_spans", zero, cut, end)))
-    return both.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    return both.select(*unboxed(docs.columns, text=text))

@@ -11,11 +11,12 @@ lines, and no run is left out.  The lines of a pair are aligned: lines that both
 documents hold once are anchors, their longest increasing sequence cuts the rest
 into gaps, and equal lines at a gap's ends are matched as well.  A block of
 aligned neighbouring lines with ``block_words`` words or more is deleted from
-the document with the larger doc_id.  What the alignment leaves there (blocks
-that stand several times in either document, or in another order) is looked up
-by the runs of both: so a line goes exactly if it is in a run of neighbouring
-lines with ``block_words`` words or more that a document with a smaller doc_id
-holds as well.
+the document with the larger doc_id.  Where equal lines are left there (blocks
+that stand several times in either document, or in another order), the rest is
+aligned again, now by its runs and the number of times they have stood before,
+until no run is left that the other document holds.  So a line goes exactly if it
+is in a run of neighbouring lines with ``block_words`` words or more that a
+document with a smaller doc_id holds as well.
 
 Blocks are judged on the input texts, not on what other pairs leave.
 
@@ -23,7 +24,8 @@ Defined results: a null text has no lines and stays null; an empty one has one
 empty line; lines are compared without white space at their ends; rows that
 share a doc_id are not compared with each other; rows with a null doc_id stay
 as they are; an empty table gives an empty result; other columns are kept, and
-none of their names can clash.
+none of their names can clash: a count whose name is taken gets a name with ``_``
+behind it (``common.free_name``).
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import tidy, written
+from civiclens.llm.common import boxed, free_name, scratch, tidy, unboxed, written
 from civiclens.llm.shingles import mix
 
 _BASE = 0x9E3779B97F4A7C15
@@ -133,27 +135,59 @@ def run_keys(lines: np.ndarray, words: np.ndarray, block_words: int) -> np.ndarr
     return np.unique(keys[(words[s] > 0) & (words[e] > 0)])
 
 
+def _seeded(a: list, b: list, has: tuple, left: tuple) -> list[tuple[int, int]]:
+    """One more alignment, by runs: ``left`` are runs of b (first line, last line,
+    key) that a holds among its own, ``has``.  The k-th time a run stands in b it
+    is matched with the k-th time it stands in a (from the front again, if b has
+    it more often); the longest sequence that rises in both is aligned."""
+    places: dict[int, list[int]] = {}
+    for s, key in sorted(set(zip(has[0].tolist(), has[2].tolist()))):
+        places.setdefault(key, []).append(s)
+    times: dict[int, int] = {}
+    pairs, ends = [], {}
+    for s, e, key in sorted(set(zip(*(x.tolist() for x in left)))):
+        k = times[key] = times.get(key, -1) + 1
+        i = places[key][k % len(places[key])]
+        if a[i:i + e - s + 1] == b[s:e + 1]:
+            pairs.append((i, s))
+            ends[s] = max(e, ends.get(s, e))
+    # of equal places in a only one can be in a rising sequence
+    rising = _increasing(sorted(set(pairs), key=lambda p: (p[0], -p[1])))
+    return [(s, ends[s] + 1) for _, s in rising]
+
+
 def common_spans(a: list, b: list, a_words: list[int], b_words: list[int],
                  block_words: int) -> list[tuple[int, int]]:
-    """[start, end) of the lines of b in runs of enough words that a holds as
-    well: the aligned blocks, then the runs that the alignment leaves."""
-    out = aligned_blocks(a, b, b_words, block_words)
+    """[start, end) of the lines of b in blocks that are aligned with a: by lines
+    first, then what is left of b again by its runs, until none is left that a
+    holds."""
     gone = np.zeros(len(b), bool)
-    for s, e in out:
-        gone[s:e] = True
-    held = set(a)
-    if all(g or h not in held for h, g in zip(b, gone.tolist())):
-        return out
-    _, _, has = runs(np.array(a, np.int64).view(np.uint64), np.array(a_words, np.int32), block_words)
-    s, e, keys = runs(np.array(b, np.int64).view(np.uint64), np.array(b_words, np.int32), block_words)
-    found = np.isin(keys, has)
-    step = np.diff(gone.astype(np.int64), prepend=0, append=0)
-    np.add.at(step, s[found], 1)
-    np.add.at(step, e[found] + 1, -1)
-    cut = np.flatnonzero(np.diff((np.cumsum(step) > 0).astype(np.int8), prepend=0))
+    blocks, held = aligned_blocks(a, b, b_words, block_words), set(a)
+    has = own = None
+    while True:
+        for s, e in blocks:
+            gone[s:e] = True
+        if all(g or h not in held for h, g in zip(b, gone.tolist())):
+            break
+        if has is None:
+            has, own = _shared_runs(a, b, a_words, b_words, block_words)
+        covered = np.concatenate([[0], np.cumsum(gone)])
+        open_ = covered[own[1] + 1] - covered[own[0]] <= own[1] - own[0]
+        blocks = _seeded(a, b, has, tuple(x[open_] for x in own))
+        if not blocks:
+            break
+    cut = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
     return list(zip(cut[::2].tolist(), cut[1::2].tolist()))
 
 
+def _shared_runs(a, b, a_words, b_words, block_words):
+    """The runs of both documents that stand in the other as well."""
+    has = runs(np.array(a, np.int64).view(np.uint64), np.array(a_words, np.int32), block_words)
+    own = runs(np.array(b, np.int64).view(np.uint64), np.array(b_words, np.int32), block_words)
+    both = np.intersect1d(has[2], own[2])
+    return tuple(tuple(x[np.isin(r[2], both)] for x in r) for r in (has, own))
+
+
 def _keys(block_words: int):
     def run(batches):
         for b in batches:
@@ -186,6 +220,11 @@ def _align(block_words: int):
 
 def common_blocks(docs: DataFrame, rare: int = 4, block_words: int = 8) -> DataFrame:
     """``doc_id, _h, spans``: the line ranges [s, e) to delete from documents."""
+    with scratch(docs.sparkSession):
+        return written(_common_blocks(docs, rare, block_words), "spans", keep=True)
+
+
+def _common_blocks(docs: DataFrame, rare: int, block_words: int) -> DataFrame:
     line = F.split(F.col("text"), "\n")
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_h"),
@@ -219,18 +258,19 @@ def dedup_lines(docs: DataFrame, rare: int = 4, block_words: int = 8,
     """``docs`` with the common blocks cut from ``text``, and with two more
     columns (both long, named by ``counts``): lines there were, lines cut."""
     found = common_blocks(docs, rare, block_words).select(
-        F.col("doc_id").alias("_bid"), F.col("_h").alias("_bh"), F.col("spans").alias("_spans"))
-    both = docs.join(found, (docs["doc_id"].cast("long") == F.col("_bid"))
-                     & (F.xxhash64(docs["text"]) == F.col("_bh")), "left")
+        F.col("doc_id").alias("id"), F.col("_h").alias("h"), "spans")
+    both, old = boxed(docs), F.col("row.text")
+    both = both.join(found, (F.col("row.doc_id").cast("long") == F.col("id"))
+                     & (F.xxhash64(old) == F.col("h")), "left")
     # explode(array(x)): the split runs once per text, not once per line
-    both = both.withColumn("_lines", F.explode(F.array(F.split(docs["text"], "\n"))))
-    gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["s"], s["e"] - 1))))
-    both = both.withColumn("_gone", F.explode(F.array(gone)))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n"))
-    kept = [text.alias(c) if c == "text" else docs[c] for c in docs.columns
-            if c not in counts]
-    return both.select(*kept, F.when(docs["text"].isNull(), 0).otherwise(F.size("_lines"))
-                       .cast("long").alias(counts[0]),
-                       F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias(counts[1]))
+    both = both.withColumn("lines", F.explode(F.array(F.split(old, "\n"))))
+    gone = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["s"], s["e"] - 1))))
+    both = both.withColumn("gone", F.explode(F.array(gone)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.when(F.col("spans").isNull(), old).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    n_lines = F.when(old.isNull(), 0).otherwise(F.size("lines"))
+    n_gone = F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0))
+    return both.select(*unboxed(docs.columns, text=text),
+                       n_lines.cast("long").alias(free_name(counts[0], docs.columns)),
+                       n_gone.cast("long").alias(free_name(counts[1], docs.columns)))
