@@ -13,13 +13,16 @@ a probability of about 5e-6 in large sets, 9e-6 with 20 shingles in the union,
    only representatives are compared.
 2. In every bucket the members are paired with the bucket's smallest: as many
    pairs as members.  The pairs are confirmed on the full sets.
-3. Components are formed.  Only buckets that hold more than one component are
-   taken up again, with another member as partner of all outside its component,
-   drawn by hash: again as many pairs as members, and a large group of variants
-   soon is one component.  When such a round finds no more links (or after
-   ``PIVOTS`` rounds), members of different components are paired unless their
-   sizes or their parity sketches prove that they cannot be linked.  So no pair of a bucket that could join two components
-   is left open, and a large group costs no pairs within it.
+3. Components are formed.  A bucket that holds several is taken up again with
+   its strays only: the members outside its largest component.  Each is paired
+   with a member of that component, drawn by hash, and with one drawn among the
+   strays: at most two pairs a stray, and a large group of variants soon is one
+   component.  Rounds end when fewer than one stray in ``FEW`` finds a link (or after
+   ``PIVOTS``).
+4. What strays are left are compared with all members of other components in
+   their bucket, unless the sizes or the parity sketches prove that there is no
+   link.  So no pair of a bucket that could join two components is left open, and
+   a large group costs no pairs within it.
 
 Defined results: a document without words has n_shingles 0, is linked with
 nothing and kept; so is one with a null doc_id (its component is null);
@@ -36,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import join_on, tidy, written
+from civiclens.llm.common import boxed, join_on, scratch, tidy, unboxed, written
 from civiclens.llm.components import components
 from civiclens.llm.shingles import linked, mix, shingles
 
 BANDS = 40
 PER_BAND = 3
 PIVOTS = 4
+FEW = 20
 SKETCH = 1024  # bits of the parity sketch
 
 
@@ -142,12 +146,16 @@ def _label(df: DataFrame, label: DataFrame, node: str, out: str) -> DataFrame:
     return df.join(own, node, "left").withColumn(out, F.coalesce("_c", node)).drop("_c")
 
 
-def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
-    """``key, m, l`` (component) in buckets with more than one component."""
-    members = written(_label(members.select("key", "m"), label, "m", "l"), "open")
-    keys = members.groupBy("key").agg(F.min("l").alias("_a"), F.max("l").alias("_b"))
-    keys = keys.where(F.col("_a") != F.col("_b")).select("key")
-    return members.join(keys, "key", "left_semi")
+def _strays(members: DataFrame, label: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(``key, m, l, p``: the members outside the largest component of their
+    bucket, their component and a member of the largest; the labelled members)."""
+    labelled = _label(members, label, "m", "l")
+    parts = labelled.groupBy("key", "l").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("m", F.xxhash64("m", F.lit(turn))).alias("p"))
+    top = parts.groupBy("key").agg(F.max(F.struct("n", "l", "p")).alias("t"), F.count(F.lit(1)).alias("parts"))
+    top = top.where("parts > 1").select(F.col("key").alias("_key"), F.col("t.l").alias("_top"), F.col("t.p").alias("p"))
+    strays = labelled.join(top, (F.col("key") == F.col("_key")) & (F.col("l") != F.col("_top")))
+    return written(strays.select("key", "m", "l", "p"), "strays"), labelled
 
 
 def _new(pairs: DataFrame, done: DataFrame | None, sizes: DataFrame, texts: DataFrame,
@@ -177,21 +185,8 @@ def _merge(label: DataFrame, links: DataFrame) -> DataFrame:
                    .distinct(), "labels")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
-                    bands: int = BANDS) -> DataFrame:
-    """``doc_id, _h, n_shingles, component_id, kept`` for every row of ``docs``
-    (doc_id must be a whole number); _h tells rows of one doc_id apart."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
-    rows = written(docs.mapInArrow(
-        tidy(_sketch(words, bands)), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>, "
-                           "odd array<long>"),
-        "minmax")
-    real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "classes")
-    reps = (real.join(classes.select("s1", "s2", "n", F.col("rep").alias("doc_id")),
-                      ["s1", "s2", "n", "doc_id"]))
+def _components(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node, component`` of the representatives that are linked with others."""
     members = reps.select(F.col("doc_id").alias("m"), F.explode("keys").alias("key"))
     smallest = members.groupBy("key").agg(F.min("m").alias("c"), F.max("m").alias("_top"))
     smallest = smallest.where(F.col("c") != F.col("_top")).select("key", "c")
@@ -207,29 +202,52 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     pairs = members.where("m != c").select(F.col("c").alias("a"), F.col("m").alias("b"))
     found, done = _new(pairs, None, sizes, texts, words, percent)
     label = components(found)
-    # Then with a member drawn anew in every round, and in the end across
-    # the components that still share a bucket.
+    # then strays with members drawn anew in every round, and in the end with all
+    # of other components
     members = members.select("key", "m")
     for turn in range(PIVOTS):
-        members = _open_buckets(members, label)
-        pivot = members.groupBy("key").agg(
-            F.min_by(F.struct(F.col("m").alias("p"), F.col("l").alias("pl")),
-                     F.xxhash64("m", F.lit(turn))).alias("_p")).select("key", "_p.*")
-        more = (members.join(pivot, "key").where(F.col("l") != F.col("pl"))
-                       .select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")))
-        found, done = _new(more, done, sizes, texts, words, percent)
-        if found.isEmpty():
+        strays, _ = _strays(members, label, turn)
+        drawn = strays.groupBy("key").agg(
+            F.min_by(F.struct("m", "l"), F.xxhash64("m", F.lit(turn))).alias("d"))
+        drawn = drawn.select("key", F.col("d.m").alias("q"), F.col("d.l").alias("ql"))
+        among = strays.join(drawn, "key").where(F.col("l") != F.col("ql")).select("m", F.col("q").alias("p"))
+        pairs = strays.select("m", "p").unionByName(among)
+        found, done = _new(pairs.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")),
+                           done, sizes, texts, words, percent)
+        links = found.count()
+        if links:
+            label = _merge(label, found)
+        if links * FEW < strays.count():
             break
-        label = _merge(label, found)
-    members = _open_buckets(members, label).join(
-        sizes.select(F.col("doc_id").alias("m"), "n", "odd"), "m")
-    x = members.select("key", *[F.col(k).alias(f"x_{k}") for k in ("m", "n", "l", "odd")])
-    across = (x.join(members, (x["key"] == members["key"]) & (F.col("x_l") != F.col("l"))
-                     & (F.col("x_m") < F.col("m")) & _possible("x_", "", percent))
-               .select(F.col("x_m").alias("a"), F.col("m").alias("b")))
+    strays, labelled = _strays(members, label, PIVOTS)
+    of = sizes.select(F.col("doc_id").alias("m"), "n", "odd")
+    x = strays.join(of, "m").select("key", *[F.col(k).alias(f"x_{k}") for k in ("m", "n", "l", "odd")])
+    y = labelled.join(strays.select("key").distinct(), "key").join(of, "m")
+    across = (x.join(y, (x["key"] == y["key"]) & (F.col("x_l") != F.col("l")) & _possible("x_", "", percent))
+               .select(F.least("x_m", "m").alias("a"), F.greatest("x_m", "m").alias("b")))
     found, _ = _new(across, done, sizes, texts, words, percent)
     if not found.isEmpty():
         label = _merge(label, found)
+    return label
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
+                    bands: int = BANDS) -> DataFrame:
+    """``doc_id, _h, n_shingles, component_id, kept`` for every row of ``docs``
+    (doc_id must be a whole number); _h tells rows of one doc_id apart."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
+    rows = written(docs.mapInArrow(
+        tidy(_sketch(words, bands)), "doc_id long, _h long, n long, s1 long, s2 long, keys array<long>, "
+                           "odd array<long>"),
+        "minmax")
+    real = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    classes = real.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
+    classes = written(classes, "classes")
+    reps = (real.join(classes.select("s1", "s2", "n", F.col("rep").alias("doc_id")),
+                      ["s1", "s2", "n", "doc_id"]))
+    with scratch(docs.sparkSession):
+        label = written(_components(docs, reps, words, percent), "labels", keep=True)
 
     found = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
         "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
@@ -244,12 +262,9 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of every group of near-duplicates.  Rows are
     compared as a whole only where a kept document stands more than once."""
     kept = near_duplicates(docs, words, percent).where("kept")
-    kept = kept.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("_n"),
-                                            F.max("n_shingles").alias("_s"))
-    kept = kept.select(F.col("doc_id").alias("_kid"), F.col("_h").alias("_kh"), "_n", "_s")
-    h = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    both = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kid")) & (h == F.col("_kh")))
-    once = (F.col("_n") == 1) | (F.col("_s") == 0) | F.col("_kid").isNull()
-    single = both.where(once).select(*[docs[c] for c in docs.columns])
-    again = both.where(~once).dropDuplicates(["_kid", "_kh"]).select(*[docs[c] for c in docs.columns])
-    return single.unionAll(again)
+    kept = kept.groupBy("doc_id", "_h").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("s"))
+    own = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    both = boxed(docs).join(kept, F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (own == F.col("_h")))
+    once = (F.col("n") == 1) | (F.col("s") == 0) | F.col("doc_id").isNull()
+    again = both.where(~once).dropDuplicates(["doc_id", "_h"])
+    return both.where(once).unionAll(again).select(*unboxed(docs.columns))
