@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm import bpe, decontaminate, langid, linededup, minhash
-from civiclens.llm.common import small_batches, written
+from civiclens.llm.common import drop_written, free_name, scratch, small_batches, written
 from civiclens.llm.queries import PATTERN, RANKS
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go.  Texts in a language that was not learned
-    and noise with letters stay: see ``langid.accepted``."""
+    """Documents without a letter go, and those whose language is not recognised:
+    foreign scripts, random letters (``langid.Model.recognised``)."""
     held = F.coalesce(langid.is_held_out(docs["doc_id"]), F.lit(False))
     return langid.accepted(docs, langid.fit(docs.where(~held)))
 
@@ -30,12 +30,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines that an earlier document holds go; a document of which
     nothing but white space is left goes as a whole."""
-    out = linededup.dedup_lines(docs, counts=("_n_lines", "_n_cut"))
-    out = out.where((F.col("_n_cut") == 0) | F.col("text").rlike(r"\S"))
+    n_lines, n_cut = (free_name(c, docs.columns) for c in ("n_lines", "n_cut"))
+    out = linededup.dedup_lines(docs, counts=(n_lines, n_cut))
+    cut = F.col(n_cut) > 0
+    out = out.where(~cut | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_cut") == 0, F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,6 +71,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     with small_batches(spark):
-        for name, stage in STAGES:
-            docs = written(stage(spark, docs, sf_dir), name)
+        for i, (name, stage) in enumerate(STAGES):
+            with scratch(spark):
+                after = written(stage(spark, docs, sf_dir), name, keep=True)
+            if i:
+                drop_written(docs)
+            docs = after
     return docs
