@@ -44,16 +44,24 @@ def counts_by_key(events: DataFrame, key: str, out: str = "num") -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias(out))
 
 
-def start_complete(agg: DataFrame, checkpoint: str, sink: str = "memory",
+def start_complete(agg: DataFrame, checkpoint: str, sink: str | None = None,
                    name: str | None = None, path: str | None = None):
     """Start an aggregation in complete mode.  ``checkpoint`` must be a
     folder every executor and the driver can reach (the cluster's shared
-    checkpoint folder), so a restarted query resumes its state."""
+    checkpoint folder), so a restarted query resumes its state.
+
+    With ``path`` the whole result after micro-batch i is written to
+    ``<path>/batch=i`` (a repeated batch overwrites its own folder); with
+    ``name`` it is kept on the driver as a table of that name, which only suits
+    small results.  Other sinks are given by ``sink``."""
     w = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    if sink == "memory":
-        w = w.format("memory").queryName(name or "counts")
-    else:
-        w = w.format(sink)
-        if path:
-            w = w.option("path", path)
-    return w.start()
+    if sink is None and path is not None:
+        folder = path.rstrip("/")
+        return w.foreachBatch(
+            lambda df, i: df.write.mode("overwrite").parquet(f"{folder}/batch={i}")).start()
+    if sink is None and name is None:
+        raise ValueError("give a path for the results, or a name to keep them on the driver")
+    if sink in (None, "memory"):
+        return w.format("memory").queryName(name or "counts").start()
+    w = w.format(sink)
+    return (w.option("path", path) if path else w).start()
