@@ -48,7 +48,7 @@ from civiclens.llm.common import tidy
 
 SPACE = "▁"
 CACHE_UNITS = 400_000  # known units of a Python worker, some 200 bytes each
-SLICE = 16 << 20  # bytes of text encoded together
+SLICE = 12 << 20  # bytes of text encoded together
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6  # piece types of the model format
 _BPE = 2  # model type
 
@@ -173,18 +173,18 @@ class Encoder:
         """
         size = np.array([len(u) for u in units], np.int64)
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        symbol = np.zeros(0x110000, np.int64)
+        symbol = np.zeros(0x110000, np.int32)
         symbol[chars] = 1
         for c in np.flatnonzero(symbol).tolist():
             symbol[c] = self.ids.get(chr(c), self.n + 1 + c)
         symbol = symbol[chars]
         n = len(symbol)
-        unit = np.repeat(np.arange(len(units)), size)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        unit = np.repeat(np.arange(len(units), dtype=np.int32), size)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         ends = np.cumsum(size)
         after[ends[size > 0] - 1] = -1
         before[(ends - size)[size > 0]] = -1
-        pair = np.full(n + 1, self.n, np.int64)  # piece of the pair that begins here
+        pair = np.full(n + 1, self.n, np.int32)  # piece of the pair that begins here
         agenda, waiting = [], {}
 
         def enter(places):
@@ -202,7 +202,7 @@ class Encoder:
                     heapq.heappush(agenda, g)
                 waiting[g].append(places[a:e])
 
-        enter(np.arange(n))
+        enter(np.arange(n, dtype=np.int32))
         while agenda:
             g = heapq.heappop(agenda)
             left = _distinct(np.concatenate(waiting.pop(g)))
