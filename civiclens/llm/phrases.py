@@ -8,11 +8,12 @@ level before it those with one word less, and so on to the single words and the
 number of words of a language.  No n-grams of other lengths are made.
 
 Windows are padded (cut short) where the piece ends, and also where no phrase can
-go on: a phrase that stands ``min_count`` times consists of neighbouring pairs that
-do.  Pairs are counted in ``BUCKETS`` saturating cells by a hash; a cell below
-``min_count`` proves that all of its pairs are too rare.  That table has a fixed size
-(32 MB a task, 4 MB as bits on the driver and in the workers), whatever the corpus.
-It only saves windows: counts are of the words themselves, and exact.
+go on: a phrase that stands ``min_count`` times consists of shorter runs that do.
+Words and pairs of neighbouring words are counted in ``CELLS`` saturating cells by a
+hash; a cell below ``min_count`` proves that all of its runs are too rare.  That table
+has a fixed size (64 MB a task, 8 MB as bits on the driver and in the workers),
+whatever the corpus.  It only saves windows: counts are of the words themselves, and
+exact.  With far more than ten runs to a cell it saves nothing any more.
 
 A candidate has 2 to ``order`` words and a = f(phrase) >= ``min_count``.  For its cut
 after k words, l = f(first part) and r = f(rest), score = floor(2000000 a / (l + r));
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,14 @@ from pyspark.sql import functions as F
 
 from civiclens.llm.common import small_batches, tidy, written
 from civiclens.llm.shingles import _powers, mix
+from civiclens.operators._plan import task_count
 
-BUCKETS = 1 << 25
-CELLS = 1 << 16  # of a row of the pair table
+CELLS = 1 << 26
+RUNS = 2  # words of the longest runs that are counted beforehand
+SALTS = 8  # parts in which the windows of equal first words are dealt
+ROW = 1 << 16  # cells of a row of the table
 BLOCK = 4 << 20  # bytes of text handled at once
-KEPT = 400_000  # windows counted in a task before they are handed on
+KEPT = 600_000  # windows counted in a task before they are handed on
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -98,30 +103,39 @@ class Words:
         self.plain = (self.begin[1:] - self.end[:-1] == 1) & (self.bytes[self.end[:-1]] == 32)
         self.langs = ["und" if x is None else x for x in langs]
 
-    def pairs(self):
-        """Cell of every pair of neighbouring words (whatever stands between)."""
+    def cells(self, longest: int):
+        """For runs of 1 to ``longest`` words: the place of the first word of those
+        that stand in one piece, and their cells."""
         power, inverse = _powers(len(self.bytes) + 1)
         sums = np.zeros(len(self.bytes) + 1, np.uint64)
         np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * power[:len(self.bytes)], out=sums[1:])
-        h = mix((sums[self.end] - sums[self.begin]) * inverse[self.begin])
+        word = mix((sums[self.end] - sums[self.begin]) * inverse[self.begin])
         salt = np.array([zlib.crc32(x.encode()) for x in self.langs] or [0], np.uint64)[self.doc]
-        return (mix(h[:-1] * np.uint64(31) + h[1:] + (salt[:-1] << np.uint64(20)))
-                % np.uint64(BUCKETS)).astype(np.int64)
+        run, first = mix(word + (salt << np.uint64(20))), np.arange(len(word))
+        for k in range(1, longest + 1):
+            yield first, (run % np.uint64(CELLS)).astype(np.int64)
+            stay = first[:-1] if len(first) and first[-1] == len(word) - k else first
+            on = self.go_on[stay + k - 1]
+            run = mix(run[:len(stay)][on] * np.uint64(31) + word[stay[on] + k])
+            first = stay[on]
 
 
-def _count_pairs(batches):
-    """One row for every CELLS cells of the task's table of pairs."""
-    table = np.zeros(BUCKETS, np.uint8)
-    for batch in batches:
-        for block in _blocks(batch):
-            w = Words(*block)
-            if len(w.begin) > 1:
-                cell, n = np.unique(w.pairs()[w.go_on], return_counts=True)
-                table[cell] = np.minimum(table[cell] + n, 255)
-    rows = table.reshape(-1, CELLS)
-    for i in np.flatnonzero(rows.any(axis=1)).tolist():
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([rows[i].tobytes()], pa.binary())],
-                                         names=["part", "cells"])
+def _count_runs(longest: int):
+    """One row for every ROW cells of the task's table of runs, compressed."""
+    def run(batches):
+        table = np.zeros(CELLS, np.uint8)
+        for batch in batches:
+            for block in _blocks(batch):
+                w = Words(*block)
+                for _, cells in w.cells(longest) if len(w.begin) else ():
+                    cell, n = np.unique(cells, return_counts=True)
+                    table[cell] = np.minimum(table[cell] + n, 255)
+        rows = table.reshape(-1, ROW)
+        for i in np.flatnonzero(rows.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([zlib.compress(rows[i].tobytes(), 1)], pa.binary())],
+                names=["part", "cells"])
+    return run
 
 
 def _often(least: int):
@@ -131,7 +145,7 @@ def _often(least: int):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, cells in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist()):
-                cells = np.frombuffer(cells, np.uint8)
+                cells = np.frombuffer(zlib.decompress(cells), np.uint8)
                 sums[i] = np.minimum(sums[i].astype(np.int16) + cells, 255).astype(np.uint8) if i in sums else cells
         for i, cells in sums.items():
             yield pa.RecordBatch.from_arrays(
@@ -140,46 +154,58 @@ def _often(least: int):
     return run
 
 
-def frequent_pairs(docs: DataFrame, min_count: int) -> np.ndarray:
-    """Bits of the cells whose pairs stand ``min_count`` times or more together."""
-    parts = BUCKETS // CELLS
-    cells = docs.select("text", "lang").mapInArrow(tidy(_count_pairs), "part int, cells binary")
-    cells = cells.repartition(min(parts, 64), "part").mapInArrow(
+def frequent_runs(docs: DataFrame, longest: int, min_count: int) -> np.ndarray:
+    """Bits of the cells whose runs stand ``min_count`` times or more together."""
+    parts = CELLS // ROW
+    cells = docs.select("text", "lang").mapInArrow(tidy(_count_runs(longest)), "part int, cells binary")
+    cells = cells.repartition(min(parts, task_count(docs)), "part").mapInArrow(
         tidy(_often(min(min_count, 255))), "part int, cells binary")
-    bits = np.zeros((parts, CELLS // 8), np.uint8)
-    for row in cells.collect():  # BUCKETS bits at most
+    bits = np.zeros((parts, ROW // 8), np.uint8)
+    for row in cells.collect():  # a bit a cell
         bits[row["part"]] = np.frombuffer(row["cells"], np.uint8)
     return bits.reshape(-1)
 
 
+def _window_sizes(w: Words, often: np.ndarray, order: int) -> np.ndarray:
+    """The number of words of the window that each word opens: 0 if the word
+    itself is too rare."""
+    n = len(w.begin)
+    ok = {}
+    for k, (first, cell) in enumerate(w.cells(RUNS), 1):
+        ok[k] = np.zeros(n + order, bool)
+        ok[k][first] = (often[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+    on = np.append(w.go_on, np.zeros(order + 1, bool))
+    place, size, grow = np.arange(n), ok[1][:n].astype(np.int64), ok[1][:n]
+    for new in range(1, order):  # one more word, and the runs that end with it
+        grow = grow & on[place + new - 1]
+        for k in range(1, min(new + 1, RUNS) + 1):
+            grow = grow & ok[k][place + new - k + 1]
+        size += grow
+    return size
+
+
 def _count_windows(bits, order: int):
-    """``lang, window, n``: windows are joined by single spaces."""
+    """``lang, window, n``: windows are joined by single spaces; the empty one
+    stands for words that are too rare."""
     def counted(counts):
-        rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.items()]
-        for a in range(0, len(rows), 50_000):
-            lang, window, n = zip(*rows[a:a + 50_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(window, pa.binary()).cast(pa.string()),
-                 pa.array(n, pa.int64())], names=["lang", "window", "n"])
+        for lang, c in counts.items():
+            windows, n = iter(c), iter(c.values())
+            while part := list(islice(windows, 50_000)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
+                     pa.array(list(islice(n, 50_000)), pa.int64())], names=["lang", "window", "n"])
 
     def run(batches):
-        often = bits.value
         counts: dict[str, Counter] = {}
         for batch in batches:
             for block in _blocks(batch):
                 w = Words(*block)
-                n = len(w.begin)
-                if not n:
+                if not len(w.begin):
                     continue
-                cell = w.pairs()
-                bit = (often[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
-                more = np.append(w.go_on & (bit == 1), False)  # the window goes on behind the word
-                odd = np.append(~w.plain, False)
-                last, open_, strange = np.arange(n), more.copy(), np.zeros(n, bool)
-                for _ in range(order - 1):
-                    strange |= open_ & odd[last]
-                    last = last + open_
-                    open_ &= more[last]
+                size = _window_sizes(w, bits.value, order)
+                last = np.arange(len(size)) + np.maximum(size, 1) - 1
+                odd = np.concatenate([[0], np.cumsum(~w.plain)])  # gaps that are no single space
+                strange = odd[last] > odd[:len(size)]
                 raw = w.bytes.tobytes()
                 names, code = np.unique(w.langs, return_inverse=True)
                 code = code[w.doc]
@@ -187,8 +213,10 @@ def _count_windows(bits, order: int):
                 ends = np.searchsorted(code[by_lang], np.arange(len(names) + 1))
                 for j, lang in enumerate(names.tolist()):
                     own = by_lang[ends[j]:ends[j + 1]]
-                    a, e, plain = w.begin[own], w.end[last[own]], ~strange[own]
                     c = counts.setdefault(lang, Counter())
+                    c[b""] += int((size[own] == 0).sum())
+                    own = own[size[own] > 0]
+                    a, e, plain = w.begin[own], w.end[last[own]], ~strange[own]
                     c.update([raw[x:y] for x, y in zip(a[plain].tolist(), e[plain].tolist())])
                     c.update([b" ".join(raw[x:y].split()) for x, y in zip(a[~plain].tolist(), e[~plain].tolist())])
                 if sum(map(len, counts.values())) > KEPT:
@@ -204,12 +232,27 @@ def count_phrases(docs: DataFrame, order: int = 4, min_count: int = 30) -> DataF
     docs = docs.select("text", F.col("lang").cast("string").alias("lang"))
     sc = docs.sparkSession.sparkContext
     with small_batches(docs.sparkSession):
-        bits = sc.broadcast(frequent_pairs(docs, min_count))
+        bits = sc.broadcast(frequent_runs(docs, RUNS, min_count))
         windows = docs.mapInArrow(tidy(_count_windows(bits, order)), "lang string, window string, n long")
-        windows = windows.groupBy("lang", "window").agg(F.sum("n").alias("n"))
-        words = [f"w{i + 1}" for i in range(order)]
-        windows = windows.select("lang", "n", *[F.get(F.split("window", " "), i).alias(w)
-                                                for i, w in enumerate(words)])
+        # Dealt by all words but the last two and a part of the last but one: the two
+        # longest levels are final in place, the next is nearly so, and the windows
+        # of a very common beginning still go to several tasks.
+        parts = F.split(F.nullif("window", F.lit("")), " ")
+        windows = windows.select(
+            "lang", F.array_join(F.slice(parts, 1, order - 2), " ").alias("stem"),
+            F.get(parts, order - 2).alias("next"), F.get(parts, order - 1).alias("tail"), "n")
+        windows = windows.withColumn("salt", F.pmod(F.hash("next"), SALTS))
+        windows = (windows.repartition("lang", "stem", "salt").groupBy("lang", "stem", "salt", "next", "tail")
+                          .agg(F.sum("n").alias("n")))
+        # windows are padded once more where the phrase is too rare to be told:
+        # sums of prefixes stay, and the levels below ship far fewer rows
+        m = F.sum("n").over(Window.partitionBy("lang", "stem", "salt", "next"))
+        windows = windows.withColumn("m", m)
+        words, stem = [f"w{i + 1}" for i in range(order)], F.split(F.nullif("stem", F.lit("")), " ")
+        often = F.col("m") >= min_count
+        columns = [F.get(stem, i) for i in range(order - 2)]
+        columns += [F.when(often, F.col("next")), F.when(often & (F.col("n") >= min_count), F.col("tail"))]
+        windows = windows.select("lang", "n", *[c.alias(w) for c, w in zip(columns, words)])
         levels = windows.rollup("lang", *words).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
         # g has a bit for every column that was summed away, the last word lowest
         k = F.lit(None).cast("int")
