@@ -9,8 +9,7 @@ number of words of a language.  No n-grams of other lengths are made.
 
 Windows are padded (cut short) where the piece ends, and also where no phrase can
 go on: a phrase that stands ``min_count`` times consists of shorter runs that do.
-Words and pairs of neighbouring words are counted in ``CELLS`` saturating cells by a
-hash; a cell below ``min_count`` proves that all of its runs are too rare.  That table
+Runs of up to ``RUNS`` words are counted in ``CELLS`` saturating cells by a hash; a cell below ``min_count`` proves that all of its runs are too rare.  That table
 has a fixed size (64 MB a task, 8 MB as bits on the driver and in the workers),
 whatever the corpus.  It only saves windows: counts are of the words themselves, and
 exact.  With far more than ten runs to a cell it saves nothing any more.
@@ -43,11 +42,11 @@ from civiclens.llm.shingles import _powers, mix
 from civiclens.operators._plan import task_count
 
 CELLS = 1 << 26
-RUNS = 2  # words of the longest runs that are counted beforehand
+RUNS = 3  # words of the longest runs that are counted beforehand
 SALTS = 8  # parts in which the windows of equal first words are dealt
 ROW = 1 << 16  # cells of a row of the table
 BLOCK = 4 << 20  # bytes of text handled at once
-KEPT = 600_000  # windows counted in a task before they are handed on
+KEPT = 500_000  # windows counted in a task before they are handed on
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -231,6 +230,10 @@ def count_phrases(docs: DataFrame, order: int = 4, min_count: int = 30) -> DataF
     ``min_count`` times or more, and with k = 0 the number of words of each lang."""
     docs = docs.select("text", F.col("lang").cast("string").alias("lang"))
     sc = docs.sparkSession.sparkContext
+    # several splits to a task: the more text it has seen, the fewer windows and cells
+    # it hands on for each
+    splits = docs.rdd.getNumPartitions()
+    docs = docs.coalesce(min(splits, max(2 * sc.defaultParallelism, splits // 4)) or 1)
     with small_batches(docs.sparkSession):
         bits = sc.broadcast(frequent_runs(docs, RUNS, min_count))
         windows = docs.mapInArrow(tidy(_count_windows(bits, order)), "lang string, window string, n long")

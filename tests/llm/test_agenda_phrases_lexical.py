@@ -146,8 +146,8 @@ def test_collocations_in_small_blocks(spark, monkeypatch):
 
 
 def test_windows_end_before_rare_runs():
-    """With the bits of some runs only: the window ends where a word or a pair is
-    not among them."""
+    """With the bits of some runs only: the window ends where a run of one to three
+    words is not among them."""
     import pyarrow as pa
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d a b x b c. d e"], pa.string()),
                                         "lang": pa.array([None], pa.string())})
@@ -157,9 +157,9 @@ def test_windows_end_before_rare_runs():
     bits = np.zeros(phrases.CELLS // 8, np.uint8)
     for k, (first, cell) in enumerate(w.cells(phrases.RUNS), 1):
         for i, c in zip(first.tolist(), cell.tolist()):
-            if " ".join(names[i:i + k]) in {"a", "b", "c", "d", "a b", "b c", "d a", "b x"}:
+            if " ".join(names[i:i + k]) in {"a", "b", "c", "d", "a b", "b c", "c d", "a b c", "d a", "b x"}:
                 bits[c >> 3] |= 128 >> (c & 7)
-    assert phrases._window_sizes(w, bits, 4).tolist() == [3, 2, 1, 3, 2, 1, 0, 2, 1, 1, 0]
+    assert phrases._window_sizes(w, bits, 4).tolist() == [3, 2, 2, 2, 2, 1, 0, 2, 1, 1, 0]
 
 
 def test_collocations_of_nothing(spark):
