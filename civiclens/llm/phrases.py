@@ -9,7 +9,7 @@ number of words of a language.  No n-grams of other lengths are made.
 
 Windows are padded (cut short) where the piece ends, and also where no phrase can
 go on: a phrase that stands ``min_count`` times consists of shorter runs that do.
-Runs of up to ``RUNS`` words are counted in ``CELLS`` saturating cells by a hash; a cell below ``min_count`` proves that all of its runs are too rare.  That table
+Runs of one to ``order`` words are counted in ``CELLS`` saturating cells by a hash; a cell below ``min_count`` proves that all of its runs are too rare.  That table
 has a fixed size (64 MB a task, 8 MB as bits on the driver and in the workers),
 whatever the corpus.  It only saves windows: counts are of the words themselves, and
 exact.  With far more than ten runs to a cell it saves nothing any more.
@@ -42,11 +42,10 @@ from civiclens.llm.shingles import _powers, mix
 from civiclens.operators._plan import task_count
 
 CELLS = 1 << 26
-RUNS = 3  # words of the longest runs that are counted beforehand
 SALTS = 8  # parts in which the windows of equal first words are dealt
 ROW = 1 << 16  # cells of a row of the table
-BLOCK = 4 << 20  # bytes of text handled at once
-KEPT = 500_000  # windows counted in a task before they are handed on
+BLOCK = 2 << 20  # bytes of text handled at once
+KEPT = 800_000  # windows counted in a task before they are handed on
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -170,14 +169,14 @@ def _window_sizes(w: Words, often: np.ndarray, order: int) -> np.ndarray:
     itself is too rare."""
     n = len(w.begin)
     ok = {}
-    for k, (first, cell) in enumerate(w.cells(RUNS), 1):
+    for k, (first, cell) in enumerate(w.cells(order), 1):
         ok[k] = np.zeros(n + order, bool)
         ok[k][first] = (often[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
     on = np.append(w.go_on, np.zeros(order + 1, bool))
     place, size, grow = np.arange(n), ok[1][:n].astype(np.int64), ok[1][:n]
     for new in range(1, order):  # one more word, and the runs that end with it
         grow = grow & on[place + new - 1]
-        for k in range(1, min(new + 1, RUNS) + 1):
+        for k in range(1, new + 2):
             grow = grow & ok[k][place + new - k + 1]
         size += grow
     return size
@@ -235,7 +234,7 @@ def count_phrases(docs: DataFrame, order: int = 4, min_count: int = 30) -> DataF
     splits = docs.rdd.getNumPartitions()
     docs = docs.coalesce(min(splits, max(2 * sc.defaultParallelism, splits // 4)) or 1)
     with small_batches(docs.sparkSession):
-        bits = sc.broadcast(frequent_runs(docs, RUNS, min_count))
+        bits = sc.broadcast(frequent_runs(docs, order, min_count))
         windows = docs.mapInArrow(tidy(_count_windows(bits, order)), "lang string, window string, n long")
         # Dealt by all words but the last two and a part of the last but one: the two
         # longest levels are final in place, the next is nearly so, and the windows

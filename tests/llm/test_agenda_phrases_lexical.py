@@ -146,7 +146,7 @@ def test_collocations_in_small_blocks(spark, monkeypatch):
 
 
 def test_windows_end_before_rare_runs():
-    """With the bits of some runs only: the window ends where a run of one to three
+    """With the bits of some runs only: the window ends where a run of one to four
     words is not among them."""
     import pyarrow as pa
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d a b x b c. d e"], pa.string()),
@@ -155,7 +155,7 @@ def test_windows_end_before_rare_runs():
     w = phrases.Words(*block)
     names = "a b c d a b x b c d e".split()
     bits = np.zeros(phrases.CELLS // 8, np.uint8)
-    for k, (first, cell) in enumerate(w.cells(phrases.RUNS), 1):
+    for k, (first, cell) in enumerate(w.cells(4), 1):
         for i, c in zip(first.tolist(), cell.tolist()):
             if " ".join(names[i:i + k]) in {"a", "b", "c", "d", "a b", "b c", "c d", "a b c", "d a", "b x"}:
                 bits[c >> 3] |= 128 >> (c & 7)
