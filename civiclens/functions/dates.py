@@ -42,6 +42,8 @@ _CLOCK = (r"(\d{1,2})(?::(\d{1,2})(?::(\d{1,2})(?:[.,](\d+))?)?(?:\s*([AaPp][Mm]
 TIME = rf"(?:(?<=\d)[Tt]|(?<![\d:.\p{{L}}])){_CLOCK}(?![\d:\p{{L}}])"
 TIME_ALONE = rf"^[Tt]?{_CLOCK}$"
 COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:[Tt]?(\d{2})(\d{2})(\d{2})?)?$"
+# The most common form, which Spark's own cast reads; the grammar would say the same.
+ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)?$"
 # What any form above has; other values skip the work.
 _SHORT = "|".join(m[:3] for m in MONTHS)
 GUARD = (rf"(?i)^(?=.*(?:\d{{3}}|\d[/-]\d{{1,2}}[/-]\d|(?:{_SHORT})\p{{L}}*[\s,.;/'-]*\d|\d[\s,.;/'-]*(?:{_SHORT})))"
@@ -138,23 +140,32 @@ def parse_date(v: Column) -> Column:
         rest = F.regexp_replace(rest, r"(?<=\d)(?=\p{L})|(?<=\p{L})(?=\d)|[\s,.;'/-]+", " ")
         return F.split(F.trim(rest), r" +")
 
+    def parts(date: Column, time: Column) -> Column:
+        return F.struct(date.alias("date"), time.alias("time"))
+
+    def compact(t: Column) -> Column:
+        """Date and time of eight, twelve or fourteen digits."""
+        return _let(_groups(t, COMPACT, 6), lambda g: parts(
+            _date(_int(F.get(g, 0)), _int(F.get(g, 1)), _int(F.get(g, 2))),
+            F.array(F.get(g, 3), F.get(g, 4), F.get(g, 5), *[F.lit("")] * 4)))
+
     def plain(t: Column) -> Column:
-        return _let(F.regexp_extract_all(t, F.lit(TIME), F.lit(0)), lambda times: F.when(
-            F.size(times) == 0, _of(t, F.array(*[F.lit("")] * 7))).when(
-            F.size(times) == 1, _of(F.replace(t, F.get(times, 0), F.lit(" ")), _groups(F.get(times, 0), TIME_ALONE, 7))))
-
-    def _of(rest: Column, time: Column) -> Column:
-        slashes = rest.rlike(r"^[^/.]*-[^/.]*$|^[^.-]*/[^.-]*$")
-        return _let(words(rest), lambda w: F.when(
-            F.size(w) == 3, _let(_three(w, slashes), lambda d: _instant(d, time))).when(
-            (F.size(w) == 1) & F.get(w, 0).rlike(r"^\d{8}$"), _compact(F.get(w, 0), time)))
-
-    def _compact(t: Column, time: Column | None = None) -> Column:
-        def of(g: Column) -> Column:
-            own = F.array(F.get(g, 3), F.get(g, 4), F.get(g, 5), *[F.lit("")] * 4)
-            return _instant(_date(_int(F.get(g, 0)), _int(F.get(g, 1)), _int(F.get(g, 2))), own if time is None else time)
-        return _let(_groups(t, COMPACT, 6), of)
-
-    value = _let(text, lambda t: F.when(t.rlike(COMPACT), _compact(t)).otherwise(plain(t)))
-    return F.when(v.rlike(GUARD), value)
+        """Date and time of any other text; NULL parts if it has two times."""
+        def split(times: Column) -> Column:
+            none, one = F.size(times) == 0, F.size(times) == 1
+            time = F.get(times, 0)
+            return F.struct(
+                F.when(none, t).when(one, F.replace(t, time, F.lit(" "))).alias("rest"),
+                F.when(none, F.array(*[F.lit("")] * 7)).when(one, _groups(time, TIME_ALONE, 7)).alias("time"))
+
+        def of(k: Column) -> Column:
+            slashes = k["rest"].rlike(r"^[^/.]*-[^/.]*$|^[^.-]*/[^.-]*$")
+            return _let(words(k["rest"]), lambda w: parts(
+                F.when(F.size(w) == 3, _three(w, slashes))
+                 .when((F.size(w) == 1) & F.get(w, 0).rlike(r"^\d{8}$"), compact(F.get(w, 0))["date"]), k["time"]))
+        return _let(F.regexp_extract_all(t, F.lit(TIME), F.lit(0)), lambda times: _let(split(times), of))
+
+    found = _let(text, lambda t: F.when(t.rlike(COMPACT), compact(t)).otherwise(plain(t)))
+    value = _let(found, lambda x: _instant(x["date"], x["time"]))
+    return F.when(v.rlike(ISO), v.try_cast("timestamp")).when(v.rlike(GUARD), value)
 
