@@ -47,8 +47,9 @@ from civiclens.operators._plan import task_count
 _U_SCALE = float(1 << 53)
 # Copies of a document that are made in one place.
 COPIES_PER_BLOCK = 64
-# Draws (copies x distinct words) of a block of an explanation.
-CELLS = 1 << 20
+# Draws (copies x distinct words) of a block of an explanation: 1 MB of 64-bit
+# numbers, so that the passes over a block stay in the processor's cache.
+CELLS = 1 << 17
 
 
 def _uniform(*cols: Column) -> Column:
@@ -79,14 +80,20 @@ def classifier_stages(max_iter: int = 20, reg_param: float = 0.001,
 def fit(train: DataFrame, max_iter: int = 20, reg_param: float = 0.001,
         partitions: int | None = None) -> PipelineModel:
     """Fit the stages.  The training rows are spread over ``partitions``
-    (default: the shuffle partitions, at least one per core) and kept for the
-    fit only — the indexer, IDF and every optimiser iteration read them again."""
+    (default: the shuffle partitions, at least one per core).  A text is tokenised
+    and hashed once: labels and term counts, not texts, are kept for the fit — IDF
+    and the regression read them again."""
     n = partitions or task_count(train)
-    data = train.repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
+    indexer, tokenizer, counter, idf, regression = classifier_stages(max_iter, reg_param).getStages()
+    labels = indexer.fit(train)
+    data = PipelineModel(stages=[labels, tokenizer, counter]).transform(train.repartition(n))
+    data = data.select("label", "rawFeatures").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return classifier_stages(max_iter, reg_param).fit(data)
+        weights = idf.fit(data)
+        model = regression.fit(weights.transform(data))
     finally:
         data.unpersist()
+    return PipelineModel(stages=[labels, tokenizer, counter, weights, model])
 
 
 def predict(model: PipelineModel, docs: DataFrame) -> DataFrame:
@@ -155,10 +162,17 @@ _P1, _P2, _P3, _P5 = (np.uint64(x) for x in (
 def _hash_int(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
     """``xxhash64`` of an INT column behind columns whose hash is ``seed``."""
     h = (seed + _P5 + np.uint64(4)) ^ (value * _P1)
-    h = ((h << np.uint64(23)) | (h >> np.uint64(41))) * _P2 + _P3
-    h = (h ^ (h >> np.uint64(33))) * _P2
-    h = (h ^ (h >> np.uint64(29))) * _P3
-    return h ^ (h >> np.uint64(32))
+    part = h >> np.uint64(41)
+    h <<= np.uint64(23)
+    h |= part
+    h *= _P2
+    h += _P3
+    for shift, factor in ((33, _P2), (29, _P3), (32, None)):
+        np.right_shift(h, np.uint64(shift), out=part)
+        h ^= part
+        if factor is not None:
+            h *= factor
+    return h
 
 
 class _Sums:
@@ -276,14 +290,15 @@ def copy_sums(seeds: np.ndarray, effects: np.ndarray, base: np.ndarray, doc_seed
     sums, step = _Sums(d, num_samples), max(1, CELLS // d)
     for a in range(0, num_samples, step):
         s = np.arange(a, min(a + step, num_samples)).astype(np.uint64)
-        draws = _hash_int(s[:, None], seeds[None, :]) >> np.uint64(11)
+        draws = _hash_int(s[:, None], seeds[None, :])
+        draws >>= np.uint64(11)
         u = (_hash_int(s, np.array([doc_seed], np.uint64)) >> np.uint64(11)).astype(float) / _U_SCALE
         k = np.minimum(np.floor(u * d).astype(int) + 1, d)
         cut = np.sort(draws, axis=1)[np.arange(len(s)), k - 1]
         kept = draws > cut[:, None]
         if a == 0:
             kept[0] = True
-        apart = (1.0 - np.sqrt(kept.sum(axis=1) / d)) * 100.0
+        apart = (1.0 - np.sqrt(np.count_nonzero(kept, axis=1) / d)) * 100.0
         weight = np.sqrt(np.exp(-(apart * apart) / (kernel_width * kernel_width)))
         sums.add(kept, weight, _probability(base + kept @ effects, target))
     sums.close()
@@ -351,8 +366,11 @@ def explain(model: PipelineModel, docs: DataFrame, num_features: int = 6,
         "place", "word", F.xxhash64("word", "id").alias("seed"),
         F.transform("effect", lambda e: e * F.col("n")).alias("effect")).alias("w"))
     rows = words.groupBy("id").agg(F.array_sort(F.collect_list("w")).alias("words"))
-    # few bytes, much work: one row per document, spread over all tasks
-    rows = rows.repartition(task_count(docs), "id").select("id", F.xxhash64("id").alias("seed"), "words")
+    # few bytes, much work: one row per document, spread over all tasks.  Dealt by
+    # "id" itself, the rows would stay in the aggregation's partitions, of which
+    # few are left where they hold few bytes.
+    seed = F.xxhash64("id")
+    rows = rows.repartition(task_count(docs), seed).select("id", seed.alias("seed"), "words")
     return rows.mapInArrow(_explain_rows(base, num_features, num_samples, target_class),
                            "id long, word string, weight double, rank int")
 

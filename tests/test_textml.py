@@ -211,3 +211,42 @@ def test_fit_equals_newton(spark):
     assert np.abs(fitted.coefficients.toArray()[used] - b[1:] / sd).max() < 1e-5
     assert abs(fitted.intercept - b[0]) < 1e-5
     assert np.abs(np.array([r.probability[1] for r in rows]) - 1 / (1 + np.exp(-Z @ b))).max() < 1e-6
+
+
+def test_texts_are_tokenised_once_a_fit(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = _corpus(spark)
+    same = textml.fit(df)
+    model = textml.fit(df.mapInArrow(noted, df.schema))
+    # one pass for the labels, one for the term counts of the texts
+    assert seen.value == 80
+    assert [type(s) for s in model.stages] == [type(s) for s in same.stages]
+    kept = model.stages[-1].summary.predictions.columns
+    assert "text" not in kept and "words" not in kept
+
+
+def test_explanations_are_spread_over_all_tasks(spark):
+    """Few bytes, much work: the documents are not left in a few partitions."""
+    df = _corpus(spark)
+    parts = textml.explain(textml.fit(df), df.select("id", "text"), 3, 64).withColumn(
+        "p", F.spark_partition_id()).agg(F.countDistinct("p")).first()[0]
+    assert parts >= 3
+
+
+def test_refit_predicts_once(spark, monkeypatch, tmp_path):
+    """The new model's predictions are written down before they are read twice."""
+    from civiclens.plans import catalog
+    _corpus(spark).selectExpr("id AS doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    _corpus(spark).selectExpr("id AS doc_id", "CAST(category = 'atheism' AND id % 7 > 0 AS INT) AS quality").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    plans = []
+    corrected = textml.corrected
+    monkeypatch.setattr(textml, "corrected", lambda old, new, c: plans.append(new) or corrected(old, new, c))
+    out = catalog.QUERIES["clean_and_refit"](spark, str(tmp_path))
+    assert out.count() == 5
+    assert "FileScan" not in plans[0]._jdf.queryExecution().executedPlan().toString()
