@@ -313,7 +313,8 @@ class _Levels:
         """The frequent items of every uid, grouped by one shuffle for the
         pairs and the triples."""
         if self._baskets is None:
-            self._baskets = materialize(rules.baskets(self.items, self.f1(), RULE_CONSEQUENT))
+            self._baskets = materialize(
+                rules.counted_baskets(rules.baskets(self.items, self.f1(), RULE_CONSEQUENT)))
         return self._baskets
 
     @property

@@ -91,3 +91,24 @@ def test_ranges_are_even(spark):
     cut = range_splitters(keys, 20)
     n = [r["count"] for r in keys.groupBy(range_of(F.col("k"), cut, 20)).count().collect()]
     assert len(n) == 20 and min(n) > 2500 and max(n) < 10000
+
+
+def test_ranges_of_a_rank_are_compiled(spark):
+    """The search for a row's range is no lambda function, which Spark interprets."""
+    from civiclens.operators._plan import _key, global_rank, range_of, range_splitters, with_range
+    df = spark.range(500).selectExpr("IF(id % 9 = 0, NULL, id * 37 % 101) AS v", "id AS k")
+    for n in (1, 2, 8, 9, 40):
+        key = _key(df, ["v", "k"])
+        cut = range_splitters(df.select(key.alias("k")), n)
+        got = with_range(df, key, cut, n, "r").withColumn("same", range_of(key, cut, n))
+        rows = sorted(got.collect(), key=lambda r: (r.v is not None, r.v, r.k))
+        found = [r.r for r in rows]
+        assert found == [r.same for r in rows] == sorted(found) and 0 <= found[0] and found[-1] < n
+        splitters = {tuple(s) for s in got.select(cut.alias("s")).first().s if s}
+        want, below = [], 0
+        for r in rows:
+            below += (r.v, r.k) in splitters
+            want.append(below)
+        assert found == want
+    plan = global_rank(df, ["v", "k"], "r")._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan

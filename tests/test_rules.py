@@ -155,3 +155,35 @@ def test_one_shuffle_by_uid(spark):
     assert plan.count("hashpartitioning(uid") == 1
     f3 = rules.frequent_triples(items, rules.frequent_items(items, 20), None, 20)
     assert "hashpartitioning(uid" not in f3._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_baskets_are_counted_together(spark):
+    """300 uids with one of 2 item sets, a uid whose items fill three baskets and
+    rows without a uid: as many rows to enumerate as there are different baskets."""
+    rows = [(u, a, u % 2) for u in range(300) for a in ("a", "b", "vdecile")]
+    rows += [(900, a, v) for a in ("a", "b") for v in (0, 1, 1)] + [(None, "a", 1)] * 9
+    items = spark.createDataFrame(rows, "uid int, attr string, val int").repartition(4)
+    f1 = rules.frequent_items(items, 2)
+    grouped = rules.baskets(items, f1, "vdecile", size=2).cache()
+    counted = rules.counted_baskets(grouped).cache()
+    assert grouped.count() == 603 and counted.count() == 603
+    whole = rules.counted_baskets(rules.baskets(items, f1, "vdecile"))
+    got = sorted((len(r["items"]), r.uid, r.chunk, r.n) for r in whole.collect())
+    assert got == [(3, None, 0, 150), (3, None, 0, 150), (6, None, 0, 1)]
+    for g in (grouped, counted, rules.counted_baskets(rules.baskets(items, f1, "vdecile"))):
+        two = {tuple(r)[:4]: r.supp for r in rules.frequent_pairs(items, f1, 1, "a", grouped=g).collect()}
+        assert two["a", 0, "b", 0] == 151 and two["a", 1, "b", 1] == 154 and two["vdecile", 1, "a", 1] == 150
+        assert two["a", 0, "b", 1] == 2 and len(two) == 14
+        three = {tuple(r)[:6]: r.supp for r in rules.frequent_triples(
+            items, f1, None, 1, "vdecile", grouped=g).collect()}
+        assert three == {("a", v, "b", v, "vdecile", v): 150 for v in (0, 1)}
+
+
+def test_mined_levels_read_counted_baskets(spark, monkeypatch):
+    seen = []
+    pairs = rules.frequent_pairs
+    monkeypatch.setattr(rules, "frequent_pairs", lambda *a: seen.append(a[-1]) or pairs(*a))
+    items = spark.createDataFrame(_long_table(), "uid int, attr string, val int")
+    rules.mine_rules(items, 20, 0.2, 1.0)
+    n = seen[0].agg({"n": "sum"}).first()[0]
+    assert n == 400 and seen[0].count() <= 192
