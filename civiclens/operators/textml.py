@@ -209,8 +209,10 @@ class _Sums:
     def cov(self, j: int) -> np.ndarray:
         """Weighted covariances of word j with all words."""
         both = np.zeros(self.n)
-        for kept, w, _ in self.blocks():
-            both += (w * kept[:, j]) @ kept
+        for bits, w in zip(self.bits, self.w):
+            # only the copies that keep the word, found in the packed bits
+            has = ((bits[:, j >> 3] >> (7 - (j & 7))) & 1).astype(bool)
+            both += w[has] @ np.unpackbits(bits[has], axis=1, count=self.n)
         return (both - self.x * (self.x[j] / self.total)) / self.unit
 
     def cov_times(self, v: np.ndarray) -> np.ndarray:
