@@ -187,3 +187,52 @@ def test_mined_levels_read_counted_baskets(spark, monkeypatch):
     rules.mine_rules(items, 20, 0.2, 1.0)
     n = seen[0].agg({"n": "sum"}).first()[0]
     assert n == 400 and seen[0].count() <= 192
+
+
+def _as_rows(grouped):
+    return sorted((tuple((i.attr, i.val) for i in r["items"]), tuple((i.attr, i.val) for i in r["cons"]),
+                   -1 if r.uid is None else r.uid, r.chunk, r.n) for r in grouped.collect())
+
+
+def test_grouped_baskets_are_the_counted_ones(spark, monkeypatch):
+    """Uids with one value of an attribute, with several (repeated or not), with
+    rare items beside frequent ones, without the consequent; NULL uids and values."""
+    rnd = random.Random(4)
+    rows = [(u, a, rnd.randrange(3)) for u in range(120) for a in ("b", "a", "vdecile", "z") if rnd.random() < 0.8]
+    rows += [(u, a, rnd.randrange(3)) for u in range(110, 150) for a in ("a", "vdecile") for _ in range(rnd.randrange(4))]
+    rows += [(u, "a", 100 + u) for u in range(40)] + [(u, "vdecile", 1) for u in range(30, 36)] * 2
+    rows += [(None, "a", 1)] * 9 + [(u, "b", None) for u in range(20)] + [(u, None, 1) for u in range(20)]
+    rows += [(200, "a", rnd.randrange(3)) for _ in range(200)] + [(200, "vdecile", 2)]
+    items = spark.createDataFrame(rows, "uid int, attr string, val int").repartition(3)
+    f1 = rules.frequent_items(items, 8)
+    want = _as_rows(rules.counted_baskets(rules.baskets(items, f1, "vdecile")))
+    assert any(len(w[0]) > 40 for w in want) and any(not w[1] for w in want)
+    assert _as_rows(rules.grouped_baskets(items, f1, "vdecile")) == want
+    one = items.filter("uid < 110 AND NOT uid BETWEEN 30 AND 35")
+    lists = rules.baskets
+    monkeypatch.setattr(rules, "baskets", None)  # no lists where a uid has one value of an attribute
+    got = _as_rows(rules.grouped_baskets(one, f1, "vdecile", None))
+    got_none = _as_rows(rules.grouped_baskets(one, f1, "none", None))
+    monkeypatch.setattr(rules, "baskets", lists)
+    assert got == _as_rows(rules.counted_baskets(rules.baskets(one, f1, "vdecile"))) != []
+    assert got_none == _as_rows(rules.counted_baskets(rules.baskets(one, f1, "none")))
+    monkeypatch.setattr(rules, "WIDE", 2)
+    assert _as_rows(rules.grouped_baskets(items, f1, "vdecile")) == want
+    assert rules.grouped_baskets(items, rules.frequent_items(items, 10 ** 6), "vdecile").count() == 0
+
+
+def test_partly_gathered_rows_are_shuffled(spark, monkeypatch):
+    """Rows of a uid are combined before their shuffle, and the long table is not
+    written down where it is melted from a computed one."""
+    seen = []
+    kept = rules.materialize
+    monkeypatch.setattr(rules, "materialize", lambda d, *a: seen.append(d) or kept(d, *a))
+    wide = spark.range(1000).selectExpr("id AS u", "id % 3 AS age", "id % 2 AS race", "id % 4 AS vdecile").cache()
+    got = rules.mine_rules(rules.long_items(wide, "u", ["age", "race", "vdecile"]), 10, 0.2, 0.5, keep_items=False)
+    assert not any(d.columns == ["uid", "attr", "val"] for d in seen)
+    plan = seen[1]._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "Window" not in plan and "collect_list" not in plan
+    same = rules.mine_rules(rules.long_items(wide, "u", ["age", "race", "vdecile"]), 10, 0.2, 0.5)
+    for level in ("f1", "f2", "f3", "r2", "r3", "pd_r3"):
+        a, b = (sorted(map(tuple, getattr(x, level).collect())) for x in (got, same))
+        assert a == b != []
